@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from unicodedata import normalize
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +26,9 @@ URL_MARK = "<URL>"
 
 @F.arrow_udf(T.StringType())
 def _compose(texts: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(texts, form="NFKC")
+    # Arrow's own utf8_normalize leaves composed forms decomposed, hence the standard library.
+    composed = [None if t is None else normalize("NFKC", t) for t in texts.to_pylist()]
+    return pa.array(composed, pa.string())
 
 
 def nfkc(text: Column) -> Column:
