@@ -42,7 +42,7 @@ docs AS (
 PLANTED = f"""
 docs AS (
   SELECT conv_id || '-' || turn AS doc_id, role AS video_id,
-         {_clean("CASE WHEN turn % 2 = 0 THEN text || ' great amazing setup' ELSE text END")} AS text_clean
+         {_clean("CASE WHEN turn % 4 = 0 THEN text || ' great amazing setup' ELSE text END")} AS text_clean
   FROM conversations)"""
 
 TOKENS = f"""

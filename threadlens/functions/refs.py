@@ -1,10 +1,15 @@
-"""Video and channel references (ids, handles, URLs) normalised as column expressions."""
+"""Video and channel references (ids, handles, URLs) normalised row by row, without UDFs.
+
+The functions add their intermediate results as columns, so every pattern runs once per
+row: Spark keeps a projection apart when its results are used more than once.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadlens.functions.plan import computed_once
 from threadlens.functions.text import SPACES
 
 # The reference forms and hosts of the contract.
@@ -27,57 +32,65 @@ def _trimmed(ref: Column) -> Column:
     return F.regexp_replace(ref, f"^[{SPACES}]+|[{SPACES}]+$", "")
 
 
-def _uri_parts(ref: Column) -> tuple[Column, Column, Column]:
-    """Lower-case authority, path without ;parameters, query."""
-    authority = F.lower(F.regexp_extract(ref, URI_PATTERN, 2))
-    path = F.regexp_replace(F.regexp_extract(ref, URI_PATTERN, 3), ";[^/]*$", "")
-    return authority, path, F.regexp_extract(ref, URI_PATTERN, 4)
+def _with_uri_parts(refs: DataFrame, ref: str) -> DataFrame:
+    """Adds the trimmed reference and, for URLs only, authority, path and query."""
+    is_url = F.col("_value").contains("://")
 
+    def part(group: int) -> Column:
+        return F.when(is_url, F.regexp_extract("_value", URI_PATTERN, group))
 
-def video_id_of(ref: Column) -> Column:
-    """Video id of a reference; anything that is no known URL form stays as it is, trimmed."""
-    value = _trimmed(ref)
-    authority, path, query = _uri_parts(value)
-    encoded = F.regexp_extract(query, "(?:^|&)v=([^&]+)", 1)
-    watched = F.coalesce(F.try_url_decode(encoded), encoded)
-    embedded = F.regexp_extract(path, "^/(?:shorts|embed)/([^/]*)", 1)
-    return (
-        F.when(~value.contains("://"), value)
-        .when(authority.endswith(SHORT_LINK_HOST), F.regexp_extract(path, "^/*([^/]*)", 1))
-        .when((path == "/watch") & (encoded != ""), watched)
-        .when(path.rlike("^/(?:shorts|embed)/"), embedded)
-        .otherwise(value)
+    return refs.withColumn("_value", _trimmed(F.col(ref))).select(
+        "*",
+        F.lower(part(2)).alias("_authority"),
+        F.regexp_replace(part(3), ";[^/]*$", "").alias("_path"),
+        part(4).alias("_query"),
     )
 
 
-def channel_ref_of(ref: Column) -> Column:
-    """STRUCT<kind, value> of a channel reference, NULL if it is none of the known forms.
-
-    Kinds: ``channel_id``, ``handle``, ``username``.
-    """
-    value = _trimmed(ref)
-    authority, path, _ = _uri_parts(value)
-    steps = F.filter(F.split(path, "/"), lambda step: step != "")
-    first, second = F.get(steps, F.lit(0)), F.get(steps, F.lit(1))
-
-    def parsed(kind: str, text: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), text.alias("value"))
-
-    on_site = value.rlike("^https?://") & authority.isin(*CHANNEL_HOSTS)
-    user = _trimmed(second)
-    return (
-        F.when(value.rlike(CHANNEL_ID_PATTERN), parsed("channel_id", value))
-        .when(value.rlike(HANDLE_PATTERN), parsed("handle", value))
+def with_video_id(refs: DataFrame, ref: str, out: str = "video_id") -> DataFrame:
+    """Adds the video id of a reference; what is no known URL form stays as it is, trimmed."""
+    value, authority, path = F.col("_value"), F.col("_authority"), F.col("_path")
+    parts = _with_uri_parts(refs, ref).withColumn(
+        "_watched", F.when(path == "/watch", F.regexp_extract("_query", "(?:^|&)v=([^&]+)", 1))
+    )
+    video = (
+        F.when(authority.isNull(), value)
+        .when(authority.endswith(SHORT_LINK_HOST), F.regexp_extract(path, "^/*([^/]*)", 1))
+        .when(F.col("_watched") != "", F.coalesce(F.try_url_decode("_watched"), "_watched"))
         .when(
-            on_site & (first == "channel") & second.rlike(CHANNEL_ID_PATTERN),
-            parsed("channel_id", second),
+            path.rlike("^/(?:shorts|embed)/"), F.regexp_extract(path, "^/(?:shorts|embed)/([^/]*)", 1)
         )
-        .when(on_site & first.rlike(HANDLE_PATTERN), parsed("handle", first))
-        .when(on_site & (first == "user") & (user != ""), parsed("username", user))
+        .otherwise(value)
+    )
+    return parts.withColumn(out, video).select(*refs.columns, out)
+
+
+def with_channel_ref(refs: DataFrame, ref: str) -> DataFrame:
+    """Adds ``kind`` (channel_id, handle, username), ``value`` and the lookup key
+    ``input_ref`` (names in lower case); all three are NULL for an unknown form."""
+    value, first, second = F.col("_value"), F.col("_first"), F.col("_second")
+    on_site = value.rlike("^https?://") & F.col("_authority").isin(*CHANNEL_HOSTS)
+    steps = F.filter(F.split(F.when(on_site, F.col("_path")), "/"), lambda step: step != "")
+    parts = (
+        _with_uri_parts(refs, ref)
+        .withColumn("_steps", steps)
+        .withColumn("_first", F.get("_steps", F.lit(0)))
+        .withColumn("_second", F.get("_steps", F.lit(1)))
     )
 
+    def found(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("value"))
 
-def channel_ref_key(ref: Column) -> Column:
-    """Lookup key of a channel reference: ids as they are, names in lower case, NULL if unknown."""
-    parsed = channel_ref_of(ref)
-    return F.when(parsed["kind"] == "channel_id", parsed["value"]).otherwise(F.lower(parsed["value"]))
+    user = _trimmed(second)
+    parsed = (
+        F.when(value.rlike(CHANNEL_ID_PATTERN), found("channel_id", value))
+        .when(value.rlike(HANDLE_PATTERN), found("handle", value))
+        .when((first == "channel") & second.rlike(CHANNEL_ID_PATTERN), found("channel_id", second))
+        .when(first.rlike(HANDLE_PATTERN), found("handle", first))
+        .when((first == "user") & (user != ""), found("username", user))
+    )
+    key = F.when(F.col("kind") == "channel_id", F.col("value")).otherwise(F.lower("value"))
+    parts = computed_once(
+        parts.withColumn("_parsed", parsed), kind=F.col("_parsed.kind"), value=F.col("_parsed.value")
+    )
+    return parts.withColumn("input_ref", key).select(*refs.columns, "kind", "value", "input_ref")

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlens.functions.refs import channel_ref_key, channel_ref_of, video_id_of
+from threadlens.functions.refs import with_channel_ref, with_video_id
 from threadlens.operators.ranking import latest_per_key, top_per_group
 
 
@@ -92,27 +92,21 @@ def latest_runs(runs: DataFrame) -> DataFrame:
 
 def normalize_video_refs(refs: DataFrame, ref: str) -> DataFrame:
     """Adds ``video_id``."""
-    return refs.withColumn("video_id", video_id_of(F.col(ref)))
+    return with_video_id(refs, ref)
 
 
 def normalize_channel_refs(refs: DataFrame, ref: str) -> DataFrame:
     """Adds ``kind``, ``value`` and the lookup key ``input_ref``; all NULL for an unknown form."""
-    parsed = channel_ref_of(F.col(ref))
-    return (
-        refs.withColumn("kind", parsed["kind"])
-        .withColumn("value", parsed["value"])
-        .withColumn(
-            "input_ref",
-            F.when(F.col("kind") == "channel_id", F.col("value")).otherwise(F.lower("value")),
-        )
-    )
+    return with_channel_ref(refs, ref)
 
 
 def upsert_channel_refs(mapping: DataFrame, resolved: DataFrame, ref: str = "raw_ref") -> DataFrame:
-    """The mapping with new resolutions merged in by key; the last write wins."""
-    new = resolved.select(
-        channel_ref_key(F.col(ref)).alias("input_ref"), "channel_id", "resolved_at_utc"
-    ).where(F.col("input_ref").isNotNull())
+    """The mapping with new resolutions merged in by key; the last write wins.
+
+    References are stored as they were typed and normalised here, so every form works.
+    """
+    new = with_channel_ref(resolved.select(ref, "channel_id", "resolved_at_utc"), ref)
+    new = new.where(F.col("input_ref").isNotNull()).select("input_ref", "channel_id", "resolved_at_utc")
     both = mapping.select("input_ref", "channel_id", "resolved_at_utc").withColumn(
         "_new", F.lit(0)
     ).unionByName(new.withColumn("_new", F.lit(1)))
@@ -129,9 +123,9 @@ def resolve_channel_refs(refs: DataFrame, mapping: DataFrame, ref: str = "raw_re
     and says which happened in ``resolved``."""
     known = mapping.select("input_ref", F.col("channel_id").alias("_known"))
     return (
-        refs.withColumn("input_ref", channel_ref_key(F.col(ref)))
+        with_channel_ref(refs, ref)
         .join(known, "input_ref", "left")
         .withColumn("channel_id", F.coalesce("_known", F.col(ref)))
         .withColumn("resolved", F.col("_known").isNotNull())
-        .drop("_known", "input_ref")
+        .drop("_known", "kind", "value", "input_ref")
     )

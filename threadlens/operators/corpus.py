@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.config import CORPUS_VERSION, KeywordConfig, corpus_config_hash
-from threadlens.operators.features import document_features
+from threadlens.operators.features import document_features, token_rows
 
 
 @dataclass(frozen=True)
@@ -55,18 +55,28 @@ def corpus_df(
     return pairs.groupBy("token").agg(F.count("*").alias("df_videos"))
 
 
+def corpus_df_of(stats: DataFrame) -> DataFrame:
+    """(token, df_videos) out of feature counts whose grain is the video: a job that scores
+    videos anyway gets its corpus from the same scan."""
+    return token_rows(stats).groupBy("token").agg(F.count("*").alias("df_videos"))
+
+
 def build_corpus(
     comments: DataFrame,
     config: KeywordConfig,
     preprocess_version: str,
     video: str = "video_id",
     text: str = "text_clean",
+    stats: DataFrame | None = None,
 ) -> Corpus:
-    """Corpus of a clean layer. A video counts even if none of its comments has a feature."""
-    videos = comments.select(video).distinct().count()
+    """Corpus of a clean layer. A video counts even if none of its comments has a feature.
+
+    ``stats`` may pass in the feature counts by video if the caller has them.
+    """
+    tokens = corpus_df(comments, config, video, text) if stats is None else corpus_df_of(stats)
     return Corpus(
-        tokens=corpus_df(comments, config, video, text),
-        video_count=videos,
+        tokens=tokens,
+        video_count=comments.select(video).distinct().count(),
         preprocess_version=preprocess_version,
         config_hash=corpus_config_hash(config),
     )

@@ -124,14 +124,14 @@ def feature_stats(
 def _summed_once(rows: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
     """Grouped sums that several consumers share.
 
-    Filters on the token and unused sums would otherwise be pushed below the
+    Filters on token or grain and unused sums would otherwise be pushed below the
     aggregation, differently for each consumer, and the scan would run once per
-    consumer. Rows that pass through inline() stop that: every consumer asks for the
-    same shuffle and Spark reuses it.
+    consumer. Rows that pass through inline() stop that (see ``computed_once``): every
+    consumer asks for the same shuffle and Spark reuses it.
     """
-    packed = F.array(F.struct("token", *[c.alias(n) for n, c in sums.items()]))
+    packed = F.array(F.struct(*keys, "token", *[c.alias(n) for n, c in sums.items()]))
     grouped = rows.groupBy(*keys, "token").agg(packed.alias("_row"))
-    return grouped.select(*keys, F.inline_outer("_row"))
+    return grouped.select(F.inline_outer("_row"))
 
 
 def _sorted_with_marker(features: str, with_position: bool) -> Column:
@@ -177,8 +177,8 @@ def term_frequency_sum() -> Column:
 
 def document_ngrams(comments: DataFrame, key: str, rules: TokenRules, text: str = "text_clean") -> DataFrame:
     """One row per feature occurrence: key, position in the feature list, feature, words."""
-    features = document_features(comments, rules, text).select(key, F.posexplode("features"))
-    return features.select(
+    features = document_features(comments, rules, text).select(key, F.posexplode_outer("features"))
+    return features.where(F.col("col").isNotNull()).select(
         key,
         F.col("pos").cast("bigint").alias("position"),
         F.col("col").alias("token"),

@@ -246,8 +246,8 @@ def rounded(rows: DataFrame) -> DataFrame:
     return rows.select(*shaped)
 
 
-def corpus_of(comments: DataFrame, config: KeywordConfig) -> Corpus:
-    return build_corpus(comments, config, PREPROCESS_VERSION)
+def corpus_of(comments: DataFrame, config: KeywordConfig, stats: DataFrame | None = None) -> Corpus:
+    return build_corpus(comments, config, PREPROCESS_VERSION, stats=stats)
 
 
 # --- queries ---------------------------------------------------------------------------
@@ -288,8 +288,13 @@ def tfidf_query(
 ) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rows = documents(spark, folder)
-        corpus = corpus_of(rows, config) if with_corpus else None
-        return rounded(tfidf_keywords(rows, grain, config, corpus, drop_sentiment))
+        if not with_corpus:
+            return rounded(tfidf_keywords(rows, grain, config, drop_sentiment=drop_sentiment))
+        # One scan serves the corpus and the grain: coarser counts are sums of video counts.
+        by_video = feature_stats(rows, sorted({*grain, "video_id"}), config)
+        corpus = corpus_of(rows, config, by_video)
+        stats = by_video if grain == VIDEO else roll_up(by_video, grain)
+        return rounded(top_keywords(scored_features(stats, grain, config, corpus), grain, config, drop_sentiment))
 
     return run
 
@@ -298,7 +303,7 @@ def tfidf_conversations_query(drop_sentiment: bool) -> Callable[[SparkSession, s
     """Keywords per speaker role; the sentiment words planted by turn number show the filter."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        planted = F.when(F.col("turn") % 2 == 0, F.concat("text", F.lit(" great amazing setup"))).otherwise(
+        planted = F.when(F.col("turn") % 4 == 0, F.concat("text", F.lit(" great amazing setup"))).otherwise(
             F.col("text")
         )
         rows = conversations(spark, folder).select("role", clean_text(planted).alias("text_clean"))
@@ -343,9 +348,9 @@ def channel_of_video(rows: DataFrame) -> DataFrame:
 def distinctive_query(with_corpus: bool) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rows = documents(spark, folder)
-        corpus = corpus_of(rows, UNIGRAMS) if with_corpus else None
         # One scan serves both grains: channel counts are sums of video counts.
         by_video = feature_stats(rows, ["channel_id", "video_id"], UNIGRAMS)
+        corpus = corpus_of(rows, UNIGRAMS, by_video) if with_corpus else None
         by_channel = roll_up(by_video, CHANNEL)
         keys = ["channel_id", "video_id"]
         mine = top_keywords(scored_features(by_video, keys, UNIGRAMS, corpus), keys, UNIGRAMS)
@@ -488,7 +493,6 @@ def report_query(spark: SparkSession, folder: str) -> DataFrame:
         "channel_id",
         F.lit(PREPROCESS_VERSION).alias("preprocess_version"),
         F.lit(config_hash(STATS)).alias("config_hash"),
-        "row_count",
         "top_tokens",
     )
     summary = keyword_summary(by_channel, CHANNEL, UNIGRAMS).withColumn(
@@ -503,7 +507,7 @@ def report_query(spark: SparkSession, folder: str) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("rank", *fields))).alias("keywords")
     )
     none = F.lit(None).cast("timestamp")
-    runs = stats.select(
+    runs = grain_totals(by_channel, CHANNEL).select(
         "channel_id",
         F.lit(20).cast("bigint").alias("video_count"),
         F.col("row_count").alias("comment_count"),

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadlens.functions.plan import computed_once
 from threadlens.functions.times import iso_utc, parse_utc
 from threadlens.schemas import CLEAN_COMMENT, RAW_COMMENT
 from threadlens.sources.layers import read_keyed, write_keyed
@@ -25,13 +26,11 @@ def parse_raw_lines(lines: DataFrame, line: str = "value", origin: str = "origin
 
     Blank lines are skipped. Unknown fields count as errors, like missing ones.
     """
-    parsed = lines.where(~F.col(line).rlike(r"^\s*$")).select(
-        origin,
-        line,
-        F.json_object_keys(line).alias("_keys"),
-        F.from_json(
-            line, RAW_COMMENT + ", _bad STRING", {"columnNameOfCorruptRecord": "_bad"}
-        ).alias("_record"),
+    record = F.from_json(line, RAW_COMMENT + ", _bad STRING", {"columnNameOfCorruptRecord": "_bad"})
+    parsed = computed_once(
+        lines.where(~F.col(line).rlike(r"^\s*$")).select(origin, line),
+        _keys=F.json_object_keys(line),
+        _record=record,
     )
     unknown = F.array_except("_keys", F.array(*[F.lit(f) for f in _known_fields()]))
     absent = F.filter(

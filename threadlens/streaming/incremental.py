@@ -16,7 +16,8 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from threadlens.config import TokenRules
 from threadlens.operators.cleaning import clean_comments
-from threadlens.operators.features import feature_stats, roll_up, token_rows
+from threadlens.operators.corpus import corpus_df_of
+from threadlens.operators.features import feature_stats, roll_up
 from threadlens.schemas import CHANNEL_RUN, CLEAN_COMMENT, RAW_COMMENT
 
 
@@ -72,8 +73,7 @@ def read_feature_parts(spark: SparkSession, path: str, grain: Sequence[str]) ->
 
 def corpus_df_of_parts(spark: SparkSession, path: str, video: str = "video_id") -> DataFrame:
     """Corpus document frequency out of per-video parts."""
-    pairs = token_rows(read_feature_parts(spark, path, [video])).select(video, "token")
-    return pairs.groupBy("token").agg(F.count("*").alias("df_videos"))
+    return corpus_df_of(read_feature_parts(spark, path, [video]))
 
 
 def write_run_stream(runs: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
