@@ -352,6 +352,10 @@ def test_streams_equal_batch(spark, tmp_path):
     df = {r.token: r.df_videos for r in incremental.corpus_df_of_parts(spark, str(tmp_path / "parts")).collect()}
     assert df == {"red": 1, "cat": 2, "blue": 1, "dog": 1, "bird": 1}
 
+    incremental.compact_feature_parts(spark, str(tmp_path / "parts"), str(tmp_path / "compact"), ["video_id"])
+    compact = incremental.read_feature_parts(spark, str(tmp_path / "compact"), ["video_id"])
+    assert sorted(map(str, compact.collect())) == sorted(map(str, stats.collect()))
+
     live = incremental.running_token_counts(incremental.stream_clean_comments(spark, str(tmp_path / "clean")), ["video_id"], TokenStatsConfig())
     query = live.writeStream.outputMode("complete").format("memory").queryName("live_counts").trigger(availableNow=True).start()
     query.awaitTermination()

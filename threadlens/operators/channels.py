@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.refs import with_channel_ref, with_video_id
+from threadlens.operators.features import roll_up
 from threadlens.operators.ranking import latest_per_key, top_per_group
 
 
@@ -21,6 +22,13 @@ def channel_comments(comments: DataFrame, members: DataFrame) -> DataFrame:
     return comments.join(members.select("channel_id", "video_id").distinct(), "video_id")
 
 
+def channel_stats(video_stats: DataFrame, members: DataFrame) -> DataFrame:
+    """Feature counts by channel out of feature counts by video. Only counted rows meet the
+    membership table; the comment texts are neither joined nor shuffled."""
+    listed = members.select("channel_id", "video_id").distinct()
+    return roll_up(video_stats.join(listed, "video_id"), ["channel_id"])
+
+
 def missing_videos(members: DataFrame, comments: DataFrame) -> DataFrame:
     """Member videos without any clean comment."""
     wanted = members.select("channel_id", "video_id").distinct()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.config import CORPUS_VERSION, KeywordConfig, corpus_config_hash
@@ -55,6 +55,11 @@ def corpus_df(
     return pairs.groupBy("token").agg(F.count("*").alias("df_videos"))
 
 
+def corpus_order() -> list[Column]:
+    """Most widespread features first, equal ones by name."""
+    return [F.col("df_videos").desc(), F.col("token").asc()]
+
+
 def corpus_df_of(stats: DataFrame) -> DataFrame:
     """(token, df_videos) out of feature counts whose grain is the video: a job that scores
     videos anyway gets its corpus from the same scan."""

@@ -18,9 +18,8 @@ from threadlens.config import (
 )
 from threadlens.operators.corpus import Corpus
 from threadlens.operators.distinctive import distinctive_keywords
-from threadlens.operators.features import feature_stats
 from threadlens.operators.keywords import keyword_summary
-from threadlens.operators.stats import token_stats
+from threadlens.operators.stats import token_stats_from
 from threadlens.sources.artifacts import explode_keywords
 
 
@@ -55,14 +54,15 @@ def config_echo(config: KeywordConfig) -> list[Column]:
 
 
 def token_stats_artifacts(
-    comments: DataFrame,
+    stats: DataFrame,
     grain: Sequence[str],
     config: TokenStatsConfig,
     preprocess_version: str,
-    arrival: str | None = None,
+    by_arrival: bool = False,
     created_at: datetime | None = None,
 ) -> DataFrame:
-    rows = token_stats(comments, grain, config, arrival=arrival)
+    """Artifact rows of token statistics out of feature counts."""
+    rows = token_stats_from(stats, grain, config, by_arrival)
     return rows.select(
         *grain,
         _created(created_at),
@@ -73,7 +73,7 @@ def token_stats_artifacts(
 
 
 def keyword_artifacts(
-    comments: DataFrame,
+    stats: DataFrame,
     grain: Sequence[str],
     config: KeywordConfig,
     preprocess_version: str,
@@ -81,9 +81,9 @@ def keyword_artifacts(
     drop_sentiment: bool = True,
     created_at: datetime | None = None,
 ) -> DataFrame:
+    """Artifact rows of keywords out of feature counts."""
     if corpus is not None:
         corpus.require_compatible(config, preprocess_version)
-    stats = feature_stats(comments, grain, config)
     rows = keyword_summary(stats, grain, config, corpus, drop_sentiment)
     return rows.select(
         *grain,

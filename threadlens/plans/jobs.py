@@ -11,14 +11,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime, timezone
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.config import KeywordConfig, TokenStatsConfig
 from threadlens.operators.channels import (
     cap_comments,
-    channel_comments,
     channel_members,
+    channel_stats,
     discover_videos,
     missing_videos,
     preprocess_totals,
@@ -27,6 +28,7 @@ from threadlens.operators.channels import (
 )
 from threadlens.operators.cleaning import clean_comments
 from threadlens.operators.corpus import Corpus, build_corpus
+from threadlens.operators.features import feature_stats
 from threadlens.operators.guards import (
     assert_comparable,
     assert_no_missing_videos,
@@ -100,9 +102,9 @@ def stats_by_video(
 ) -> DataFrame:
     comments = read_clean_comments(spark, clean_path(root), videos)
     version = single_version(comments)
-    rows = token_stats_artifacts(
-        comments, ["video_id"], config.with_stopwords_hash(), version, arrival="arrival"
-    )
+    config = config.with_stopwords_hash()
+    stats = feature_stats(comments, ["video_id"], config, arrival="arrival", weights=False)
+    rows = token_stats_artifacts(stats, ["video_id"], config, version, by_arrival=True)
     write_artifact(rows, root, "token_stats")
     return read_artifact(spark, root, "token_stats", videos)
 
@@ -116,10 +118,11 @@ def keywords_by_video(
     keep_sentiment: bool = False,
 ) -> DataFrame:
     comments = read_clean_comments(spark, clean_path(root), videos)
+    config = config.with_stopwords_hash()
     rows = keyword_artifacts(
-        comments,
+        feature_stats(comments, ["video_id"], config),
         ["video_id"],
-        config.with_stopwords_hash(),
+        config,
         single_version(comments),
         read_corpus(spark, root) if use_corpus else None,
         drop_sentiment=not keep_sentiment,
@@ -172,11 +175,17 @@ def ingest_channels(
     found = flatten_comment_pages(comment_pages).join(
         members.select("video_id").distinct(), "video_id", "left_semi"
     )
+    # Parsed once: the rows feed the error list, the raw layer and the counts.
+    found = found.persist(StorageLevel.DISK_ONLY)
     good, bad = quarantine(found)
     failed = bad.groupBy("video_id").agg(F.min("_reason").alias("error"))
-    saved = cap_comments(good.join(failed, "video_id", "left_anti"), comment_limit)
+    fine = good.join(failed, "video_id", "left_anti")
+    saved = cap_comments(fine, comment_limit)
     write_raw_comments(_with_arrival(saved), raw_path(root), "overwrite" if overwrite else "append")
-    counts = saved.groupBy("video_id").agg(F.count("*").alias("comment_count"))
+    size = F.count("*")
+    if comment_limit is not None:
+        size = F.least(size, F.lit(max(comment_limit, 1)))
+    counts = fine.groupBy("video_id").agg(size.alias("comment_count"))
     status = (
         members.join(failed, "video_id", "left")
         .join(counts, "video_id", "left")
@@ -196,6 +205,7 @@ def ingest_channels(
         .withColumn("published_before", moment(published_before))
     )
     append_runs(runs, root)
+    found.unpersist()
     if refs is not None:
         save_channel_refs(refs, spark, root)
     return read_latest_runs(spark, root)
@@ -215,14 +225,18 @@ def resolve_channels(spark: SparkSession, root: str, refs: Iterable[str] | None)
 
 def _channel_input(
     spark: SparkSession, root: str, refs: Iterable[str] | None
-) -> tuple[DataFrame, DataFrame, str]:
-    """Comments of the channels' latest runs with their channel, the runs, the text version."""
+) -> tuple[DataFrame, DataFrame, DataFrame, str]:
+    """Clean comments for the channels' latest runs, membership, runs and text version.
+
+    For some channels the comments are cut down to their videos first (a small list). For
+    all channels nothing is joined to the texts; membership meets the counts later.
+    """
     runs = read_latest_runs(spark, root, resolve_channels(spark, root, refs))
     members = channel_members(runs)
     layer = read_clean_comments(spark, clean_path(root))
     assert_no_missing_videos(missing_videos(members, layer))
-    comments = channel_comments(layer, members)
-    return comments, runs, single_version(comments)
+    wanted = layer.join(members.select("video_id").distinct(), "video_id", "left_semi")
+    return (layer if refs is None else wanted), members, runs, single_version(wanted)
 
 
 def preprocess_channels(
@@ -249,8 +263,10 @@ def stats_by_channel(
     config: TokenStatsConfig = TokenStatsConfig(),
     refs: Iterable[str] | None = None,
 ) -> DataFrame:
-    comments, runs, version = _channel_input(spark, root, refs)
-    rows = token_stats_artifacts(comments, ["channel_id"], config.with_stopwords_hash(), version)
+    comments, members, runs, version = _channel_input(spark, root, refs)
+    config = config.with_stopwords_hash()
+    by_video = feature_stats(comments, ["video_id"], config, weights=False)
+    rows = token_stats_artifacts(channel_stats(by_video, members), ["channel_id"], config, version)
     write_artifact(rows.join(runs.select("channel_id", "video_ids"), "channel_id"), root, "channel_token_stats")
     return read_artifact(spark, root, "channel_token_stats", resolve_channels(spark, root, refs))
 
@@ -263,11 +279,13 @@ def keywords_by_channel(
     use_corpus: bool = False,
     keep_sentiment: bool = False,
 ) -> DataFrame:
-    comments, runs, version = _channel_input(spark, root, refs)
+    comments, members, runs, version = _channel_input(spark, root, refs)
+    config = config.with_stopwords_hash()
+    by_video = feature_stats(comments, ["video_id"], config)
     rows = keyword_artifacts(
-        comments,
+        channel_stats(by_video, members),
         ["channel_id"],
-        config.with_stopwords_hash(),
+        config,
         version,
         read_corpus(spark, root) if use_corpus else None,
         drop_sentiment=not keep_sentiment,

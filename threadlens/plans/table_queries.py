@@ -462,6 +462,16 @@ def channel_comments_query(spark: SparkSession, folder: str) -> DataFrame:
     return channels.channel_comments(rows.select("doc_id", "video_id"), listed)
 
 
+def membership_tfidf_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Keywords of channels given as a membership table: here every source is a channel."""
+    members = table(spark, folder, "documents").select(
+        F.col("source").alias("channel_id"), F.concat_ws("-", "lang", "source").alias("video_id")
+    )
+    by_video = feature_stats(documents(spark, folder).drop("channel_id"), VIDEO, UNIGRAMS)
+    stats = channels.channel_stats(by_video, members)
+    return rounded(top_keywords(scored_features(stats, CHANNEL, UNIGRAMS), CHANNEL, UNIGRAMS))
+
+
 def lift_guard_query(spark: SparkSession, folder: str) -> DataFrame:
     """Artifacts whose versions differ by document number must be refused, with the reason."""
     rows = table(spark, folder, "documents")
@@ -552,7 +562,8 @@ def corpus_round_trip_query(spark: SparkSession, folder: str) -> DataFrame:
 
 def artifact_round_trip_query(spark: SparkSession, folder: str) -> DataFrame:
     root = work_folder(spark)
-    rows = keyword_artifacts(documents(spark, folder), VIDEO, UNIGRAMS, PREPROCESS_VERSION)
+    stats = feature_stats(documents(spark, folder), VIDEO, UNIGRAMS)
+    rows = keyword_artifacts(stats, VIDEO, UNIGRAMS, PREPROCESS_VERSION)
     artifacts.write_artifact(rows, root, "tfidf")
     stored = artifacts.read_artifact(spark, root, "tfidf")
     return rounded(
@@ -649,6 +660,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "version_guard": version_query,
     "missing_videos": missing_videos_query,
     "channel_comments": channel_comments_query,
+    "tfidf_channel_members": membership_tfidf_query,
     "lift_guard": lift_guard_query,
     "channel_report": report_query,
     "stem_vocabulary": stem_query,

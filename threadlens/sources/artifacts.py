@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from threadlens.operators.channels import latest_runs, upsert_channel_refs
-from threadlens.operators.corpus import Corpus
+from threadlens.operators.corpus import Corpus, corpus_order
 from threadlens.operators.guards import assert_unique
 from threadlens.schemas import CHANNEL_REF, CHANNEL_RUN, CORPUS_META
 from threadlens.sources.layers import read_keyed, write_keyed
@@ -54,7 +54,8 @@ def write_corpus(corpus: Corpus, spark: SparkSession, root: str) -> None:
     """Tall token table plus one row of facts. The facts name the token folder and are written
     last, so a failed run leaves the previous corpus in place."""
     folder = uuid.uuid4().hex
-    corpus.tokens.write.parquet(f"{root}/gold/corpus_df/tokens/{folder}")
+    # In order of df, so that a reader's df band skips most row groups.
+    corpus.tokens.orderBy(*corpus_order()).write.parquet(f"{root}/gold/corpus_df/tokens/{folder}")
     facts = [
         (
             corpus.artifact_version,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,12 @@ def write_keyed(
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     rows = rows.withColumn(BUCKET, bucket_of(F.col(key[0])))
     stored = _stored(rows.sparkSession, path, fmt, rows.schema)
-    if stored is not None and mode != "append":
+    if stored is None or mode == "append":
+        _save(rows, path, key, mode, fmt)
+        return
+    # The new rows are needed for their keys and for the write: computed once, kept on disk.
+    rows = new_rows = rows.persist(StorageLevel.DISK_ONLY)
+    try:
         keys = rows.select(BUCKET, *key).distinct()
         if mode == "refuse":
             clash = stored.join(keys, [BUCKET, *key], "left_semi").select(*key).limit(1).collect()
@@ -43,6 +49,12 @@ def write_keyed(
             touched = [row[0] for row in keys.select(BUCKET).distinct().collect()]
             kept = stored.where(F.col(BUCKET).isin(touched)).join(keys, [BUCKET, *key], "left_anti")
             rows = rows.unionByName(kept.select(*rows.columns))
+        _save(rows, path, key, mode, fmt)
+    finally:
+        new_rows.unpersist()
+
+
+def _save(rows: DataFrame, path: str, key: Sequence[str], mode: str, fmt: str) -> None:
     placed = rows.hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *key)
     writer = placed.write.partitionBy(BUCKET).format(fmt)
     if mode == "overwrite":
@@ -90,7 +102,4 @@ def spread(rows: DataFrame) -> DataFrame:
     """Gives every core something to do when the input is a few small files. Inputs with
     enough splits of their own (any large table) are left alone: no shuffle for them."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    few_files = len(rows.inputFiles()[:cores]) < cores
-    if few_files and rows.rdd.getNumPartitions() < 2 * cores:
-        return rows.repartition(cores)
-    return rows
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

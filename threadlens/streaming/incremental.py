@@ -71,6 +71,12 @@ def read_feature_parts(spark: SparkSession, path: str, grain: Sequence[str]) ->
     return roll_up(spark.read.parquet(path).drop("part"), grain)
 
 
+def compact_feature_parts(spark: SparkSession, path: str, target: str, grain: Sequence[str]) -> None:
+    """Adds up the parts written so far into one part of a new table at ``target``, which
+    can then be read or extended like any other."""
+    read_feature_parts(spark, path, grain).write.parquet(f"{target}/part=-1")
+
+
 def corpus_df_of_parts(spark: SparkSession, path: str, video: str = "video_id") -> DataFrame:
     """Corpus document frequency out of per-video parts."""
     return corpus_df_of(read_feature_parts(spark, path, [video]))
