@@ -372,8 +372,7 @@ GROUP BY video_id""",
     "missing_videos": """SELECT lang AS channel_id, lang || '-' || source AS video_id FROM documents
 GROUP BY lang, source HAVING count(*) FILTER (WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)) = 0""",
     "tfidf_channel_members": _keywords("channel_id", DOCS.replace("lang AS channel_id", "source AS channel_id")),
-    "channel_comments": """SELECT doc_id, lang || '-' || source AS video_id, source AS channel_id FROM documents
-WHERE source IN ('src1', 'src2', 'src3')""",
+    "channel_comments": """SELECT doc_id, lang || '-' || source AS video_id, source AS channel_id FROM documents""",
     "lift_guard": """SELECT channel_id, video_id, CASE WHEN channel_id = 'fr' THEN 'no channel artifact'
   WHEN d % 3 = 0 THEN 'preprocess_version differs' WHEN d % 5 = 0 THEN 'config_hash differs'
   ELSE 'video not in channel' END AS reason

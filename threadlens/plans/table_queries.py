@@ -452,13 +452,11 @@ def missing_videos_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def channel_comments_query(spark: SparkSession, folder: str) -> DataFrame:
-    """Comments of the videos in the runs' lists, doubled entries included."""
+    """Comments with the channels that list their video; the lists hold doubled entries."""
     rows = table(spark, folder, "documents").select(
-        "doc_id", F.concat_ws("-", "lang", "source").alias("video_id"), "lang", "source"
-    )
-    listed = rows.where(F.col("source").isin("src1", "src2", "src3")).select(
-        F.col("source").alias("channel_id"), "video_id"
+        "doc_id", F.concat_ws("-", "lang", "source").alias("video_id"), "source"
     )
+    listed = rows.select(F.col("source").alias("channel_id"), "video_id")
     return channels.channel_comments(rows.select("doc_id", "video_id"), listed)
 
 
