@@ -207,6 +207,9 @@ def test_caps_and_discovery(spark):
     rows = spark.createDataFrame([("v", f"c{i}", i // 3, i % 3) for i in range(8)], "video_id STRING, comment_id STRING, page_no BIGINT, item_no BIGINT")
     for limit, expected in ((0, 1), (1, 1), (4, 4), (5000, 8), (None, 8)):
         assert sorted(r.comment_id for r in channels.cap_comments(rows, limit).collect()) == [f"c{i}" for i in range(expected)]
+    both = rows.unionByName(rows.where("page_no = 0").withColumn("video_id", F.lit("w")))
+    got = sorted((r.video_id, r.comment_id) for r in channels.cap_comments(both, 4).collect())
+    assert got == [("v", f"c{i}") for i in range(4)] + [("w", f"c{i}") for i in range(3)]
     videos = spark.createDataFrame([(f"v{i}", "c", "t", when(2026, 1, i + 1), None) for i in range(5)],
                                    "video_id STRING, channel_id STRING, title STRING, published_at TIMESTAMP, view_count STRING")
     got = channels.discover_videos(videos, 2, when(2026, 1, 2), when(2026, 1, 4))
@@ -311,6 +314,18 @@ def test_jobs_end_to_end(spark, tmp_path):
         artifacts.read_artifact(spark, str(tmp_path / "empty"), "tfidf")
 
 
+def test_page_ingest_caps_each_video(spark, tmp_path):
+    root = str(tmp_path)
+    rows = page_rows(spark, "video_id", [
+        ("v", n, {"items": [comment_item(f"c{n}{i}", f"text {n} {i}") for i in range(3)]}) for n in range(3)
+    ])
+    jobs.ingest_comment_pages(rows, root, limit=4)
+    got = store.read_raw_comments(spark, jobs.raw_path(root)).orderBy("arrival").collect()
+    assert [r.comment_id for r in got] == ["c00", "c01", "c02", "c10"]
+    jobs.ingest_comment_pages(rows, root, limit=None, overwrite=False)
+    assert store.read_raw_comments(spark, jobs.raw_path(root)).count() == 4 + 9
+
+
 def test_missing_member_videos_stop_a_channel_job(spark, tmp_path):
     root = str(tmp_path)
     run = [("c", when(2026, 1, 1), when(2026, 1, 1, 12, 1, 30), ["v1", "gone"], 2, 1, 0, None, None, None, None)]

@@ -38,11 +38,25 @@ def missing_videos(members: DataFrame, comments: DataFrame) -> DataFrame:
 
 
 def cap_comments(comments: DataFrame, limit: int | None) -> DataFrame:
-    """First comments of each video in arrival order (page, item). A cap of 0 keeps one."""
+    """First comments of each video in arrival order (page, item). A cap of 0 keeps one.
+
+    Only videos above the cap are ranked, and only by their keys: the place of the last
+    comment to keep is found per video, and the comments are filtered by it. The texts
+    take part in no window; they are shuffled only if the table of places is too large
+    for Spark to broadcast.
+    """
     if limit is None:
         return comments
-    order = [F.col("page_no").asc(), F.col("item_no").asc(), F.col("comment_id").asc()]
-    return top_per_group(comments, ["video_id"], order, max(limit, 1), rank="_nth").drop("_nth")
+    limit = max(limit, 1)
+    place = ["page_no", "item_no", "comment_id"]
+    keys = comments.select("video_id", *place)
+    above = keys.groupBy("video_id").count().where(F.col("count") > limit)
+    ranked = top_per_group(
+        keys.join(above, "video_id", "left_semi"), ["video_id"], [F.col(c).asc() for c in place], limit
+    )
+    last = ranked.where(F.col("rank") == limit).select("video_id", F.struct(*place).alias("_last"))
+    kept = F.col("_last").isNull() | (F.struct(*place) <= F.col("_last"))
+    return comments.join(last, "video_id", "left").where(kept).select(*comments.columns)
 
 
 def discover_videos(

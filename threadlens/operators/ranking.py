@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Up to this k Spark itself keeps only k rows per group and map task before the shuffle
-# (default of spark.sql.optimizer.windowGroupLimitThreshold).
-ENGINE_LIMIT = 1000
+# Up to this k Spark itself keeps only k rows per group and map task before the shuffle.
+ENGINE_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 SPLITS = 256
 
 
@@ -23,7 +22,7 @@ def top_per_group(
     hash splits: a row that is not among the first k of its split cannot be among the
     first k of the group, so the result is exact.
     """
-    if k > ENGINE_LIMIT:
+    if k > int(rows.sparkSession.conf.get(ENGINE_LIMIT, "1000")):
         split = F.pmod(F.xxhash64(*rows.columns), F.lit(SPLITS))
         within = Window.partitionBy(*group, "_split").orderBy(*order)
         rows = (

@@ -80,8 +80,13 @@ def ingest_comment_pages(
     pages: DataFrame, root: str, limit: int | None = 5000, overwrite: bool = True
 ) -> None:
     """Landed comment pages to the raw layer, capped per video."""
-    comments = cap_comments(strict(flatten_comment_pages(pages)), limit)
-    write_raw_comments(_with_arrival(comments), raw_path(root), "overwrite" if overwrite else "append")
+    # Parsed once: capping looks at the keys before it filters the comments.
+    found = strict(flatten_comment_pages(pages)).persist(StorageLevel.DISK_ONLY)
+    try:
+        comments = cap_comments(found, limit)
+        write_raw_comments(_with_arrival(comments), raw_path(root), "overwrite" if overwrite else "append")
+    finally:
+        found.unpersist()
 
 
 def preprocess(
