@@ -182,35 +182,32 @@ def ingest_channels(
     )
     # Parsed once: the rows feed the error list, the raw layer and the counts.
     found = found.persist(StorageLevel.DISK_ONLY)
-    good, bad = quarantine(found)
-    failed = bad.groupBy("video_id").agg(F.min("_reason").alias("error"))
-    fine = good.join(failed, "video_id", "left_anti")
-    saved = cap_comments(fine, comment_limit)
-    write_raw_comments(_with_arrival(saved), raw_path(root), "overwrite" if overwrite else "append")
-    size = F.count("*")
-    if comment_limit is not None:
-        size = F.least(size, F.lit(max(comment_limit, 1)))
-    counts = fine.groupBy("video_id").agg(size.alias("comment_count"))
-    status = (
-        members.join(failed, "video_id", "left")
-        .join(counts, "video_id", "left")
-        .withColumn("comment_count", F.coalesce("comment_count", F.lit(0)))
-    )
-
-    def moment(value: datetime | None):
-        return F.lit(value).cast("timestamp")
-
-    runs = (
-        summarize_run(status)
-        .withColumn("started_at_utc", moment(started))
-        .withColumn("finished_at_utc", moment(datetime.now(timezone.utc)))
-        .withColumn("video_limit", F.lit(video_limit).cast("bigint"))
-        .withColumn("comment_limit", F.lit(comment_limit).cast("bigint"))
-        .withColumn("published_after", moment(published_after))
-        .withColumn("published_before", moment(published_before))
-    )
-    append_runs(runs, root)
-    found.unpersist()
+    try:
+        good, bad = quarantine(found)
+        failed = bad.groupBy("video_id").agg(F.min("_reason").alias("error"))
+        fine = good.join(failed, "video_id", "left_anti")
+        saved = cap_comments(fine, comment_limit)
+        write_raw_comments(_with_arrival(saved), raw_path(root), "overwrite" if overwrite else "append")
+        size = F.count("*")
+        if comment_limit is not None:
+            size = F.least(size, F.lit(max(comment_limit, 1)))
+        counts = fine.groupBy("video_id").agg(size.alias("comment_count"))
+        status = (
+            members.join(failed, "video_id", "left")
+            .join(counts, "video_id", "left")
+            .withColumn("comment_count", F.coalesce("comment_count", F.lit(0)))
+        )
+        settings = {
+            "started_at_utc": F.lit(started).cast("timestamp"),
+            "finished_at_utc": F.lit(datetime.now(timezone.utc)).cast("timestamp"),
+            "video_limit": F.lit(video_limit).cast("bigint"),
+            "comment_limit": F.lit(comment_limit).cast("bigint"),
+            "published_after": F.lit(published_after).cast("timestamp"),
+            "published_before": F.lit(published_before).cast("timestamp"),
+        }
+        append_runs(summarize_run(status).withColumns(settings), root)
+    finally:
+        found.unpersist()
     if refs is not None:
         save_channel_refs(refs, spark, root)
     return read_latest_runs(spark, root)
