@@ -8,7 +8,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from oracle_check import compare, duck
-from threadlens.plans.table_queries import UNIGRAMS, VIDEO, documents
+from threadlens.plans.table_queries import QUERIES, UNIGRAMS, VIDEO, documents
 from threadlens.operators.keywords import tfidf_keywords
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -19,7 +19,7 @@ def connection():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     sql = oracle_sql().get(name)
     if sql is None:
@@ -29,7 +29,7 @@ def test_query(spark, connection, name):
 
 
 def test_only_stemming_has_no_sql():
-    assert set(queries()) - set(oracle_sql()) == {"tfidf_stemmed", "stem_vocabulary"}
+    assert set(QUERIES) - set(oracle_sql()) == {"tfidf_stemmed", "stem_vocabulary"}
 
 
 def test_entry(spark):
