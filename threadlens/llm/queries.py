@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import byte_bpe, quality_rules, url_filter
+from threadlens.llm import byte_bpe, pii, quality_rules, secret_scan, url_filter
 from threadlens.session import ship_package
 
 #: Fixed values of the query: the rules, and what decides where none of them fits.
@@ -25,6 +25,16 @@ def tokenizer() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    ledger = secret_scan.scan(docs, path="doc_id")
+    return secret_scan.digest(secret_scan.findings(docs, ledger, path="doc_id")).withColumnRenamed("path", "doc_id")
+
+
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find_pii(table(spark, folder, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, folder, "pages"), URL_RULES, URL_EXTRA)
 
@@ -38,6 +48,8 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
+    "op2_pii": op2_pii,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
@@ -62,4 +74,38 @@ SELECT page_id, host, path, rule,
        n + CASE WHEN host LIKE '%spam%' THEN 1 ELSE 0 END AS matched
 FROM hits"""
 
-LLM_ORACLES = {"op3_url_filter": OP3_SQL}
+
+
+def spans_sql(text: str, rules: list[tuple[str, str, str]]) -> str:
+    """A list of structs (s, k, e, kind) of all matches of RE2 patterns; the condition sees a match as ``m``.
+
+    The places follow from the lengths of the matches and of the pieces between them.
+    """
+    parts = []
+    for k, (kind, pattern, keep) in enumerate(rules):
+        rx = "'" + pattern.replace("'", "''") + "'"
+        parts.append(
+            f"list_filter(list_transform(range(1, len(regexp_extract_all({text}, {rx})) + 1), lambda i: {{"
+            f"'s': list_sum(list_transform(string_split_regex({text}, {rx})[1:i], lambda x: length(x))) "
+            f"+ coalesce(list_sum(list_transform(regexp_extract_all({text}, {rx})[1:i - 1], lambda x: length(x))), 0), "
+            f"'k': {k}, 'm': regexp_extract_all({text}, {rx})[i], 'kind': '{kind}'}}), lambda z: {keep})")
+    return f"list_sort(list_concat({', '.join(parts)}))" if len(parts) > 1 else f"list_sort({parts[0]})"
+
+
+def _op1_sql() -> str:
+    rules = []
+    for r in secret_scan.RULES:
+        of = f"regexp_extract(z.m, '{r.pattern.replace(chr(39), chr(39) * 2)}', {r.group})"
+        rules.append((r.kind, r.pattern, f"length({of}) >= {r.at_least}"))
+    base = ", ".join(f"'{r.kind}'" for r in secret_scan.RULES if r.base)
+    show = "list_transform(f, lambda z: z.kind || ':' || z.s::BIGINT || ':' || (z.s + length(z.m))::BIGINT)"
+    only = f"list_transform(list_filter(f, lambda z: z.kind IN ({base})), lambda z: z.kind || ':' || z.s::BIGINT || ':' || (z.s + length(z.m))::BIGINT)"
+    counts = ", ".join(f"len(list_filter(f, lambda z: z.kind = '{r.kind}'))::BIGINT AS n_{r.kind}" for r in secret_scan.RULES if r.base)
+    return (
+        f"WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), x AS (SELECT doc_id, t, {spans_sql('t', rules)} AS f FROM d) "
+        f"SELECT doc_id, sha256(t) AS blob, {counts}, sha256(coalesce(array_to_string({only}, ','), '')) AS base_sha256, "
+        f"coalesce(array_to_string({show}, ','), '') AS spans FROM x"
+    )
+
+
+LLM_ORACLES = {"op1_secret_scan": _op1_sql(), "op3_url_filter": OP3_SQL}
