@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import byte_bpe, pii, quality_rules, secret_scan, url_filter
+from threadlens.llm import byte_bpe, decontaminate, pii, quality_rules, secret_scan, url_filter
 from threadlens.session import ship_package
 
 #: Fixed values of the query: the rules, and what decides where none of them fits.
@@ -47,12 +47,18 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), *tokenizer())
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("items", "h")
+
+
 LLM_QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_pii": op2_pii,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
     "op6_byte_bpe": op6_byte_bpe,
+    "op9_decontamination": op9_decontamination,
 }
 
 OP3_SQL = r"""
@@ -76,36 +82,53 @@ FROM hits"""
 
 
 
-def spans_sql(text: str, rules: list[tuple[str, str, str]]) -> str:
-    """A list of structs (s, k, e, kind) of all matches of RE2 patterns; the condition sees a match as ``m``.
-
-    The places follow from the lengths of the matches and of the pieces between them.
-    """
+def _op1_sql() -> str:
+    """Places follow from the lengths of the matches and of the pieces between them. Runs that would be
+    dropped for their length are left out of the patterns where that cannot change other matches."""
+    patterns = [r.pattern.replace("'", "''") for r in secret_scan.RULES]
+    patterns[1], patterns[2] = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"
+    cut = ", ".join(f"regexp_extract_all(t, '{p}') AS m{i}, string_split_regex(t, '{p}') AS g{i}" for i, p in enumerate(patterns))
     parts = []
-    for k, (kind, pattern, keep) in enumerate(rules):
-        rx = "'" + pattern.replace("'", "''") + "'"
+    for i, rule in enumerate(secret_scan.RULES):
+        start = (
+            f"list_sum(list_transform(g{i}[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m{i}[1:i - 1], lambda x: length(x))), 0)"
+        )
         parts.append(
-            f"list_filter(list_transform(range(1, len(regexp_extract_all({text}, {rx})) + 1), lambda i: {{"
-            f"'s': list_sum(list_transform(string_split_regex({text}, {rx})[1:i], lambda x: length(x))) "
-            f"+ coalesce(list_sum(list_transform(regexp_extract_all({text}, {rx})[1:i - 1], lambda x: length(x))), 0), "
-            f"'k': {k}, 'm': regexp_extract_all({text}, {rx})[i], 'kind': '{kind}'}}), lambda z: {keep})")
-    return f"list_sort(list_concat({', '.join(parts)}))" if len(parts) > 1 else f"list_sort({parts[0]})"
-
-
-def _op1_sql() -> str:
-    rules = []
-    for r in secret_scan.RULES:
-        of = f"regexp_extract(z.m, '{r.pattern.replace(chr(39), chr(39) * 2)}', {r.group})"
-        rules.append((r.kind, r.pattern, f"length({of}) >= {r.at_least}"))
-    base = ", ".join(f"'{r.kind}'" for r in secret_scan.RULES if r.base)
-    show = "list_transform(f, lambda z: z.kind || ':' || z.s::BIGINT || ':' || (z.s + length(z.m))::BIGINT)"
-    only = f"list_transform(list_filter(f, lambda z: z.kind IN ({base})), lambda z: z.kind || ':' || z.s::BIGINT || ':' || (z.s + length(z.m))::BIGINT)"
-    counts = ", ".join(f"len(list_filter(f, lambda z: z.kind = '{r.kind}'))::BIGINT AS n_{r.kind}" for r in secret_scan.RULES if r.base)
+            f"list_filter(list_transform(range(1, len(m{i}) + 1), lambda i: {{'s': ({start})::BIGINT, 'k': {i}, 'm': m{i}[i]}}), "
+            f"lambda z: length(regexp_extract(z.m, '{patterns[i]}', {rule.group})) >= {rule.at_least})"
+        )
+    kinds = "[" + ", ".join(f"'{r.kind}'" for r in secret_scan.RULES) + "]"
+    show = f"list_transform({{}}, lambda z: {kinds}[z.k + 1] || ':' || z.s || ':' || (z.s + length(z.m)))"
+    base = "list_filter(f, lambda z: z.k < 3)"
+    counts = ", ".join(f"len(list_filter(f, lambda z: z.k = {i}))::BIGINT AS n_{r.kind}" for i, r in enumerate(secret_scan.RULES) if r.base)
     return (
-        f"WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), x AS (SELECT doc_id, t, {spans_sql('t', rules)} AS f FROM d) "
-        f"SELECT doc_id, sha256(t) AS blob, {counts}, sha256(coalesce(array_to_string({only}, ','), '')) AS base_sha256, "
-        f"coalesce(array_to_string({show}, ','), '') AS spans FROM x"
+        f"WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), c AS (SELECT doc_id, t, {cut} FROM d), "
+        f"x AS (SELECT doc_id, t, list_sort(list_concat({', '.join(parts)})) AS f FROM c) "
+        f"SELECT doc_id, sha256(t) AS blob, {counts}, sha256(coalesce(array_to_string({show.format(base)}, ','), '')) AS base_sha256, "
+        f"coalesce(array_to_string({show.format('f')}, ','), '') AS spans FROM x"
     )
 
 
-LLM_ORACLES = {"op1_secret_scan": _op1_sql(), "op3_url_filter": OP3_SQL}
+OP9_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
+i AS (
+  SELECT item_id::VARCHAR AS item, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),
+iw AS (
+  SELECT DISTINCT item, len(win) AS n, array_to_string(win, ' ') AS win
+  FROM (SELECT item, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), lambda p: w[p:p + 12])) AS win FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM iw),
+dw AS (
+  SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM w, sizes)),
+h AS (SELECT doc_id, p, dw.n AS n, item FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
+c AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, list_sort(list_distinct(list(item))) AS items FROM h GROUP BY doc_id)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w.w) AS contaminated
+FROM w LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+LLM_ORACLES = {"op9_decontamination": OP9_SQL, "op1_secret_scan": _op1_sql(), "op3_url_filter": OP3_SQL}
