@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import byte_bpe, decontaminate, pii, quality_rules, secret_scan, url_filter
+from threadlens.llm import byte_bpe, decontaminate, pii, quality_rules, secret_scan, substring_dedup, url_filter
 from threadlens.session import ship_package
 
 #: Fixed values of the query: the rules, and what decides where none of them fits.
@@ -43,6 +43,11 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge_quality(table(spark, folder, "documents"))
 
 
+def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring_dedup.remove_repeats(table(spark, folder, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"), "spans")
+
+
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), *tokenizer())
 
@@ -57,6 +62,7 @@ LLM_QUERIES = {
     "op2_pii": op2_pii,
     "op3_url_filter": op3_url_filter,
     "op4_quality_rules": op4_quality_rules,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_byte_bpe": op6_byte_bpe,
     "op9_decontamination": op9_decontamination,
 }

@@ -21,8 +21,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written as Parquet and read again: its lineage ends there, and a lost executor costs
-    no recomputation. The folder's owner removes old tables."""
+    no recomputation. The folder's owner removes old tables.
+
+    Shuffle files go when the driver's JVM finds that nothing refers to them any more, so it is
+    asked to look now, before the next step writes its own.
+    """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     frame.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(frame.schema).parquet(path)
