@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlens.llm import byte_bpe, decontaminate, pii, quality_rules, secret_scan, substring_dedup, url_filter
+from threadlens.llm import (
+    byte_bpe,
+    decontaminate,
+    jaccard_join,
+    pii,
+    preference_format,
+    quality_rules,
+    secret_scan,
+    substring_dedup,
+    toxicity,
+    url_filter,
+)
 from threadlens.session import ship_package
 
 #: Fixed values of the query: the rules, and what decides where none of them fits.
@@ -52,6 +63,23 @@ def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"), *tokenizer())
 
 
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op8_preferences(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations 2i and 2i + 1 as chosen and rejected."""
+    turns = table(spark, folder, "conversations")
+    ids = turns.select("conv_id").distinct()
+    pairs = ids.where("conv_id % 2 = 0").selectExpr("conv_id div 2 as pair_id", "conv_id as chosen_id", "conv_id + 1 as rejected_id")
+    return preference_format.format_preferences(turns, pairs)
+
+
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    joined = jaccard_join.join_classes(table(spark, folder, "documents"))
+    return joined.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
 def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("items", "h")
@@ -64,7 +92,10 @@ LLM_QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_byte_bpe": op6_byte_bpe,
+    "op7_toxicity": op7_toxicity,
+    "op8_preferences": op8_preferences,
     "op9_decontamination": op9_decontamination,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 OP3_SQL = r"""
@@ -137,4 +168,27 @@ SELECT w.doc_id, len(w.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w.w) AS contaminated
 FROM w LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""
 
-LLM_ORACLES = {"op9_decontamination": OP9_SQL, "op1_secret_scan": _op1_sql(), "op3_url_filter": OP3_SQL}
+OP8_SQL = r"""
+WITH t AS (
+  SELECT conv_id, list(r ORDER BY turn, role, text) AS a
+  FROM (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS r
+        FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id),
+p AS (
+  SELECT c.conv_id // 2 AS pair_id, c.conv_id AS chosen_id, r.conv_id AS rejected_id, c.a AS a, r.a AS b,
+         len(list_filter(range(1, least(len(c.a), len(r.a)) + 1), lambda i: c.a[1:i] = r.a[1:i])) AS n
+  FROM t c JOIN t r ON r.conv_id = c.conv_id + 1 WHERE c.conv_id % 2 = 0),
+x AS (SELECT *, a[1:n] AS s, a[n + 1:] AS u, b[n + 1:] AS v FROM p)
+SELECT pair_id, chosen_id, rejected_id, n::BIGINT AS n_prompt_turns,
+  coalesce(array_to_string(list_transform(s, lambda z: '<|' || z.role || '|>' || chr(10) || z.text || chr(10)), ''), '') AS prompt,
+  coalesce(array_to_string(list_transform(u, lambda z: '<|' || z.role || '|>' || chr(10) || z.text || chr(10)), ''), '') AS chosen,
+  coalesce(array_to_string(list_transform(list_filter(range(1, len(u) + 1), lambda i: u[i].role = 'assistant'), lambda i:
+    (coalesce(list_sum(list_transform(u[1:i - 1], lambda z: length(z.role) + length(z.text) + 6)), 0) + length(u[i].role) + 5)::BIGINT || ':' ||
+    (coalesce(list_sum(list_transform(u[1:i - 1], lambda z: length(z.role) + length(z.text) + 6)), 0) + length(u[i].role) + 5 + length(u[i].text))::BIGINT), ','), '') AS chosen_mask,
+  coalesce(array_to_string(list_transform(v, lambda z: '<|' || z.role || '|>' || chr(10) || z.text || chr(10)), ''), '') AS rejected,
+  coalesce(array_to_string(list_transform(list_filter(range(1, len(v) + 1), lambda i: v[i].role = 'assistant'), lambda i:
+    (coalesce(list_sum(list_transform(v[1:i - 1], lambda z: length(z.role) + length(z.text) + 6)), 0) + length(v[i].role) + 5)::BIGINT || ':' ||
+    (coalesce(list_sum(list_transform(v[1:i - 1], lambda z: length(z.role) + length(z.text) + 6)), 0) + length(v[i].role) + 5 + length(v[i].text))::BIGINT), ','), '') AS rejected_mask
+FROM x"""
+
+LLM_ORACLES = {"op8_preferences": OP8_SQL, "op9_decontamination": OP9_SQL, "op1_secret_scan": _op1_sql(), "op3_url_filter": OP3_SQL}

@@ -45,7 +45,7 @@ def _table(base: int, n: int) -> np.ndarray:
     return _powers(base, 1 << max(n, SLICE_BYTES + 1).bit_length())
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int = "text") -> Iterator[pa.RecordBatch]:
     """The batch cut into runs of rows of at most SLICE_BYTES of text (one row at least)."""
     sizes = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
     start = 0
