@@ -6,7 +6,7 @@ necessary shingle with it. So each document first announces its prefix: the firs
 shingles in one global order, common ones last. Documents that share a prefix shingle form a region, and
 linked documents share one. Copies count as one document (a class) throughout.
 
-A region elects a pivot, and every member's exact distance to it is found, once however many regions ask. Members within
+A region elects a pivot (later rounds several), and every member's exact distance to it is found, once however many regions ask. Members within
 the threshold join the pivot's cell and are connected by it: they need no comparison among
 themselves. The others form the next region, and of the cell only boundary documents y are copied there, with
 |d(x, p) - d(y, p)| <= threshold for some x left over (triangle inequality). Regions of a few
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,6 +32,8 @@ SHINGLE = 5
 PERCENT = 80
 #: Regions of up to SMALL classes compare pairs directly, and those left by a pivot up to REST; shingles in more than COMMON texts come last.
 SMALL, REST, COMMON = 16, 64, 24
+#: Pivots that a region elects: one at first, twice as many in each later round, up to so many.
+SEATS = 64
 #: The list of common shingles that is sent to all executors never has more entries; it only orders shingles.
 COMMON_LIST = 1_000_000
 SALTS = 16
@@ -252,26 +254,40 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     known = stored(distances(pairs, sets), "distances")
     edges = known.where(near).select("a", "b")
     state = met.where("b is null").select("region", F.col("a").alias("c"), "n", F.lit(True).alias("open"))
+    seats = 1
     while not state.isEmpty():
-        pivots = state.where("open").groupBy("region").agg(F.min(F.struct(F.xxhash64("c").alias("o"), "c", "n")).alias("p"))
-        faced = state.join(pivots, "region").select("region", "c", "n", "open", F.col("p.c").alias("p"), F.col("p.n").alias("pn")).where("c != p")
-        asked = faced.where(100 * F.least("n", "pn") >= PERCENT * F.greatest("n", "pn") / 2).select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
+        first = Window.partitionBy("region").orderBy(F.xxhash64("c"), "c")
+        pivots = state.where("open").withColumn("seat", F.row_number().over(first)).where(F.col("seat") <= seats)
+        pivots = stored(pivots.select("region", F.col("c").alias("p"), F.col("n").alias("pn")), "pivots")
+        faced = state.join(pivots, "region").select("region", "c", "n", "open", "p", "pn").where("c != p")
+        # sizes further apart put a distance beyond twice the threshold; it stays unknown (null)
+        reach = 100 * F.least("n", "pn") >= (2 * PERCENT - 100) * F.greatest("n", "pn")
+        asked = faced.where(reach).select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
         found = stored(distances(asked, sets), "distances")
         edges = edges.union(found.where(near).select("a", "b"))
         keyed = found.select("a", "b", (1 - F.col("same") / F.col("either")).alias("d"), near.alias("near"))
         placed = faced.withColumn("a", F.least("c", "p")).withColumn("b", F.greatest("c", "p")).join(keyed, ["a", "b"], "left")
-        cell = F.coalesce("near", F.lit(False))
-        placed = stored(placed.select("region", "c", "n", (F.col("open") & ~cell).alias("open"), cell.alias("cell"), F.coalesce("d", F.lit(1.0)).alias("d")), "cells")
-        left = placed.where("open").groupBy("region").agg(F.min("d").alias("least"), F.count("*").alias("size"))
-        # a closed member outside the cell stays; one of the cell stays if it is near the boundary
-        after = placed.join(left, "region").where(F.col("open") | ~F.col("cell") | (F.col("d") >= F.col("least") - (100 - PERCENT) / 100 - 1e-9))
-        after = stored(after.select("region", "c", "n", "open", "d"), "state")
+        placed = placed.select("region", "c", "n", "open", "p", F.coalesce("near", F.lit(False)).alias("cell"), "d")
+        # pivots have met everybody and leave; members of a cell are closed, the rest stay open
+        rest = placed.join(pivots.select("region", F.col("p").alias("c")), ["region", "c"], "left_anti")
+        rest = stored(rest, "cells")
+        members = rest.groupBy("region", "c").agg(
+            F.max("n").alias("n"), (F.max("open") & ~F.max("cell")).alias("open"), F.max("cell").alias("cell"), F.min(F.struct("p", "d")).alias("x"))
+        members = stored(members.select("region", "c", "n", "open", "cell", F.col("x.p").alias("p"), F.col("x.d").alias("d")), "members")
+        least = rest.join(members.where("open").select("region", "c"), ["region", "c"], "left_semi").groupBy("region", "p").agg(F.min("d").alias("least"))
+        near_left = rest.where("cell").join(least, ["region", "p"]).groupBy("region", "c").agg(
+            F.min(F.col("d") >= F.col("least") - (100 - PERCENT) / 100 - 1e-9).alias("boundary"))
+        waiting = members.where("open").select("region").distinct()
+        after = members.join(waiting, "region", "left_semi").join(near_left, ["region", "c"], "left")
+        # a closed member stays unless some pivot's cell that holds it is out of reach of all open members
+        after = stored(after.where(F.col("open") | ~F.col("cell") | F.col("boundary")).select("region", "c", "n", "open", "p", "d"), "state")
+        seats = min(2 * seats, SEATS)
         sizes = after.groupBy("region").agg(F.count("*").alias("size"))
         small = after.join(sizes.where(F.col("size") <= REST), "region")
         x, y = small.alias("x"), small.alias("y")
         close = (
             (F.col("x.region") == F.col("y.region")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.open") | F.col("y.open"))
-            & (F.abs(F.col("x.d") - F.col("y.d")) <= (100 - PERCENT) / 100 + 1e-9)
+            & ((F.col("x.p") != F.col("y.p")) | F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= (100 - PERCENT) / 100 + 1e-9, F.lit(True)))
             & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")))
         last = stored(distances(x.join(y, close).select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct(), sets), "distances")
         edges = edges.union(last.where(near).select("a", "b"))
