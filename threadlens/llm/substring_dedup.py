@@ -48,12 +48,12 @@ def _joined(column: pa.ChunkedArray) -> bytes:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` as (doc_id, k, h, text): k hashes the id, h the text; rows that are equal share them."""
-    return docs.select("doc_id", F.xxhash64("doc_id").alias("k"), F.xxhash64("text").alias("h"), "text")
+    """``docs`` as (doc_id, u, text): u is a 64-bit hash of id and text, by which places name their row; equal rows share it."""
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("u"), "text")
 
 
 def anchors(rows: DataFrame, block: int, buckets: int) -> DataFrame:
-    """(k, h, block): the blocks whose words stand anywhere else too (up to false hits, which cost only time)."""
+    """(u, block): the blocks whose words stand anywhere else too (up to false hits, which cost only time)."""
     schema = T.StructType().add("bucket", "integer").add("probes", "binary").add("blocks", "binary").add("places", "binary")
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -73,9 +73,9 @@ def anchors(rows: DataFrame, block: int, buckets: int) -> DataFrame:
                 own = np.flatnonzero(words.places[at] % block == 0)
                 own = own[np.argsort(bucket[own], kind="stable")]
                 own_cut = _cuts(bucket[own], buckets)
-                place = np.empty(len(own), [("k", "<i8"), ("h", "<i8"), ("n", "<i4")])
+                place = np.empty(len(own), [("u", "<i8"), ("n", "<i4")])
                 of = words.rows[at[own]]
-                place["k"], place["h"] = batch.column("k").to_numpy()[of], batch.column("h").to_numpy()[of]
+                place["u"] = batch.column("u").to_numpy()[of]
                 place["n"] = words.places[at[own]] // block
                 full = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_arrays(
@@ -89,19 +89,20 @@ def anchors(rows: DataFrame, block: int, buckets: int) -> DataFrame:
         seen = np.sort(_unpacked(_joined(table["probes"])))
         twice = np.unique(seen[1:][seen[1:] == seen[:-1]])
         blocks = _unpacked(_joined(table["blocks"]))
-        place = np.frombuffer(_joined(table["places"]), [("k", "<i8"), ("h", "<i8"), ("n", "<i4")])
+        place = np.frombuffer(_joined(table["places"]), [("u", "<i8"), ("n", "<i4")])
         hit = place[np.isin(blocks, twice)]
-        return pa.table({"k": hit["k"].copy(), "h": hit["h"].copy(), "block": hit["n"].copy()})
+        return pa.table({"u": hit["u"].copy(), "block": hit["n"].copy()})
 
-    found = rows.select("k", "h", "text").mapInArrow(probe, schema)
-    return found.groupBy("bucket").applyInArrow(look_up, "k long, h long, block int")
+    found = rows.select("u", "text").mapInArrow(probe, schema)
+    return found.groupBy("bucket").applyInArrow(look_up, "u long, block int")
 
 
 def repeated_windows(rows: DataFrame, hits: DataFrame, window: int, block: int, buckets: int) -> DataFrame:
-    """(k, h, starts): per document the first words of the windows whose sequence starts elsewhere too."""
-    per_doc = hits.groupBy("k", "h").agg(F.collect_set("block").alias("blocks"))
-    wanted = rows.select("k", "h", "text").join(per_doc.hint("shuffle_hash"), ["k", "h"])
-    place_type = [("k", "<i8"), ("h", "<i8"), ("n", "<i4")]
+    """(u, starts): per document the first words of the windows whose sequence starts elsewhere too."""
+    per_doc = hits.groupBy("u").agg(F.collect_set("block").alias("blocks"))
+    wanted = rows.select("u", "text").join(per_doc.hint("shuffle_hash"), "u")
+    parts = buckets
+    place_type = [("u", "<i8"), ("n", "<i4")]
     schema = T.StructType().add("bucket", "integer").add("keys", "binary").add("places", "binary")
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,7 +134,7 @@ def repeated_windows(rows: DataFrame, hits: DataFrame, window: int, block: int,
                 key["a"], key["c"], key["many"] = a[heads], c[heads], count > 1
                 place = np.empty(len(a), place_type)
                 of = words.rows[at]
-                place["k"], place["h"], place["n"] = batch.column("k").to_numpy()[of], batch.column("h").to_numpy()[of], words.places[at]
+                place["u"], place["n"] = batch.column("u").to_numpy()[of], words.places[at]
                 cut = _cuts(bucket[heads], buckets)
                 full = np.flatnonzero(np.diff(cut))
                 sent = [(key[cut[i] : cut[i + 1]].tobytes(), place[heads[cut[i] : cut[i + 1]]][count[cut[i] : cut[i + 1]] == 1].tobytes()) for i in full]
@@ -160,15 +161,32 @@ def repeated_windows(rows: DataFrame, hits: DataFrame, window: int, block: int,
             repeated = np.empty(len(a), bool)
             repeated[order] = times[group] > 1
             place = place[repeated[key["many"] == 0]]
-        place = place[np.lexsort((place["n"], place["h"], place["k"]))]
-        new = np.ones(len(place), bool)
-        new[1:] = (place["k"][1:] != place["k"][:-1]) | (place["h"][1:] != place["h"][:-1])
-        head = np.flatnonzero(new)
-        starts = pa.ListArray.from_arrays(pa.array(np.append(head, len(place)).astype(np.int32)), pa.array(place["n"].copy()))
-        return pa.table({"k": place["k"][head], "h": place["h"][head], "starts": starts})
+        # a packed row per part of the documents: each document's number of places, and the places
+        part = place["u"] % parts
+        order = np.lexsort((place["u"], part))
+        place, part = place[order], part[order]
+        cut = _cuts(part, parts)
+        full = np.flatnonzero(np.diff(cut))
+        rows = []
+        for i in full:
+            own = place[cut[i] : cut[i + 1]]
+            u, n = np.unique(own["u"], return_counts=True)
+            rows.append((u.astype("<i8").tobytes(), n.astype("<i4").tobytes(), own["n"].tobytes()))
+        names = ("documents", "counts", "places")
+        return pa.table({"part": pa.array(full, pa.int32()), **{name: pa.array([r[i] for r in rows], pa.binary()) for i, name in enumerate(names)}})
+
+    def gather(table: pa.Table) -> pa.Table:
+        u = np.repeat(np.frombuffer(_joined(table["documents"]), "<i8"), np.frombuffer(_joined(table["counts"]), "<i4"))
+        n = np.frombuffer(_joined(table["places"]), "<i4")
+        order = np.lexsort((n, u))
+        u, n = u[order], n[order]
+        head = np.flatnonzero(np.concatenate([np.ones(min(1, len(u)), bool), u[1:] != u[:-1]]))
+        starts = pa.ListArray.from_arrays(pa.array(np.append(head, len(n)).astype(np.int32)), pa.array(n))
+        return pa.table({"u": u[head], "starts": starts})
 
     sent = wanted.mapInArrow(extend, schema)
-    return sent.groupBy("bucket").applyInArrow(compare, "k long, h long, starts array<int>")
+    packed = sent.groupBy("bucket").applyInArrow(compare, "part int, documents binary, counts binary, places binary")
+    return packed.groupBy("part").applyInArrow(gather, "u long, starts array<int>")
 
 
 def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
@@ -183,9 +201,8 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = keyed(docs)
     hits = stored(anchors(rows, block, buckets), "anchors")
-    repeats = stored(repeated_windows(rows, hits, window, block, buckets), "repeats")
-    starts = repeats.groupBy("k", "h").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    joined = rows.join(starts.hint("shuffle_hash"), ["k", "h"], "left").select("doc_id", "text", "starts")
+    starts = stored(repeated_windows(rows, hits, window, block, buckets), "repeats")
+    joined = rows.join(starts.hint("shuffle_hash"), "u", "left").select("doc_id", "text", "starts")
     schema = T.StructType([docs.schema["doc_id"]]).add("n_words", "long").add("n_removed", "long").add("kept", "string").add("spans", "string")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
