@@ -165,10 +165,12 @@ def _ship(docs: DataFrame, vocabulary: str, pattern: str):
     shipped = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def codec() -> Codec:
-        if key not in _CODECS:
-            _CODECS.clear()
-            _CODECS[key] = Codec(shipped.value, pattern)
-        return _CODECS[key]
+        from threadlens.llm import byte_bpe  # the worker's module, whose codecs outlive a task
+
+        if key not in byte_bpe._CODECS:
+            byte_bpe._CODECS.clear()
+            byte_bpe._CODECS[key] = Codec(shipped.value, pattern)
+        return byte_bpe._CODECS[key]
 
     return codec
 
@@ -182,14 +184,14 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str) -> DataFram
     """
     shipped = _ship(docs, vocabulary, pattern)
     kept = docs.drop("ids")
-    schema = T.StructType([*kept.schema.fields]).add("ids", T.ArrayType(T.IntegerType()))
+    schema, names = T.StructType([*kept.schema.fields]).add("ids", T.ArrayType(T.IntegerType())), [*kept.columns, "ids"]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = shipped()
         for whole in batches:
             for batch in slices(whole):
                 ids = pa.array([codec.encode(x or "") for x in batch.column("text").to_pylist()], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*kept.columns, "ids"])
+                yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=names)
 
     return kept.mapInArrow(encode, schema)
 
