@@ -102,7 +102,7 @@ def test_quality(spark):
     assert got[1].n_words == 0 and got[1].base_failed and got[8].n_repeat_words == 120
     assert [r.doc_id for r in quality_rules.keep_documents(frame(spark, rows)).collect()] == [7]
     table = {r.rule: r for r in quality_rules.ablations(quality_rules.rule_ledger(frame(spark, rows)), quality_rules.STRICT).collect()}
-    assert table["symbols"].n_failed == 1 and table["few_words"].n_failed == 6
+    assert table["symbols"].n_failed == 1 and table["few_words"].n_failed == 7
     assert quality_rules.judge_quality(frame(spark, [])).collect() == []
 
 
