@@ -1,6 +1,6 @@
 """Toxicity by gradient-boosted trees over a few dense features, with isotonic calibration.
 
-Which words and word beginnings are toxic is learned from the labels: Spark counts, over all training rows, in how many toxic
+Which words and word beginnings are toxic is learned from the labels: Spark counts, over the training rows, in how many toxic
 and clean texts each occurs, and the strongest form a lexicon of fixed size. A document becomes densities of
 lexicon words and beginnings, their nearness to words of the second person, and rates of capitals, punctuation
 and obfuscated spelling. Trees are fitted on part of the training rows, the calibration on the rest.
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from threadlens.llm.scratch import stored
 from threadlens.llm.words import slices
 
-#: Labelled rows that the trees and the calibration are fitted on, about; fewer are all used.
+#: Labelled rows that lexicon, trees and calibration are fitted on at most; fewer are all used.
 MAX_ROWS = 20_000
 LEXICON = 5_000
 BEGINNINGS = (4, 5, 6)
@@ -127,12 +127,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     held = F.crc32(F.col("doc_id").cast("string")) % 5
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     rows = docs.select("doc_id", "text")
-    train = stored(rows.join(marks.where(held != 0), "doc_id"), "labelled")
-    total = train.count()
+    # at most max_rows ids, chosen by hash: the one side that is broadcast, so texts are not shuffled
+    chosen = marks.where(held != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    train = stored(rows.join(F.broadcast(chosen), "doc_id"), "labelled")
     weights = lexicon(train)
-    share = min(1.0, max_rows / max(total, 1))
-    pick = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000))
-    sample = stored(featured(train.where(pick < int(share * 1_000_000)), weights), "features")
+    sample = stored(featured(train, weights), "features")
     kinds = sample.select("toxic").distinct().count()
     known = F.coalesce((held == 0), F.lit(False)).alias("held_out")
     if kinds < 2:
