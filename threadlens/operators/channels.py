@@ -106,9 +106,10 @@ def preprocess_totals(video_status: DataFrame) -> DataFrame:
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:
-    """Latest run record of each channel."""
+    """Latest run record of each channel; of records with equal times, the greatest by its other columns."""
+    rest = F.to_json(F.struct("*"))
     return latest_per_key(
-        runs, ["channel_id"], [F.col("finished_at_utc").desc(), F.col("started_at_utc").desc()]
+        runs, ["channel_id"], [F.col("finished_at_utc").desc(), F.col("started_at_utc").desc(), rest.desc()]
     )
 
 

@@ -245,11 +245,18 @@ def preprocess_channels(
     spark: SparkSession, root: str, refs: Iterable[str] | None = None, overwrite: bool = True
 ) -> DataFrame:
     """Cleans the videos of each channel's latest run. A video with an unreadable record is
-    left out and counted; the result has one row per channel with its exit code."""
+    left out and counted; the result has one row per channel with its exit code.
+
+    The id of an unreadable record is taken from its text if the line is no JSON. A record without
+    any id may belong to any video, so it stops the job."""
     runs = read_latest_runs(spark, root, resolve_channels(spark, root, refs))
     members = channel_members(runs)
     good, bad = read_raw_comments_leniently(spark, raw_path(root))
-    broken = bad.select(F.get_json_object("line", "$.video_id").alias("video_id")).distinct()
+    by_text = F.nullif(F.regexp_extract("line", r'"video_id"\s*:\s*"([^"]+)"', 1), F.lit(""))
+    broken = bad.select("origin", F.coalesce(F.get_json_object("line", "$.video_id"), by_text).alias("video_id"))
+    if nameless := broken.where("video_id is null").select("origin").distinct().limit(10).collect():
+        raise ValueError(f"unreadable records that name no video, in {[row[0] for row in nameless]}")
+    broken = broken.select("video_id").distinct()
     failed = broken.join(members.select("video_id").distinct(), "video_id", "left_semi")
     wanted = good.join(members.select("video_id").distinct(), "video_id", "left_semi").join(
         failed, "video_id", "left_anti"
@@ -303,17 +310,33 @@ def distinctive_by_video(
     refs: Iterable[str] | None = None,
     videos: Iterable[str] | None = None,
 ) -> DataFrame:
-    """Stored video keywords against stored channel keywords; nothing is recomputed."""
+    """Stored video keywords against stored channel keywords; nothing is recomputed.
+
+    A video that is asked for must belong to one of the channels, and every member that takes part
+    must have stored keywords; the result holds the wanted videos only.
+    """
     ids = resolve_channels(spark, root, refs)
     channels = read_artifact(spark, root, "channel_tfidf", ids)
     members = channels.select("channel_id", F.explode(F.array_distinct("video_ids")).alias("video_id"))
+    if videos is not None:
+        videos = sorted(set(videos))
+        known = members.where(F.col("video_id").isin(videos))
+        belong = {row[0] for row in known.select("video_id").distinct().collect()}
+        if strangers := [v for v in videos if v not in belong]:
+            raise ValueError(f"not videos of these channels: {strangers}")
+        members = known
     stored = read_artifact(spark, root, "tfidf", videos)
+    assert_no_missing_videos(members.join(stored.select("video_id"), "video_id", "left_anti").select("channel_id", "video_id"))
     mine = stored.join(members, "video_id")
     assert_comparable(mine, channels, members)
     write_artifact(
         distinctive_artifacts(mine, channels, config.with_stopwords_hash()), root, "distinctive_keywords"
     )
-    return read_artifact(spark, root, "distinctive_keywords", ids)
+    return _of_videos(read_artifact(spark, root, "distinctive_keywords", ids), videos)
+
+
+def _of_videos(rows: DataFrame, videos: Iterable[str] | None) -> DataFrame:
+    return rows if videos is None else rows.where(F.col("video_id").isin(sorted(set(videos))))
 
 
 def report_channels(
@@ -327,9 +350,11 @@ def report_channels(
     ids = resolve_channels(spark, root, refs)
     distinctive = None
     if videos is not None:
-        distinctive = read_artifact(spark, root, "distinctive_keywords", ids).where(
-            F.col("video_id").isin(sorted(set(videos)))
-        )
+        videos = sorted(set(videos))
+        distinctive = _of_videos(read_artifact(spark, root, "distinctive_keywords", ids), videos)
+        compared = {row[0] for row in distinctive.select("video_id").distinct().collect()}
+        if absent := [v for v in videos if v not in compared]:
+            raise FileNotFoundError(f"no stored distinctive keywords for videos {absent}")
     report = channel_report(
         read_latest_runs(spark, root, ids),
         read_artifact(spark, root, "channel_token_stats", ids),

@@ -50,7 +50,6 @@ from threadlens.operators.stats import (
 from threadlens.plans.artifacts import keyword_artifacts
 from threadlens.session import ship_package
 from threadlens.sources import artifacts, comments as comment_sources, pages
-from threadlens.sources.layers import spread
 from threadlens.streaming import incremental
 
 VIDEO, CHANNEL = ["video_id"], ["channel_id"]
@@ -71,7 +70,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
     rows = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
-    return spread(rows).select(
+    return rows.select(
         F.col("lang").alias("channel_id"),
         F.concat_ws("-", "lang", "source").alias("video_id"),
         F.col("doc_id").alias("arrival"),
@@ -82,7 +81,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 def conversations(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
-    return spread(rows).select(
+    return rows.select(
         F.col("conv_id").cast("string").alias("video_id"),
         F.concat_ws("-", "conv_id", "turn").alias("comment_id"),
         F.col("turn").cast("bigint").alias("turn"),
@@ -224,9 +223,13 @@ def page_refs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A fresh folder in the cluster's shared checkpoint directory; without one (tests), local."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="threadlens-work-")
+    """A fresh folder in the cluster's shared checkpoint directory. Only a session whose executors share
+    the driver's disk may go without that setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="threadlens-work-")
     return f"{base.rstrip('/')}/threadlens-{uuid.uuid4().hex}"
 
 

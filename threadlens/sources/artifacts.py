@@ -37,12 +37,26 @@ def write_artifact(rows: DataFrame, root: str, kind: str) -> None:
 def read_artifact(
     spark: SparkSession, root: str, kind: str, values: Iterable[str] | None = None
 ) -> DataFrame:
-    """Stored artifacts, all or those of some keys (the first key column); one row per key."""
-    rows = read_keyed(spark, artifact_path(root, kind), ARTIFACT_KEYS[kind][0], values)
+    """Stored artifacts, all or those of some keys (the first key column); one row per key.
+
+    A key that is asked for and not stored is an error.
+    """
+    wanted = None if values is None else sorted(set(values))
+    rows = read_keyed(spark, artifact_path(root, kind), ARTIFACT_KEYS[kind][0], wanted)
     assert_unique(rows, ARTIFACT_KEYS[kind])
+    if wanted is not None:
+        assert_stored(rows, kind, wanted)
     return rows
 
 
+def assert_stored(rows: DataFrame, kind: str, wanted: list[str]) -> None:
+    """Every wanted key (a list that a user typed) has a row."""
+    key = ARTIFACT_KEYS[kind][0]
+    found = {row[0] for row in rows.select(key).where(F.col(key).isin(wanted)).distinct().collect()}
+    if absent := [value for value in wanted if value not in found]:
+        raise FileNotFoundError(f"no stored {kind} for {key} {absent}")
+
+
 def explode_keywords(artifacts: DataFrame, *keys: str) -> DataFrame:
     """Stored keyword lists as rows, with their place in the list."""
     return artifacts.select(*keys, F.posexplode("keywords").alias("_pos", "_k")).select(

@@ -96,10 +96,3 @@ def _stored(spark: SparkSession, path: str, fmt: str, schema=None) -> DataFrame
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-
-
-def spread(rows: DataFrame) -> DataFrame:
-    """Gives every core something to do when the input is a few small files. Inputs with
-    enough splits of their own (any large table) are left alone: no shuffle for them."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
