@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -296,6 +297,10 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert channel.channel_id == CHANNEL and channel.video_ids == ["v1", "v2"]
 
     jobs.stats_by_channel(spark, root)
+    with pytest.raises(ValueError, match="v3"):
+        jobs.distinctive_by_video(spark, root, config, videos=["v3"])
+    with pytest.raises(FileNotFoundError, match="v9"):
+        artifacts.read_artifact(spark, root, "tfidf", ["v1", "v9"])
     lifted = {r.video_id: r for r in jobs.distinctive_by_video(spark, root, config).collect()}
     assert lifted["v2"].keyword_count == len(lifted["v2"]["keywords"]) > 0
     dog = next(k for k in lifted["v2"]["keywords"] if k.token == "dog")
@@ -314,6 +319,30 @@ def test_jobs_end_to_end(spark, tmp_path):
         artifacts.read_artifact(spark, str(tmp_path / "empty"), "tfidf")
 
 
+def test_unreadable_records_fail_their_video(spark, tmp_path):
+    root = str(tmp_path)
+    comment_pages = page_rows(spark, "video_id", [
+        (v, 0, {"items": [comment_item(f"{v}-{i}", "some text", i) for i in range(2)]}) for v in ("v1", "v2")
+    ])
+    video_pages = page_rows(spark, "channel_id", [(CHANNEL, 0, {"items": [video_item(v, channel=CHANNEL) for v in ("v1", "v2")]})])
+    jobs.ingest_channels(spark, video_pages, comment_pages, root).collect()
+    broken = next(Path(jobs.raw_path(root)).rglob("part-*.json"))
+    broken.with_name("part-broken.json").write_text('{"video_id":"v1","comment_id":"cut o\n')
+    done = jobs.preprocess_channels(spark, root).first()
+    assert (done.video_count, done.error_count, done.exit_code) == (2, 1, 1)
+    assert {r.video_id for r in store.read_clean_comments(spark, jobs.clean_path(root)).collect()} == {"v2"}
+    broken.with_name("part-garbage.json").write_text("garbage\n")
+    with pytest.raises(ValueError, match="name no video"):
+        jobs.preprocess_channels(spark, root)
+
+
+def test_equal_times_have_one_latest_run(spark):
+    at = when(2026, 1, 1)
+    rows = [("c", at, at, n) for n in (3, 9, 5)]
+    runs = spark.createDataFrame(rows, "channel_id STRING, started_at_utc TIMESTAMP, finished_at_utc TIMESTAMP, video_count BIGINT")
+    assert {channels.latest_runs(runs.repartition(n)).first().video_count for n in (1, 2, 3)} == {9}
+
+
 def test_page_ingest_caps_each_video(spark, tmp_path):
     root = str(tmp_path)
     rows = page_rows(spark, "video_id", [
