@@ -37,6 +37,8 @@ SEATS = 64
 #: The list of common shingles that is sent to all executors never has more entries; it only orders shingles.
 COMMON_LIST = 1_000_000
 SALTS = 16
+#: Cells of a set's sketch, one byte each.
+SKETCH = 128
 _MEMBER = [("key", "<u8"), ("c", "<i8"), ("n", "<i4")]
 _COUNT = [("key", "<u8"), ("n", "<u2")]
 
@@ -129,7 +131,7 @@ def common_shingles(docs: DataFrame, buckets: int) -> np.ndarray:
         return pa.table({"key": key[n > COMMON].view(np.int64), "n": n[n > COMMON].astype(np.int64)})
 
     sent = docs.select("text").mapInArrow(send, schema).groupBy("bucket").applyInArrow(total, "key long, n long")
-    top = sent.orderBy(F.desc("n"), "key").limit(COMMON_LIST).select("key").toArrow()
+    top = stored(sent.orderBy(F.desc("n"), "key").limit(COMMON_LIST).select("key"), "common").toArrow()
     return np.sort(top["key"].to_numpy().view(U))
 
 
@@ -187,11 +189,11 @@ def regions(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, rows: DataFrame) -> DataFrame:
-    """(c, shingles): the packed set of each class in ``wanted(c)``, from one document of it."""
+    """(c, n, shingles, sketch): the packed set of each class in ``wanted(c)``, from one document of it."""
     one = rows.join(wanted, "c", "left_semi").groupBy("c").agg(F.min(F.struct("k", "h")).alias("x")).select("c", "x.k", "x.h")
     texts = docs.select(F.xxhash64("doc_id").alias("k"), F.xxhash64("text").alias("h"), "text")
     chosen = texts.join(one.hint("shuffle_hash"), ["k", "h"]).select("c", "text")
-    schema = T.StructType().add("c", "long").add("shingles", "binary")
+    schema = T.StructType().add("c", "long").add("n", "long").add("shingles", "binary").add("sketch", "binary")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -199,14 +201,40 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, rows: DataFrame) -> DataFra
                 sets = Sets(batch.column("text"))
                 first = [i for i, c in enumerate(sets.leaders()) if c]
                 packed = [sets.value[sets.first[i] : sets.first[i + 1]].tobytes() for i in first]
-                yield pa.RecordBatch.from_arrays([pa.array(sets.classes[first], pa.int64()), pa.array(packed, pa.binary())], names=schema.names)
+                cells = np.bincount(sets.rows * SKETCH + (mix(sets.value, 4) % U(SKETCH)).astype(np.int64), minlength=len(batch) * SKETCH)
+                sketch = np.minimum(cells, 255).astype(np.uint8).reshape(-1, SKETCH)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sets.classes[first], pa.int64()), pa.array(sets.n[first], pa.int64()), pa.array(packed, pa.binary()),
+                     pa.array([sketch[i].tobytes() for i in first], pa.binary())], names=schema.names)
 
     return chosen.mapInArrow(read, schema)
 
 
-def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, same, either): sizes of intersection and union of each pair's sets."""
-    sides = pairs.select("a", "b").join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a")
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches do not rule out ``percent``.
+
+    A sketch counts a set's shingles in SKETCH cells; the sum of differences of two sketches is at most the size of the
+    symmetric difference, so what is left out is certainly further apart. Sketches are a small part of a set's size.
+    """
+    sides = pairs.select("a", "b").join(sets.select(F.col("c").alias("a"), F.col("n").alias("n"), F.col("sketch").alias("x")), "a")
+    sides = sides.join(sets.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y")), "b").select("a", "b", "n", "m", "x", "y")
+    schema = T.StructType().add("a", "long").add("b", "long")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int64) for c in "xy")
+                both = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+                apart = np.abs(x - y).sum(axis=1)
+                near = pa.array(100 * (both - apart) >= percent * (both + apart))
+                yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], names=schema.names)
+
+    return sides.mapInArrow(keep, schema)
+
+
+def distances(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b, same, either): sizes of intersection and union of the sets of each pair that may reach ``percent``."""
+    sides = stored(possible(pairs, sets, percent), "possible").join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a")
     sides = sides.join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
     schema = T.StructType().add("a", "long").add("b", "long").add("same", "long").add("either", "long")
 
@@ -263,7 +291,7 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
         # sizes further apart put a distance beyond twice the threshold; it stays unknown (null)
         reach = 100 * F.least("n", "pn") >= (2 * PERCENT - 100) * F.greatest("n", "pn")
         asked = faced.where(reach).select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
-        found = stored(distances(asked, sets), "distances")
+        found = stored(distances(asked, sets, 2 * PERCENT - 100), "distances")
         edges = edges.union(found.where(near).select("a", "b"))
         keyed = found.select("a", "b", (1 - F.col("same") / F.col("either")).alias("d"), near.alias("near"))
         placed = faced.withColumn("a", F.least("c", "p")).withColumn("b", F.greatest("c", "p")).join(keyed, ["a", "b"], "left")
