@@ -37,6 +37,8 @@ SEATS = 64
 #: The list of common shingles that is sent to all executors never has more entries; it only orders shingles.
 COMMON_LIST = 1_000_000
 SALTS = 16
+#: Bytes of text that a task takes at a time; its memory is some sixty times this.
+SLICE = 1 << 20
 #: Cells of a set's sketch, one byte each.
 SKETCH = 128
 _MEMBER = [("key", "<u8"), ("c", "<i8"), ("n", "<i4")]
@@ -76,6 +78,15 @@ class Sets:
         out[np.unique(self.classes, return_index=True)[1]] = True
         return out & (self.n > 0)
 
+    def fresh(self, seen: set[int]) -> np.ndarray:
+        """Whether a row is the first of its class in this task, whose classes so far are ``seen``."""
+        out = self.leaders()
+        for i in np.flatnonzero(out):
+            c = int(self.classes[i])
+            out[i] = c not in seen
+            seen.add(c)
+        return out
+
     def prefixes(self, chosen: np.ndarray, share: int, common: np.ndarray | None = None) -> np.ndarray:
         """Indexes of the first n - ceil(share * n / 100) + 1 shingles of the chosen rows, common ones last."""
         index = np.flatnonzero(chosen[self.rows])
@@ -100,7 +111,7 @@ def classes_of(docs: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=SLICE):
                 sets = Sets(batch.column("text"))
                 c = pa.array(sets.classes, pa.int64(), mask=sets.n == 0)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("k"), batch.column("h"), c, pa.array(sets.n, pa.int64())], names=schema.names)
@@ -116,10 +127,11 @@ def common_shingles(docs: DataFrame, buckets: int) -> np.ndarray:
     schema = T.StructType().add("bucket", "integer").add("counts", "binary")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=SLICE):
                 sets = Sets(batch.column("text"))
-                key, n = np.unique(sets.value[sets.prefixes(sets.leaders(), PERCENT // 2)], return_counts=True)
+                key, n = np.unique(sets.value[sets.prefixes(sets.fresh(seen), PERCENT // 2)], return_counts=True)
                 out = np.empty(len(key), _COUNT)
                 out["key"], out["n"] = key, np.minimum(n, 65535)
                 yield from _by_bucket(out, buckets, schema.names)
@@ -149,10 +161,11 @@ def regions(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
     schema = T.StructType().add("bucket", "integer").add("members", "binary")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=SLICE):
                 sets = Sets(batch.column("text"))
-                index = sets.prefixes(sets.leaders(), PERCENT, shipped.value)
+                index = sets.prefixes(sets.fresh(seen), PERCENT, shipped.value)
                 out = np.empty(len(index), _MEMBER)
                 out["key"], out["c"], out["n"] = sets.value[index], sets.classes[sets.rows[index]], sets.n[sets.rows[index]]
                 yield from _by_bucket(out, buckets, schema.names)
@@ -197,7 +210,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, rows: DataFrame) -> DataFra
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=SLICE):
                 sets = Sets(batch.column("text"))
                 first = [i for i, c in enumerate(sets.leaders()) if c]
                 packed = [sets.value[sets.first[i] : sets.first[i + 1]].tobytes() for i in first]

@@ -7,7 +7,6 @@ Hashes are the same in every process: they depend only on the bytes of a word.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,24 +33,26 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, n: int) -> np.ndarray:
-    steps = np.full(n, base, U)
-    steps[0] = 1
-    return np.multiply.accumulate(steps)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def _table(base: int, n: int) -> np.ndarray:
-    return _powers(base, 1 << max(n, SLICE_BYTES + 1).bit_length())
+    """Powers of ``base``, n at least; one table per base and process, as long as its longest slice needed."""
+    held = _POWERS.get(base)
+    if held is None or len(held) < n:
+        steps = np.full(1 << max(n, 1 << 20).bit_length(), base, U)
+        steps[0] = 1
+        held = _POWERS[base] = np.multiply.accumulate(steps)
+    return held
 
 
-def slices(batch: pa.RecordBatch, column: str | int = "text") -> Iterator[pa.RecordBatch]:
-    """The batch cut into runs of rows of at most SLICE_BYTES of text (one row at least)."""
+def slices(batch: pa.RecordBatch, column: str | int = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch cut into runs of rows of at most ``size`` bytes of text (one row at least)."""
     sizes = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False))
     start = 0
     while start < len(batch):
         done = sizes[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(sizes, done + SLICE_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(sizes, done + size, side="right")))
         yield batch.slice(start, stop - start)
         start = stop
 
