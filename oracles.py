@@ -149,14 +149,17 @@ FROM totals LEFT JOIN sizes USING ({grain}) LEFT JOIN top USING ({grain})"""
 def _summary(grain: str, features: str, ngram_rule: str = "true") -> str:
     return f"""WITH {DOCS}, {TOKENS}, {features}{_stats(grain)}{_scored(grain)},
 vocabulary AS (SELECT * FROM scored WHERE {ngram_rule}),
-v AS (SELECT {grain}, count(*) AS vocab_size, least(30, count(*) FILTER (WHERE {SENTIMENT})) AS keyword_count
-      FROM vocabulary GROUP BY {grain})
+v AS (SELECT {grain}, count(*) AS vocab_size FROM vocabulary GROUP BY {grain}),
+listed AS (SELECT *, row_number() OVER (PARTITION BY {grain} ORDER BY round(score, 12) DESC, df DESC, token) AS rank
+           FROM vocabulary WHERE {SENTIMENT} QUALIFY rank <= 30),
+k AS (SELECT {grain}, count(*) AS keyword_count, string_agg(token || ':' || df, ' | ' ORDER BY rank) AS keywords
+      FROM listed GROUP BY {grain})
 SELECT {grain}, 'tfidf_v2_1' AS artifact_version, row_count, row_count - n_docs AS empty_text_count,
        n_docs AS doc_count_non_empty, coalesce(vocab_size, 0) AS vocab_size,
        CASE WHEN n_docs > 0 THEN 2 ELSE 1 END::BIGINT AS min_df_abs,
        CASE WHEN n_docs > 0 THEN least(CAST(floor(0.9::DOUBLE * n_docs) AS BIGINT), n_docs) ELSE 0 END AS max_df_abs,
-       CAST(coalesce(keyword_count, 0) AS BIGINT) AS keyword_count
-FROM totals LEFT JOIN v USING ({grain})"""
+       CAST(coalesce(keyword_count, 0) AS BIGINT) AS keyword_count, coalesce(keywords, '') AS keywords
+FROM totals LEFT JOIN v USING ({grain}) LEFT JOIN k USING ({grain})"""
 
 
 def _threshold_rows() -> str:
@@ -205,15 +208,18 @@ REPORT = _lifted(False) + f""",
 top_tokens AS (
   SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY n DESC, token) AS rank
   FROM (SELECT channel_id, token, count(*) AS n FROM tokens JOIN docs USING (doc_id) GROUP BY channel_id, token)
-  QUALIFY rank <= 10),
+  QUALIFY rank <= 30),
+runs AS (
+  SELECT channel_id, count(DISTINCT video_id) AS videos, count(*) AS comments,
+         count(*) FILTER (WHERE text_clean IS NULL OR text_clean = '') AS errors FROM docs GROUP BY channel_id),
 head AS (
   SELECT channel_id, unnest([
     'channel_id: ' || channel_id,
-    'latest_run: videos=20 | comments=' || row_count || ' | errors=0',
+    'latest_run: videos=' || videos || ' | comments=' || comments || ' | errors=' || errors,
     'run_window: after=2024-01-05 00:00 UTC | before=N/A',
     'artifacts: preprocess_version=v1 | stats_config={config_hash(TokenStatsConfig())} | tfidf_config={keyword_config_hash(KeywordConfig())}'
   ]) AS line, unnest([1, 2, 3, 4]) AS rank
-  FROM totals_c)
+  FROM runs)
 SELECT channel_id, NULL::VARCHAR AS video_id, 'head' AS section, CAST(rank AS BIGINT) AS rank,
        NULL::VARCHAR AS token, line FROM head
 UNION ALL
@@ -224,13 +230,13 @@ UNION ALL
 SELECT channel_id, NULL, 'top_keywords', rank, token, ' ' || lpad(rank::VARCHAR, 2, ' ') || '. '
        || CASE WHEN length(token) < 15 THEN rpad(token, 15, ' ') ELSE token END
        || ' score=' || printf('%.3f', score) || ' df=' || df
-FROM ranked_c WHERE rank <= 10
+FROM ranked_c
 UNION ALL
 SELECT channel_id, video_id, 'distinctive_keywords', rank, token, ' ' || lpad(rank::VARCHAR, 2, ' ') || '. '
        || CASE WHEN length(token) < 15 THEN rpad(token, 15, ' ') ELSE token END
        || ' lift=' || CASE WHEN isinf(lift) THEN 'inf' ELSE printf('%.3f', lift) END
        || ' video_df=' || video_df || ' channel_df=' || channel_df
-FROM distinctive WHERE rank <= 10"""
+FROM distinctive"""
 
 RAW = """
 raw AS (
@@ -293,7 +299,7 @@ NGRAM_RULE = "token NOT LIKE '% %' OR df >= 2"
 
 ORACLES: dict[str, str] = {
     "clean_text": f"SELECT doc_id, {_clean('text')} AS text_clean FROM documents",
-    "clean_comments": CLEAN_ROWS,
+    "clean_comments": CLEAN_ROWS.replace("'v1' AS preprocess_version", "'v1' AS preprocess_version, text AS text_raw"),
     "token_counts_video": _counts("video_id"),
     "token_counts_channel": _counts("channel_id"),
     "token_stats_video": _token_stats("video_id", "d, p"),
@@ -339,6 +345,7 @@ QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY page_no, item_no) <= 3
 FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts <= TIMESTAMP '2024-01-20'
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, 'v' || event_id) <= 10""",
     "run_summary": f"""WITH {STATUS} SELECT channel_id, count(*) AS video_count,
+       coalesce(string_agg(video_id, ' ' ORDER BY video_id) FILTER (WHERE NOT failed), '') AS video_ids,
        CAST(coalesce(sum(comment_count) FILTER (WHERE NOT failed), 0) AS BIGINT) AS comment_count,
        count(*) FILTER (WHERE failed) AS error_count FROM status GROUP BY channel_id""",
     "preprocess_totals": f"""WITH {STATUS} SELECT channel_id, count(*) AS video_count,
@@ -389,6 +396,8 @@ FROM corpus, corpus_size""",
     "run_log": """SELECT 'c' || user_id AS channel_id, ts AS finished_at_utc, CAST(floor(value) AS BIGINT) AS comment_count
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""",
     "stream_clean": CLEAN_ROWS,
+    "stream_quarantine": """SELECT conv_id || '-' || turn || CASE WHEN turn % 7 = 3 THEN ' cut {"video_id' ELSE '' END AS line,
+       CASE WHEN turn % 7 = 3 THEN 'not a JSON comment record' END AS reason FROM conversations""",
     "stream_tfidf": _keywords("video_id"),
     "stream_corpus_df": f"WITH {DOCS}, {TOKENS}, {UNIGRAMS}{CORPUS} SELECT token, df_videos FROM corpus",
 }

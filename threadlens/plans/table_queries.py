@@ -261,7 +261,7 @@ def clean_text_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clean_comments_query(spark: SparkSession, folder: str) -> DataFrame:
-    return clean_comments(raw_conversations(spark, folder)).drop("processed_at", "text_raw", "arrival")
+    return clean_comments(raw_conversations(spark, folder)).drop("processed_at", "arrival")
 
 
 def stats_query(grain: list[str], arrival: str | None) -> Callable[[SparkSession, str], DataFrame]:
@@ -319,8 +319,9 @@ def tfidf_conversations_query(drop_sentiment: bool) -> Callable[[SparkSession, s
 def summary_query(grain: list[str], config: KeywordConfig) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rows = keyword_summary(feature_stats(documents(spark, folder), grain, config), grain, config)
-        return rows.withColumn("keywords", F.size("keywords").cast("bigint")).withColumnRenamed(
-            "keywords", "keyword_count"
+        shown = F.transform("keywords", lambda k: F.concat_ws(":", k["token"], k["df"]))
+        return rows.withColumn("keyword_count", F.size("keywords").cast("bigint")).withColumn(
+            "keywords", F.array_join(shown, " | ")
         )
 
     return run
@@ -391,7 +392,8 @@ def discover_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def run_summary_query(spark: SparkSession, folder: str) -> DataFrame:
-    return channels.summarize_run(event_status(spark, folder), list_videos=False)
+    rows = channels.summarize_run(event_status(spark, folder))
+    return rows.withColumn("video_ids", F.array_join("video_ids", " "))
 
 
 def totals_query(spark: SparkSession, folder: str) -> DataFrame:
@@ -518,15 +520,18 @@ def report_query(spark: SparkSession, folder: str) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("rank", *fields))).alias("keywords")
     )
     none = F.lit(None).cast("timestamp")
-    runs = grain_totals(by_channel, CHANNEL).select(
-        "channel_id",
-        F.lit(20).cast("bigint").alias("video_count"),
-        F.col("row_count").alias("comment_count"),
-        F.lit(0).cast("bigint").alias("error_count"),
+    # Blank documents stand for the errors of a run.
+    runs = grain_totals(by_video, keys).groupBy("channel_id").agg(
+        F.count("*").alias("video_count"),
+        F.sum("row_count").alias("comment_count"),
+        F.sum("blank_text_count").alias("error_count"),
+    )
+    runs = runs.select(
+        "*",
         F.lit(WINDOW[0]).cast("timestamp").alias("published_after"),
         none.alias("published_before"),
     )
-    return rounded(report.channel_report(runs, stats, summary, lists, top_k=10))
+    return rounded(report.channel_report(runs, stats, summary, lists))
 
 
 def stem_query(spark: SparkSession, folder: str) -> DataFrame:
@@ -594,6 +599,20 @@ def stream_clean_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_quarantine_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw lines, every seventh turn's unreadable, through the checked stream: what was kept and what was rejected."""
+    ship_package(spark)
+    base = work_folder(spark)
+    rows = raw_conversations(spark, folder)
+    cut = F.concat("comment_id", F.lit(' cut {"video_id'))
+    rows.select(F.when(F.col("arrival") % 7 == 3, cut).otherwise(F.to_json(F.struct("*"))).alias("value")).write.text(f"{base}/raw")
+    lines = incremental.stream_raw_lines(spark, f"{base}/raw")
+    query = incremental.write_checked_stream(lines, f"{base}/clean", f"{base}/rejected", f"{base}/progress")
+    query.trigger(availableNow=True).start().awaitTermination()
+    kept = spark.read.parquet(f"{base}/clean").select(F.col("comment_id").alias("line"), F.lit(None).cast("string").alias("reason"))
+    return kept.unionByName(spark.read.parquet(f"{base}/rejected").select("line", "reason"))
+
+
 def stream_features(spark: SparkSession, folder: str) -> str:
     ship_package(spark)
     base = work_folder(spark)
@@ -671,6 +690,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "artifact_round_trip": artifact_round_trip_query,
     "run_log": run_log_query,
     "stream_clean": stream_clean_query,
+    "stream_quarantine": stream_quarantine_query,
     "stream_tfidf": stream_tfidf_query,
     "stream_corpus_df": stream_corpus_query,
 }

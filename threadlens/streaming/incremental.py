@@ -19,13 +19,37 @@ from threadlens.operators.cleaning import clean_comments
 from threadlens.operators.corpus import corpus_df_of
 from threadlens.operators.features import feature_stats, roll_up
 from threadlens.schemas import CHANNEL_RUN, CLEAN_COMMENT, RAW_COMMENT
+from threadlens.sources.comments import parse_raw_lines
 
 
 def stream_raw_comments(spark: SparkSession, path: str) -> DataFrame:
-    """Raw comment files as they land."""
+    """Raw comment files as they land, all lines taken for valid; see ``write_checked_stream`` for others."""
     return spark.readStream.schema(RAW_COMMENT).option("recursiveFileLookup", "true").json(path)
 
 
+def stream_raw_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of raw comment files as they land, with their file."""
+    lines = spark.readStream.option("recursiveFileLookup", "true").text(path)
+    return lines.select("value", F.col("_metadata.file_path").alias("origin"))
+
+
+def write_checked_stream(lines: DataFrame, path: str, rejected: str, checkpoint: str) -> DataStreamWriter:
+    """Valid lines to clean Parquet files, all others to ``rejected`` with file and reason.
+
+    Each micro-batch is one part of both tables; a replay overwrites its own part.
+    """
+
+    def add_part(batch: DataFrame, batch_id: int) -> None:
+        parsed = parse_raw_lines(batch)
+        good = parsed.where(F.col("_reason").isNull()).drop("origin", "value", "_reason")
+        bad = parsed.where(F.col("_reason").isNotNull())
+        bad = bad.select("origin", F.col("value").alias("line"), F.col("_reason").alias("reason"))
+        clean_comments(good).write.mode("overwrite").parquet(f"{path}/part={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{rejected}/part={batch_id}")
+
+    return lines.writeStream.foreachBatch(add_part).option("checkpointLocation", checkpoint)
+
+
 def stream_clean_comments(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(CLEAN_COMMENT).parquet(path)
 
