@@ -2,6 +2,8 @@
 
 import random
 
+import pyarrow as pa
+
 from threadlens.llm import jaccard_join
 from threadlens.llm.jaccard_join import join_classes
 
@@ -70,3 +72,29 @@ def test_against_all_pairs(spark, monkeypatch):
 
 def test_no_documents(spark):
     assert join_classes(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def chains(seed):
+    """Families whose members share all prefix shingles, hence their regions, and link to the one before and after only."""
+    random.seed(seed)
+    rows = []
+    for _ in range(8):
+        words = [f"w{random.randrange(10**6)}" for _ in range(4)]
+        for i in range(140):
+            tries = [f"w{random.randrange(10**6)}" for _ in range(200)]
+            value = jaccard_join.Sets(pa.array([" ".join([*words[-4:], w]) for w in tries])).value
+            words.append(next(w for w, v in zip(tries, value) if (v < 2**60) == (i < 40)))
+        rows += [" ".join(words[:44] + words[44 + 5 * i : 104 + 5 * i]) for i in range(8)]
+    return list(zip(random.sample(range(1000), len(rows)), rows))
+
+
+def test_links_between_cells(spark, monkeypatch):
+    """Linked members of different pivots' cells meet, whether the cells are of one round or of several."""
+    monkeypatch.setattr(jaccard_join, "SMALL", 4)
+    monkeypatch.setattr(jaccard_join, "REST", 2)
+    rounds, whole = [], jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda frame, name: rounds.append(name) or whole(frame, name))
+    rows = chains(5)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in join_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert len({r[2] for r in got}) == 8 and got == brute(rows)
+    assert rounds.count("pivots") >= 3

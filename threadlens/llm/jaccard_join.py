@@ -7,10 +7,11 @@ shingles in one global order, common ones last. Documents that share a prefix sh
 linked documents share one. Copies count as one document (a class) throughout.
 
 A region elects a pivot (later rounds several), and every member's exact distance to it is found, once however many regions ask. Members within
-the threshold join the pivot's cell and are connected by it: they need no comparison among
-themselves. The others form the next region, and of the cell only boundary documents y are copied there, with
-|d(x, p) - d(y, p)| <= threshold for some x left over (triangle inequality). Regions of a few
-members compare all pairs that this does not rule out. Nothing is capped or approximated.
+the threshold join the pivot's cell and are connected by it. What links have connected so far, in any region, shares a
+label and needs no comparison; all pairs of different labels do. The next region holds the others, and of the cell only
+boundary documents x, with |d(x, p) - d(y, p)| <= threshold for some y of another label (triangle inequality), be it in
+another pivot's cell or in none. A region of one label is done. Regions of a few members compare all pairs
+that this does not rule out. Nothing is capped or approximated.
 """
 
 from __future__ import annotations
@@ -297,37 +298,41 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     state = met.where("b is null").select("region", F.col("a").alias("c"), "n", F.lit(True).alias("open"))
     seats = 1
     while not state.isEmpty():
-        first = Window.partitionBy("region").orderBy(F.xxhash64("c"), "c")
-        pivots = state.where("open").withColumn("seat", F.row_number().over(first)).where(F.col("seat") <= seats)
+        first = Window.partitionBy("region").orderBy(F.desc("open"), F.xxhash64("c"), "c")
+        pivots = state.withColumn("seat", F.row_number().over(first)).where(F.col("seat") <= seats)
         pivots = stored(pivots.select("region", F.col("c").alias("p"), F.col("n").alias("pn")), "pivots")
-        faced = state.join(pivots, "region").select("region", "c", "n", "open", "p", "pn").where("c != p")
+        faced = state.join(pivots, "region").select("region", "c", "n", "p", "pn").where("c != p")
         # sizes further apart put a distance beyond twice the threshold; it stays unknown (null)
         reach = 100 * F.least("n", "pn") >= (2 * PERCENT - 100) * F.greatest("n", "pn")
         asked = faced.where(reach).select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
         found = stored(distances(asked, sets, 2 * PERCENT - 100), "distances")
         edges = edges.union(found.where(near).select("a", "b"))
+        # classes that links have connected so far, in any region, share a label and need no comparison among themselves
+        labels = components(edges)
         keyed = found.select("a", "b", (1 - F.col("same") / F.col("either")).alias("d"), near.alias("near"))
         placed = faced.withColumn("a", F.least("c", "p")).withColumn("b", F.greatest("c", "p")).join(keyed, ["a", "b"], "left")
-        placed = placed.select("region", "c", "n", "open", "p", F.coalesce("near", F.lit(False)).alias("cell"), "d")
-        # pivots have met everybody and leave; members of a cell are closed, the rest stay open
+        placed = placed.select("region", "c", "n", "p", F.coalesce("near", F.lit(False)).alias("cell"), "d")
+        # pivots have met everybody and leave
         rest = placed.join(pivots.select("region", F.col("p").alias("c")), ["region", "c"], "left_anti")
+        rest = rest.join(labels, "c", "left").join(labels.select(F.col("c").alias("p"), F.col("component").alias("of")), "p", "left")
+        rest = rest.select("region", "c", "n", F.col("component").isNull().alias("open"), F.coalesce("component", "c").alias("label"),
+                           "p", F.coalesce("of", "p").alias("of"), "cell", "d")
         rest = stored(rest, "cells")
         members = rest.groupBy("region", "c").agg(
-            F.max("n").alias("n"), (F.max("open") & ~F.max("cell")).alias("open"), F.max("cell").alias("cell"), F.min(F.struct("p", "d")).alias("x"))
-        members = stored(members.select("region", "c", "n", "open", "cell", F.col("x.p").alias("p"), F.col("x.d").alias("d")), "members")
-        least = rest.join(members.where("open").select("region", "c"), ["region", "c"], "left_semi").groupBy("region", "p").agg(F.min("d").alias("least"))
-        near_left = rest.where("cell").join(least, ["region", "p"]).groupBy("region", "c").agg(
-            F.min(F.col("d") >= F.col("least") - (100 - PERCENT) / 100 - 1e-9).alias("boundary"))
-        waiting = members.where("open").select("region").distinct()
-        after = members.join(waiting, "region", "left_semi").join(near_left, ["region", "c"], "left")
-        # a closed member stays unless some pivot's cell that holds it is out of reach of all open members
-        after = stored(after.where(F.col("open") | ~F.col("cell") | F.col("boundary")).select("region", "c", "n", "open", "p", "d"), "state")
+            F.max("n").alias("n"), F.max("open").alias("open"), F.max("label").alias("label"), F.max("cell").alias("cell"), F.min(F.struct("p", "d")).alias("x"))
+        least = rest.where("label != of").groupBy("region", "p").agg(F.min("d").alias("least"))
+        # a member of a cell leaves if some pivot whose cell holds it puts all members of other labels out of its reach
+        within = F.coalesce(F.col("d") >= F.col("least") - (100 - PERCENT) / 100 - 1e-9, F.lit(False))
+        held = rest.where("cell").join(least, ["region", "p"], "left").groupBy("region", "c").agg(F.min(within).alias("boundary"))
+        after = members.join(held, ["region", "c"], "left").where(~F.col("cell") | F.col("boundary"))
+        after = stored(after.select("region", "c", "n", "open", "label", F.col("x.p").alias("p"), F.col("x.d").alias("d")), "state")
         seats = min(2 * seats, SEATS)
-        sizes = after.groupBy("region").agg(F.count("*").alias("size"))
+        # a region of one label is done
+        sizes = after.groupBy("region").agg(F.count("*").alias("size"), (F.min("label") < F.max("label")).alias("mixed")).where("mixed")
         small = after.join(sizes.where(F.col("size") <= REST), "region")
         x, y = small.alias("x"), small.alias("y")
         close = (
-            (F.col("x.region") == F.col("y.region")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.open") | F.col("y.open"))
+            (F.col("x.region") == F.col("y.region")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.label") != F.col("y.label"))
             & ((F.col("x.p") != F.col("y.p")) | F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= (100 - PERCENT) / 100 + 1e-9, F.lit(True)))
             & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")))
         last = stored(distances(x.join(y, close).select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct(), sets), "distances")
