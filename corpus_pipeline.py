@@ -19,13 +19,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each linked group: the one that names the component (once, if its row repeats)."""
+    """One row of each linked group: of the rows that name the component the one of least hashes, and once if it repeats.
+
+    Texts without words are groups of their own. Of rows that are equal in id and text the least by a hash of all columns stays.
+    """
     ship_package(spark)
-    joined = jaccard_join.join_classes(docs)
-    lead = joined.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("k", "h").distinct()
-    keyed = docs.withColumns({"__k": F.xxhash64("doc_id"), "__h": F.xxhash64("text")})
-    kept = keyed.join(lead.select(F.col("k").alias("__k"), F.col("h").alias("__h")).hint("shuffle_hash"), ["__k", "__h"])
-    return kept.select(*docs.columns)
+    joined = jaccard_join.join_classes(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    empty = F.col("component").isNull()
+    own = [F.when(empty, F.col(c)).alias(f"own_{c}") for c in "kh"]
+    lead = joined.groupBy("component", *own).agg(F.min(F.struct("k", "h")).alias("x")).select(F.col("x.k").alias("__k"), F.col("x.h").alias("__h"))
+    # equal rows become one in their own task first, so none of their copies meet at the join
+    keys = [F.xxhash64("doc_id").alias("__k"), F.xxhash64("text").alias("__h")]
+    single = docs.groupBy(*keys).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row"))
+    kept = single.join(lead.hint("shuffle_hash"), ["__k", "__h"])
+    return kept.select("__row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

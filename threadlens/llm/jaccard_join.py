@@ -342,12 +342,13 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def join_classes(docs: DataFrame) -> DataFrame:
-    """(doc_id, k, h, n_shingles, class_id, component_id): one row per row of ``docs(doc_id, text)``.
+    """(doc_id, k, h, n_shingles, class_id, component_id, component): one row per row of ``docs(doc_id, text)``.
 
     ``component_id`` is the least doc_id reachable by links, the row's own included; documents without words
     have an empty set and link with nothing. ``class_id`` is equal for equal sets (a 64-bit hash of set and
     size) and null for empty ones. Repeated rows are linked copies; null ids take part but never name a
-    component that has another id; other columns are ignored; no documents give no rows.
+    component that has another id; other columns are ignored; no documents give no rows. ``component`` is the
+    least class of the component, null for empty sets: components differ in it even if their least ids are equal or null.
     """
     rows = stored(classes_of(docs), "classes")
     least = rows.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("first"))
@@ -355,8 +356,8 @@ def join_classes(docs: DataFrame) -> DataFrame:
     joined = least.join(named, "c", "left").select("c", "first", F.coalesce("component", "c").alias("component"))
     joined = stored(joined, "named")
     lowest = joined.groupBy("component").agg(F.min("first").alias("component_id"))
-    table = joined.join(lowest, "component").select("c", "component_id")
+    table = joined.join(lowest, "component").select("c", "component_id", "component")
     salted = table.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     salt = F.pmod(F.xxhash64("k", "h"), F.lit(SALTS)).cast("int")
     out = rows.withColumn("salt", salt).join(salted, ["c", "salt"], "left")
-    return out.select("doc_id", "k", "h", F.col("n").alias("n_shingles"), F.col("c").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", "k", "h", F.col("n").alias("n_shingles"), F.col("c").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"), "component")
