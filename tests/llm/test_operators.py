@@ -155,3 +155,17 @@ def test_toxicity_on_held_out_rows(spark):
     assert sum(r.predicted == int(r.doc_id % 5 == 0) for r in own) > 0.95 * len(own)
     none = toxicity.score_toxicity(frame(spark, rows[:3]), labels.where("toxic = 0")).collect()
     assert [r.score for r in none] == [0.0] * 3
+
+
+def test_toxicity_lexicon_counts_all_training_rows(spark, monkeypatch):
+    """Terms are counted beyond ``max_rows``, and labels without a document do not use up the bound."""
+    random.seed(4)
+    common = ["the", "sky", "is", "blue", "tree"]
+    insults = ["".join(random.choice("bcdfghklmnpqrstvwxz") for _ in range(8)) for _ in range(60)]
+    rows = [(i, " ".join(random.choice(common) for _ in range(30)) + (" you " + insults[i // 2 % 60] if i % 2 == 0 else "")) for i in range(1200)]
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i, _ in rows] + [(i, 0) for i in range(10_000, 15_000)], "doc_id long, toxic int")
+    seen, whole = [], toxicity.lexicon
+    monkeypatch.setattr(toxicity, "lexicon", lambda labelled: seen.append(whole(labelled)) or seen[-1])
+    own = [r for r in toxicity.score_toxicity(frame(spark, rows), labels, max_rows=60).collect() if r.held_out]
+    assert set(insults) <= seen[0].keys()
+    assert sum(r.predicted == int(r.doc_id % 2 == 0) for r in own) > 0.95 * len(own) > 100

@@ -25,8 +25,10 @@ from pyspark.sql import types as T
 from threadlens.llm.scratch import stored
 from threadlens.llm.words import slices
 
-#: Labelled rows that lexicon, trees and calibration are fitted on at most; fewer are all used.
+#: Labelled documents that trees and calibration are fitted on at most; fewer are all used. The lexicon counts all.
 MAX_ROWS = 20_000
+#: Training labels are broadcast to the texts up to so many; beyond, labels and texts are shuffled.
+BROADCAST_ROWS = 1_000_000
 LEXICON = 5_000
 BEGINNINGS = (4, 5, 6)
 WORD = re.compile(r"[^\W\d_]+(?:[*@$0-9!._-]+[^\W\d_]+)*")
@@ -127,11 +129,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     held = F.crc32(F.col("doc_id").cast("string")) % 5
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     rows = docs.select("doc_id", "text")
-    # at most max_rows ids, chosen by hash: the one side that is broadcast, so texts are not shuffled
-    chosen = marks.where(held != 0).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    train = stored(rows.join(F.broadcast(chosen), "doc_id"), "labelled")
+    own = marks.where(held != 0)
+    train = rows.join(F.broadcast(own) if own.count() <= BROADCAST_ROWS else own, "doc_id")
     weights = lexicon(train)
-    sample = stored(featured(train, weights), "features")
+    # at most max_rows ids that have a document, chosen by hash and broadcast: trees and calibration see only these
+    chosen = train.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    sample = stored(featured(train.join(F.broadcast(chosen), "doc_id"), weights), "features")
     kinds = sample.select("toxic").distinct().count()
     known = F.coalesce((held == 0), F.lit(False)).alias("held_out")
     if kinds < 2:
