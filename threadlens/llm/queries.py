@@ -14,6 +14,7 @@ from threadlens.llm import (
     quality_rules,
     secret_scan,
     substring_dedup,
+    token_alignment,
     toxicity,
     url_filter,
 )
@@ -85,6 +86,13 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("items", "h")
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align_documents(table(spark, folder, "documents"), *files)
+
+
 LLM_QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_pii": op2_pii,
@@ -96,6 +104,7 @@ LLM_QUERIES = {
     "op8_preferences": op8_preferences,
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 OP3_SQL = r"""
