@@ -78,7 +78,7 @@ def test_chunks_and_cuts_do_not_matter(spark, monkeypatch):
     pair = token_alignment.Pair(open(A, encoding="utf-8").read(), open(B, "rb").read())
     assert pair.cuts
     monkeypatch.setattr(token_alignment, "PART_CHARS", 20)
-    monkeypatch.setattr(token_alignment, "CHUNK_BYTES", 200)
+    monkeypatch.setattr(token_alignment, "SORTED_CHARS", 200)
     whole = brute(texts)
     assert len(list(pair.parts(texts[-1]))) > 5
     chunk = token_alignment.Chunk(pair, texts, True)

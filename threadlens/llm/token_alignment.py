@@ -13,6 +13,7 @@ so a pair that is in every document costs one row per chunk.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,8 +32,10 @@ from threadlens.llm.words import slices
 
 #: Characters after which a long text is cut at the next place where no token of either side can span the cut.
 PART_CHARS = 1 << 18
-#: Bytes of text of a chunk, and of what is sorted at a time.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text of a chunk, which has one dictionary, and characters that are sorted at a time.
+CHUNK_BYTES, SORTED_CHARS = 8 << 20, 1 << 19
+#: Parts that go to the tokenizers in one call.
+ENCODED_AT_ONCE = 8
 _CUT = re.compile("(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
 
 
@@ -56,6 +59,8 @@ class Pair:
     """Both tokenizers, loaded from the contents of their files."""
 
     def __init__(self, a_json: str, b_model: bytes):
+        # read by the library at its first batch: a task has one core, and threads of its own only spin
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -167,7 +172,7 @@ class Chunk:
             for part in pair.parts(text) if text else ():
                 waiting.append((row, part))
                 size += len(part)
-                if size >= CHUNK_BYTES:
+                if size >= SORTED_CHARS:
                     for to, more in zip((keys, times), self._add(waiting)):
                         to.append(more)
                     waiting, size = [], 0
@@ -182,22 +187,23 @@ class Chunk:
     def _add(self, waiting: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
         """Aligns some parts; returns their links as row * pair_count + pair, with how often each occurs."""
         pair = self.pair
-        parts = [(row, part) for row, part in waiting if self.whole[row]]
-        a, b = pair.encode([part for _, part in parts])
-        good = []
-        for i, (row, part) in enumerate(parts):
-            if pair.covers(part, a[i], b[i]):
-                good.append(i)
-            else:
-                self.whole[row] = False
-        good = [i for i in good if self.whole[parts[i][0]]]
-        if not good:
+        rows, all_a, all_b = [], [], []
+        # few texts at a time: what the tokenizers note of each token takes far more room than its id
+        for at in range(0, len(waiting), ENCODED_AT_ONCE):
+            parts = waiting[at : at + ENCODED_AT_ONCE]
+            for (row, part), a, b in zip(parts, *pair.encode([part for _, part in parts])):
+                if pair.covers(part, a, b):
+                    rows.append(row)
+                    all_a.append(np.array(a, np.int32))
+                    all_b.append(np.array(b, np.int32))
+                else:
+                    self.whole[row] = False
+        if not rows:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        rows = np.array([parts[i][0] for i in good])
-        many_a, many_b = np.array([len(a[i]) for i in good]), np.array([len(b[i]) for i in good])
-        ids_a = np.fromiter((x for i in good for x in a[i]), np.int64, many_a.sum())
-        ids_b = np.fromiter((x for i in good for x in b[i]), np.int64, many_b.sum())
-        del a, b
+        rows = np.array(rows)
+        many_a, many_b = np.array([len(x) for x in all_a]), np.array([len(x) for x in all_b])
+        ids_a, ids_b = np.concatenate(all_a).astype(np.int64), np.concatenate(all_b).astype(np.int64)
+        del all_a, all_b
         found = coalesce(pair.left.sizes[ids_a], pair.right.sizes[ids_b])
         row_a = np.repeat(rows, many_a)
         for counter, more in ((self.n_a, row_a), (self.n_b, np.repeat(rows, many_b)), (self.n_links, row_a[found.link_a])):
