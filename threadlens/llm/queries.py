@@ -13,6 +13,7 @@ from threadlens.llm import (
     preference_format,
     quality_rules,
     secret_scan,
+    source_audit,
     substring_dedup,
     token_alignment,
     toxicity,
@@ -93,6 +94,10 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.align_documents(table(spark, folder, "documents"), *files)
 
 
+def op13_source_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.audit_sources(table(spark, folder, "documents"))
+
+
 LLM_QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_pii": op2_pii,
@@ -105,6 +110,7 @@ LLM_QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_token_alignment": op11_token_alignment,
+    "op13_source_audit": op13_source_audit,
 }
 
 OP3_SQL = r"""
@@ -200,4 +206,32 @@ SELECT pair_id, chosen_id, rejected_id, n::BIGINT AS n_prompt_turns,
     (coalesce(list_sum(list_transform(v[1:i - 1], lambda z: length(z.role) + length(z.text) + 6)), 0) + length(v[i].role) + 5 + length(v[i].text))::BIGINT), ','), '') AS rejected_mask
 FROM x"""
 
-LLM_ORACLES = {"op8_preferences": OP8_SQL, "op9_decontamination": OP9_SQL, "op1_secret_scan": _op1_sql(), "op3_url_filter": OP3_SQL}
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+o AS (SELECT k, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT k) >= 3),
+c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+totals AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS total FROM groups g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+p AS (
+  SELECT t.lang, t.source, kept.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (t.total + v.v) AS p,
+         1 + (1000000000::HUGEINT * (kept.n + 1)) // (v.total + v.v) AS q
+  FROM totals t JOIN kept USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = t.lang AND c.source = t.source AND c.term = kept.term),
+pairs AS (
+  SELECT g.lang, g.source, h.source AS item, coalesce(x.value, 0) AS value
+  FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+             FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) x
+    ON x.lang = g.lang AND x.source = g.source AND x.item = h.source),
+terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE n > 0 AND p > q),
+parts AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts) z
+WHERE part = 'pair' OR rank <= 200"""
+
+LLM_ORACLES = {"op13_source_audit": OP13_SQL, "op8_preferences": OP8_SQL, "op9_decontamination": OP9_SQL, "op1_secret_scan": _op1_sql(), "op3_url_filter": OP3_SQL}
