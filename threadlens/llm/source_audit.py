@@ -183,18 +183,23 @@ def audit_sources(docs: DataFrame, least: int = LEAST_DOCUMENTS, shown: int = SH
     facts = groups.join(totals, ["lang", "source"], "left").groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("source", F.coalesce("total", F.lit(0)).alias("total")))).alias("sources"))
     sizes = words.groupBy("lang").agg(F.count("*").alias("terms"))
     facts = facts.join(sizes, "lang", "left").fillna(0, ["terms"])
-    facts = facts.withColumn("blocks", F.expr(f"1 + terms * size(sources) div {BLOCK_CELLS}")).withColumn("slabs", F.expr(f"1 + (size(sources) - 1) div {SLAB}"))
-    numbers = facts.select("lang", "blocks", "slabs")
-    places = words.join(numbers, "lang").withColumn("block", F.expr("pmod(xxhash64(term), blocks)"))
-    places = places.select("lang", "block", F.explode(F.expr("sequence(0L, slabs - 1L)")).alias("slab"), "term", "count", "held")
-    asked = facts.select("lang", "sources", "terms", F.explode(F.expr("sequence(0L, blocks - 1L)")).alias("block"), "slabs")
-    asked = asked.withColumn("slab", F.explode(F.expr("sequence(0L, slabs - 1L)"))).drop("slabs")
+    # two numbers for the whole corpus, so that no term has to meet its language's facts to find its block
+    size = terms.agg(F.count("term").alias("terms"), F.coalesce(F.max(F.size("held")), F.lit(0)).alias("sources")).first()
+    blocks, slabs = 1 + size["terms"] * size["sources"] // BLOCK_CELLS, 1 + max(size["sources"] - 1, 0) // SLAB
+    every_slab = F.explode(F.sequence(F.lit(0), F.lit(slabs - 1)))
+    places = words.select("lang", F.pmod(F.xxhash64("term"), F.lit(blocks)).alias("block"), every_slab.alias("slab"), "term", "count", "held")
+    asked = facts.select("lang", "sources", "terms", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"))
+    asked = asked.select("*", every_slab.alias("slab"))
     asked = asked.select(*[F.col(c).alias(f"of_{c}") for c in asked.columns])
     keys = ["lang", "block", "slab"]
     schema = "lang string, source string, part string, item string, value long"
 
+    nothing = pa.table([pa.array([], t) for t in [pa.string()] * 4 + [pa.int64()]], names=["lang", "source", "part", "item", "value"])
+
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         facts = right.to_pylist()[0]
+        if not len(left) and facts["of_block"]:
+            return nothing
         names, total = [x["source"] for x in facts["of_sources"]], np.array([x["total"] for x in facts["of_sources"]], np.int64)
         number, slab = facts["of_terms"], range(facts["of_slab"] * SLAB, min(len(names), (facts["of_slab"] + 1) * SLAB))
         words, whole = left.column("term").to_pylist(), left.column("count").to_numpy()
