@@ -18,6 +18,7 @@ from threadlens.llm import (
     token_alignment,
     toxicity,
     url_filter,
+    vector_search,
 )
 from threadlens.session import ship_package
 
@@ -94,6 +95,10 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.align_documents(table(spark, folder, "documents"), *files)
 
 
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op13_source_audit(spark: SparkSession, folder: str) -> DataFrame:
     return source_audit.audit_sources(table(spark, folder, "documents"))
 
@@ -110,6 +115,7 @@ LLM_QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_token_alignment": op11_token_alignment,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
     "op13_source_audit": op13_source_audit,
 }
 
