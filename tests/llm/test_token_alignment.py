@@ -95,3 +95,14 @@ def test_whole_table(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert token_alignment.align_documents(docs, A, B).collect() == []
+
+
+def test_ranks_encode_as_the_file_does(spark):
+    pair = token_alignment.Pair(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    assert pair.by_rank is not None
+    texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    texts += [chr(c) + "a" + chr(c) + " 1" + chr(c) * 2 + "\n" for c in [9, 10, 13, *range(32, 127), *range(0xA1, 0x180)]]
+    ids, _ = pair.encode(texts)
+    assert ids == [e.ids for e in pair.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    broken = open(A, encoding="utf-8").read().replace('"dropout": null', '"dropout": 0.1').replace('"dropout":null', '"dropout":0.1')
+    assert token_alignment.rank_encoder(broken, token_alignment.byte_level_alphabet()) is None
