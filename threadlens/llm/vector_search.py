@@ -31,8 +31,9 @@ SAMPLE_QUERIES, SAMPLE_ROWS = 128, 4096
 RECALL, MOST_PROBES = 0.96, 1024
 #: Width of a cell where projections have a variance of one, and cells on each side of zero (the last one is open).
 WIDTH, HALF = 2.0, 3
-#: Choices of the fit: functions of a bucket, tables. A visited bucket counts as so many compared rows.
-FUNCTIONS, TABLES, VISIT_ROWS = (1, 2, 3, 4, 6, 8, 10, 12, 14, 16), (2, 4), 64
+#: Choices of the fit: functions of a bucket, tables. A visited bucket (a query's vector sent, its best rows sent back) costs as
+#: much as so many compared rows.
+FUNCTIONS, TABLES, VISIT_ROWS = (1, 2, 3, 4, 6, 8, 10, 12, 14, 16), (2, 4), 512
 #: Rows of an index block and of a block of queries; a bucket with more of them is dealt to several.
 INDEX_BLOCK, QUERY_BLOCK = 4096, 1024
 
@@ -141,15 +142,23 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
-def best_rows(queries: np.ndarray, vectors: np.ndarray, ids: list[np.ndarray], top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def lower_bounds(queries: np.ndarray, vectors: np.ndarray, top: int) -> np.ndarray:
+    """A score that ``top`` of the vectors reach, for every query."""
+    if len(vectors) < top:
+        return np.full(len(queries), -np.inf)
+    return np.partition(queries @ vectors.T, len(vectors) - top, axis=1)[:, len(vectors) - top]
+
+
+def best_rows(queries: np.ndarray, bounds: np.ndarray, vectors: np.ndarray, ids: list[np.ndarray], top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of every query the ``top`` best (query, id, score), best first, ties to smaller ids. ``ids[i]`` are the rows that hold vector i.
+    Vectors below a query's bound are left out.
 
     Products of matrices only choose; the scores of what they choose are sums in one order, so that equal vectors get
     equal scores wherever they meet a query. Vectors as good as the last one chosen are all taken.
     """
     near = queries @ vectors.T
     last = max(vectors.shape[0] - top, 0)
-    bound = np.partition(near, last, axis=1)[:, last]
+    bound = np.maximum(bounds, np.partition(near, last, axis=1)[:, last])
     slack = 1e-9 * np.linalg.norm(queries, axis=1) * np.linalg.norm(vectors, axis=1).max(initial=0)
     q, v = np.nonzero(near >= (bound - slack)[:, None])
     score = (queries[q] * vectors[v]).sum(1)
@@ -228,13 +237,25 @@ def nearest(vectors: DataFrame, is_query: Column, id: str = "vec_id", vector: st
     sample = classes.where("asked").orderBy(*keys).limit(SAMPLE_QUERIES).collect()
     if not sample:
         return empty
-    shown = classes.orderBy("k2", "k1").limit(SAMPLE_ROWS).select("v").collect()
+    shown = classes.orderBy("k2", "k1").limit(SAMPLE_ROWS).select("v", "ids").collect()
     true = _true_neighbours(classes, sample, top)
     hashes = fit(
         Hashes.draw(lengths["n"], facts["longest"], seed=seed), np.array([r["v"] for r in sample]), np.array([r["q"] for r in true], np.int64),
         np.array([r["v"] for r in true]).reshape(len(true), lengths["n"]), np.array([r["v"] for r in shown]), facts["n"], recall,
     )
 
+    # the sampled rows are compared with every query: what top + 1 of them reach bounds what other rows are sent back
+    seen = spark.sparkContext.broadcast((np.array([r["v"] for r in shown]), [np.array(r["ids"], np.int64) for r in shown]))
+    names = ["k1", "k2", "vec_id", "score"]
+
+    def compare_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, len(whole), 256):
+                batch = whole.slice(at, 256)
+                q, rows, score = best_rows(_matrix(batch.column("v")), np.full(len(batch), -np.inf), *seen.value, top + 1)
+                of = batch.select(["k1", "k2"]).take(pa.array(q))
+                yield pa.RecordBatch.from_arrays([*of.columns, pa.array(rows, pa.int64()), pa.array(score)], names=names)
+
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             points = hashes.rows(_matrix(batch.column("v")))
@@ -246,14 +267,16 @@ def nearest(vectors: DataFrame, is_query: Column, id: str = "vec_id", vector: st
         for whole in batches:
             for at in range(0, len(whole), 256):
                 batch = whole.slice(at, 256)
-                points = hashes.queries(_matrix(batch.column("v")))
+                vectors = _matrix(batch.column("v"))
+                points = hashes.queries(vectors)
+                batch = batch.append_column("bound", pa.array(lower_bounds(vectors, seen.value[0], top + 1)))
                 for table in range(hashes.tables):
                     visited, _ = hashes.order(points, table, hashes.probes)
                     out = batch.take(pa.array(np.repeat(np.arange(len(batch)), visited.shape[1])))
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(out), table, np.int32)), pa.array(visited.ravel()), *out.columns], names=["t", "bucket", *out.schema.names])
 
     held = classes.select("v", "k1", "k2", "ids").mapInArrow(index, "t int, bucket long, v array<double>, k1 long, k2 long, ids array<long>")
-    asked = classes.where("asked").select("v", "k1", "k2").mapInArrow(probe, "t int, bucket long, v array<double>, k1 long, k2 long")
+    asked = classes.where("asked").select("v", "k1", "k2").mapInArrow(probe, "t int, bucket long, v array<double>, k1 long, k2 long, bound double")
     place = ["t", "bucket"]
 
     def blocks(frame: DataFrame, size: int, name: str) -> DataFrame:
@@ -264,21 +287,21 @@ def nearest(vectors: DataFrame, is_query: Column, id: str = "vec_id", vector: st
     left = held.join(sizes, place).withColumn("part", F.expr("pmod(k1, parts)")).withColumn("asker", F.explode(F.expr("sequence(0L, askers - 1)")))
     right = asked.join(sizes, place).withColumn("asker", F.expr("pmod(k1, askers)")).withColumn("part", F.explode(F.expr("sequence(0L, parts - 1)")))
     block = [*place, "part", "asker"]
-    right = right.select(*[F.col(c).alias(f"of_{c}") for c in [*block, "v", "k1", "k2"]])
+    right = right.select(*[F.col(c).alias(f"of_{c}") for c in [*block, "v", "k1", "k2", "bound"]])
 
     def compare(index: pa.Table, queries: pa.Table) -> pa.Table:
-        names = ["k1", "k2", "vec_id", "score"]
         vectors, ids = _matrix(index.column("v")), [np.array(x) for x in index.column("ids").to_pylist()]
         out = []
         for at in range(0, len(queries) if len(index) else 0, 256):
             some = queries.slice(at, 256)
-            q, rows, score = best_rows(_matrix(some.column("of_v")), vectors, ids, top + 1)
+            q, rows, score = best_rows(_matrix(some.column("of_v")), some.column("of_bound").to_numpy(), vectors, ids, top + 1)
             of = some.select(["of_k1", "of_k2"]).take(pa.array(q))
             out.append(pa.table([of.column(0), of.column(1), pa.array(rows, pa.int64()), pa.array(score)], names=names))
         return pa.concat_tables(out) if out else pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.float64())], names=names)
 
     pairs = left.groupBy(*block).cogroup(right.groupBy(*[f"of_{c}" for c in block])).applyInArrow(compare, "k1 long, k2 long, vec_id long, score double")
-    merged = pairs.groupBy("k1", "k2", "vec_id").agg(F.max("score").alias("score"))
+    sampled = classes.where("asked").select("v", "k1", "k2").mapInArrow(compare_sample, pairs.schema)
+    merged = pairs.union(sampled).groupBy("k1", "k2", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy(*keys).orderBy(F.col("score").desc(), "vec_id")
     best = merged.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top + 1)
     lists = best.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("found"))
