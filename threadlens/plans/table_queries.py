@@ -48,7 +48,7 @@ from threadlens.operators.stats import (
     token_stats_from,
 )
 from threadlens.plans.artifacts import keyword_artifacts
-from threadlens.session import ship_package
+from threadlens.session import ship_package, spread_input
 from threadlens.sources import artifacts, comments as comment_sources, pages
 from threadlens.streaming import incremental
 
@@ -69,7 +69,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     ship_package(spark)
-    rows = table(spark, folder, "documents").select("doc_id", "lang", "source", "text")
+    rows = spread_input(table(spark, folder, "documents").select("doc_id", "lang", "source", "text"))
     return rows.select(
         F.col("lang").alias("channel_id"),
         F.concat_ws("-", "lang", "source").alias("video_id"),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,9 +17,20 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+#: Session setting, unset by default: the number of partitions that texts are dealt to after they are read. Spark cannot split
+#: a Parquet row group, so a table that was written as one (small tables are) is otherwise read and tokenised by one core. Tables of
+#: many files need no such shuffle.
+INPUT_PARTITIONS = "spark.threadlens.inputPartitions"
+
 _SHIPPED: set[str] = set()
 
 
+def spread_input(rows: DataFrame) -> DataFrame:
+    """The rows dealt to as many partitions as ``INPUT_PARTITIONS`` names; unchanged where it is unset."""
+    partitions = rows.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return rows if partitions is None else rows.repartition(int(partitions))
+
+
 def ship_package(spark: SparkSession) -> SparkSession:
     """Gives the session's Python workers this package, which the Arrow functions import."""
     app = spark.sparkContext.applicationId
@@ -41,6 +53,7 @@ def local_session(cores: int | str = "*", memory: str = "8g", **extra: str) -> S
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
+        .config(INPUT_PARTITIONS, str(os.cpu_count() if cores == "*" else cores))
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
