@@ -21,7 +21,7 @@ from threadlens.config import (
 )
 from threadlens.operators.corpus import Corpus, build_corpus, corpus_df
 from threadlens.operators.distinctive import distinctive_keywords
-from threadlens.operators.features import feature_stats, roll_up
+from threadlens.operators.features import feature_stats, roll_up, supported_stats
 from threadlens.operators.keywords import (
     df_band,
     keyword_summary,
@@ -124,6 +124,24 @@ def test_ngram_df(spark):
     assert {"amazing cat", "dog", "cat"} <= got and "funny dog" not in got and "vid" not in got
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 12])
+@pytest.mark.parametrize("span, support", [((1, 2), 2), ((2, 2), 2), ((1, 3), 3), ((2, 3), 2), ((1, 1), 2), ((1, 2), 1)])
+def test_words_without_support_spare_their_ngrams(spark, bits, span, support):
+    draw = random.Random(4)
+    vocabulary = [a + b for a in ("red", "blue", "green", "gold") for b in ("cat", "dog", "owl", "bee", "fox", "ant", "yak")]
+    texts = {v: [" ".join(draw.choices(vocabulary, k=draw.randint(0, 9))) for _ in range(40)] + ["", None] for v in ("a", "b")}
+    rows = comments(spark, **texts, c=["lonecat"], d=[None])
+    config = KeywordConfig(ngram_range=span, min_ngram_df=support)
+    whole = {(r.video_id, r.token): tuple(r) for r in feature_stats(rows, ["video_id"], config).collect()}
+    found = supported_stats(rows, ["video_id"], config, support, support_bits=bits).collect()
+    got = {(r.video_id, r.token): tuple(r) for r in found}
+    assert len(got) == len(found) and all(whole[k] == r for k, r in got.items())
+    must = {k for k, r in whole.items() if k[1] is None or " " not in k[1] or r[4] >= support}
+    assert must <= got.keys()
+    if bits > 64 and support > 1 and span[1] > 1:
+        assert len(got) < len(whole)
+
+
 def test_sentiment_words_leave_whole_ngrams(spark):
     config = KeywordConfig(**OPEN, ngram_range=(1, 2), min_ngram_df=1)
     rows = comments(spark, v=["amazing cat", "funny dog"])

@@ -27,6 +27,9 @@ WEIGHT_BITS = 60
 LIMB_BITS = 20
 LIMB_MASK = (1 << LIMB_BITS) - 1
 
+# Size of the filter of ``supported_stats`` (1 MB): enough for about a million frequent words of all grains.
+SUPPORT_BITS = 1 << 23
+
 
 def document_tokens(comments: DataFrame, rules: TokenRules, text: str = "text_clean") -> DataFrame:
     """Adds ``tokens ARRAY<STRING>``: filtered, normalised, in reading order."""
@@ -39,9 +42,12 @@ def document_tokens(comments: DataFrame, rules: TokenRules, text: str = "text_cl
 def document_features(comments: DataFrame, rules: TokenRules, text: str = "text_clean") -> DataFrame:
     """Adds ``features ARRAY<STRING>``: the n-grams of the filtered tokens, short ones first."""
     smallest, largest = getattr(rules, "ngram_range", (1, 1))
-    out = document_tokens(comments, rules, text)
-    parts = []
-    grams = "tokens"
+    return _with_ngrams(document_tokens(comments, rules, text), smallest, largest)
+
+
+def _with_ngrams(documents: DataFrame, smallest: int, largest: int) -> DataFrame:
+    """Adds ``features``: the n-grams of ``tokens``. An n-gram with a NULL word is NULL."""
+    out, parts, grams = documents, [], "tokens"
     for n in range(1, largest + 1):
         if n > 1:
             # An n-gram is the (n-1)-gram at the same place plus the word after it.
@@ -77,12 +83,68 @@ def feature_stats(
     With ``arrival`` (a BIGINT that orders the comments of a grain) two more columns
     say where the token was seen first: ``first_arrival`` and ``first_position``.
     """
+    docs = document_features(comments, rules, text).withColumn("_length", F.size("features"))
+    return _count_features(docs, list(grain), text, arrival, weights)
+
+
+def supported_stats(
+    comments: DataFrame,
+    grain: Sequence[str],
+    rules: TokenRules,
+    support: int,
+    text: str = "text_clean",
+    support_bits: int = SUPPORT_BITS,
+) -> DataFrame:
+    """``feature_stats`` without n-grams that cannot be in ``support`` documents of their grain.
+
+    Each word of an n-gram is in at least the documents that hold the n-gram. So words are counted first;
+    those with the support set bits of a filter of ``support_bits`` bits (hash of grain and word), and an n-gram is
+    formed only where all of its words have theirs. Lengths follow from token counts, so the weights of what is left do
+    not change. The filter has the same size whatever the data; words that share a bit only let more
+    n-grams through, and the counts of those are as exact as ever. Counts of words are always whole.
+    """
+    smallest, largest = getattr(rules, "ngram_range", (1, 1))
+    if largest < 2 or support < 2:
+        return feature_stats(comments, grain, rules, text)
     keys = list(grain)
-    docs = document_features(comments, rules, text).select(
+    tokens = document_tokens(comments, rules, text)
+    sizes = [F.greatest(F.size("tokens") - (n - 1), F.lit(0)) for n in range(smallest, largest + 1)]
+    lengths = tokens.withColumn("_length", sum(sizes[1:], sizes[0]))
+    words = _count_features(lengths.withColumn("features", F.col("tokens")), keys, text, None, True)
+
+    def place(word: Column) -> Column:
+        return F.xxhash64(*keys, word).bitwiseAND(F.lit(support_bits - 1))
+
+    bits = _bitmap(token_rows(words).where(F.col("df") >= support).select(place(F.col("token")).alias("bit")), support_bits)
+    def supported(word: Column) -> Column:
+        held = F.get("_bits", F.shiftright(place(word), 6).cast("int"))
+        return F.bit_get(held, place(word).bitwiseAND(F.lit(63)).cast("int")) == 1
+
+    # The optimiser moves the subquery to its one use, so no row carries a copy of the filter.
+    marked = lengths.withColumn("_bits", bits)
+    marked = marked.withColumn("tokens", F.transform("tokens", lambda word: F.when(supported(word), word))).drop("_bits")
+    longer = _with_ngrams(marked, max(smallest, 2), largest).withColumn("features", F.array_compact("features"))
+    if smallest > 1:
+        words = words.where(F.col("docs") > 0)
+    return words.unionByName(token_rows(_count_features(longer, keys, text, None, True)))
+
+
+def _bitmap(rows: DataFrame, bits: int) -> Column:
+    """A scalar subquery: an array of BIGINT words in which every ``bit`` of the rows is set."""
+    slot, mask = F.shiftright("bit", 6).alias("slot"), F.expr("shiftleft(1L, cast(bit & 63 AS int))").alias("mask")
+    none = rows.sparkSession.range(bits // 64).select(F.col("id").alias("slot"), F.lit(0).cast("bigint").alias("mask"))
+    words = rows.select(slot, mask).union(none).groupBy("slot").agg(F.bit_or("mask").alias("mask"))
+    packed = F.sort_array(F.collect_list(F.struct("slot", "mask")))
+    return words.agg(F.transform(packed, lambda x: x["mask"])).scalar()
+
+
+def _count_features(docs: DataFrame, keys: list[str], text: str, arrival: str | None, weights: bool) -> DataFrame:
+    """The counts of ``feature_stats`` over documents with ``features`` and ``_length``."""
+    docs = docs.select(
         *keys,
         *([F.col(arrival).alias("_arrival")] if arrival else []),
         is_blank(F.col(text)).alias("_blank"),
-        F.size("features").alias("_length"),
+        "_length",
         _sorted_with_marker("features", bool(arrival)).alias("_sorted"),
     )
     docs = docs.withColumn("_unit", F.expr(f"{1 << WEIGHT_BITS}L div greatest(_length, 1)"))

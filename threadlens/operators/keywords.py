@@ -13,6 +13,7 @@ from threadlens.operators.corpus import Corpus
 from threadlens.operators.features import (
     feature_stats,
     grain_totals,
+    supported_stats,
     term_frequency_sum,
     token_rows,
 )
@@ -68,6 +69,15 @@ def _fits_ngram_df(df: Column, config: KeywordConfig) -> Column:
     return (ngram_size(F.col("token")) < 2) | (df >= config.min_ngram_df)
 
 
+def keyword_stats(
+    comments: DataFrame, grain: Sequence[str], config: KeywordConfig, text: str = "text_clean"
+) -> DataFrame:
+    """The feature counts that local keywords of these grains are scored from. N-grams that the df rules drop
+    whatever their count are not formed (see ``supported_stats``), so the counts serve no other grain and no corpus."""
+    support = max(config.min_ngram_df, config.min_df if isinstance(config.min_df, int) else 1)
+    return supported_stats(comments, grain, config, support, text)
+
+
 def scored_features(
     stats: DataFrame, grain: Sequence[str], config: KeywordConfig, corpus: Corpus | None = None
 ) -> DataFrame:
@@ -154,7 +164,8 @@ def tfidf_keywords(
     """
     if corpus is not None:
         corpus.require_compatible(config)
-    stats = feature_stats(comments, grain, config, text)
+    counted = keyword_stats if corpus is None else feature_stats
+    stats = counted(comments, grain, config, text)
     return top_keywords(scored_features(stats, grain, config, corpus), grain, config, drop_sentiment)
 
 

@@ -35,6 +35,7 @@ from threadlens.operators.guards import (
     assert_single_version,
     single_version,
 )
+from threadlens.operators.keywords import keyword_stats
 from threadlens.operators.report import channel_report, report_order
 from threadlens.plans.artifacts import (
     distinctive_artifacts,
@@ -124,8 +125,9 @@ def keywords_by_video(
 ) -> DataFrame:
     comments = read_clean_comments(spark, clean_path(root), videos)
     config = config.with_stopwords_hash()
+    counted = feature_stats if use_corpus else keyword_stats
     rows = keyword_artifacts(
-        feature_stats(comments, ["video_id"], config),
+        counted(comments, ["video_id"], config),
         ["video_id"],
         config,
         single_version(comments),

@@ -36,6 +36,7 @@ from threadlens.operators.features import (
 )
 from threadlens.operators.keywords import (
     df_thresholds,
+    keyword_stats,
     keyword_summary,
     scored_features,
     tfidf_keywords,
@@ -318,7 +319,7 @@ def tfidf_conversations_query(drop_sentiment: bool) -> Callable[[SparkSession, s
 
 def summary_query(grain: list[str], config: KeywordConfig) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        rows = keyword_summary(feature_stats(documents(spark, folder), grain, config), grain, config)
+        rows = keyword_summary(keyword_stats(documents(spark, folder), grain, config), grain, config)
         shown = F.transform("keywords", lambda k: F.concat_ws(":", k["token"], k["df"]))
         return rows.withColumn("keyword_count", F.size("keywords").cast("bigint")).withColumn(
             "keywords", F.array_join(shown, " | ")
