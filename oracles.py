@@ -399,5 +399,13 @@ FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) =
     "stream_quarantine": """SELECT conv_id || '-' || turn || CASE WHEN turn % 7 = 3 THEN ' cut {"video_id' ELSE '' END AS line,
        CASE WHEN turn % 7 = 3 THEN 'not a JSON comment record' END AS reason FROM conversations""",
     "stream_tfidf": _keywords("video_id"),
+    "stream_redelivered": f"""WITH {CONVERSATIONS}, {TOKENS}
+SELECT video_id, token, 0::BIGINT AS docs, count(DISTINCT doc_id) AS df, count(*) AS count
+FROM tokens JOIN docs USING (doc_id) GROUP BY video_id, token
+UNION ALL
+SELECT video_id, NULL, count(DISTINCT d.doc_id), count(DISTINCT t.doc_id), 0 FROM docs d LEFT JOIN tokens t USING (doc_id) GROUP BY video_id""",
+    "stream_df_upsert": f"WITH {CONVERSATIONS}, {TOKENS}, {BIGRAMS}{CORPUS} SELECT token, df_videos FROM corpus",
+    "stream_run_log": """SELECT 'c' || user_id AS channel_id, ts AS finished_at_utc, CAST(floor(value) AS BIGINT) AS comment_count
+FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""",
     "stream_corpus_df": f"WITH {DOCS}, {TOKENS}, {UNIGRAMS}{CORPUS} SELECT token, df_videos FROM corpus",
 }

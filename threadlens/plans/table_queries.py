@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,6 +50,7 @@ from threadlens.operators.stats import (
     token_stats_from,
 )
 from threadlens.plans.artifacts import keyword_artifacts
+from threadlens.schemas import CHANNEL_RUN
 from threadlens.session import ship_package, spread_input
 from threadlens.sources import artifacts, comments as comment_sources, pages
 from threadlens.streaming import incremental
@@ -643,6 +645,66 @@ def stream_corpus_query(spark: SparkSession, folder: str) -> DataFrame:
     return incremental.corpus_df_of_parts(spark, stream_features(spark, folder))
 
 
+def delivered_twice(spark: SparkSession, folder: str, base: str) -> int:
+    """Raw comments in files under ``base``, and all of them once more in later files; the number of files of a delivery."""
+    rows = raw_conversations(spark, folder).select(F.to_json(F.struct("*")).alias("value"))
+    files = 4
+    for delivery in ("first", "second"):
+        rows.repartition(files).write.text(f"{base}/{delivery}")
+    return files
+
+
+def stream_redelivered_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of a stream that delivers every comment in two micro-batches."""
+    ship_package(spark)
+    base = work_folder(spark)
+    files = delivered_twice(spark, folder, f"{base}/raw")
+    stream = incremental.stream_deliveries(spark, f"{base}/raw", files)
+    comments = clean_comments(incremental.first_deliveries(stream))
+    query = incremental.write_feature_parts(comments, VIDEO, STATS, f"{base}/parts", f"{base}/progress")
+    query.trigger(availableNow=True).start().awaitTermination()
+    stats = incremental.read_feature_parts(spark, f"{base}/parts", VIDEO)
+    return stats.select("video_id", "token", "docs", "df", F.col("n").alias("count"))
+
+
+def stream_df_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Document frequencies kept by a stream whose comments come twice and whose second micro-batch fails once its part is
+    written, so that it is replayed; folded in between and at the end."""
+    ship_package(spark)
+    base = work_folder(spark)
+    files = delivered_twice(spark, folder, f"{base}/raw")
+    failures = [1]
+
+    def run() -> None:
+        comments = clean_comments(incremental.stream_deliveries(spark, f"{base}/raw", max(files // 2, 1)))
+        writer = incremental.write_df_table(comments, BIGRAMS, f"{base}/df", f"{base}/progress", after=fail)
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    def fail(batch_id: int) -> None:
+        if batch_id in failures:
+            failures.remove(batch_id)
+            raise RuntimeError("the micro-batch stops after its part is written")
+
+    try:
+        run()
+    except StreamingQueryException:
+        incremental.compact_df_table(spark, f"{base}/df")
+        run()
+    incremental.compact_df_table(spark, f"{base}/df")
+    return incremental.read_df_table(spark, f"{base}/df")
+
+
+def stream_runs_query(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest run of every channel, out of a run log that a stream has written."""
+    base = work_folder(spark)
+    event_runs(spark, folder).write.parquet(f"{base}/arriving")
+    runs = spark.readStream.schema(CHANNEL_RUN).parquet(f"{base}/arriving")
+    query = incremental.write_run_stream(runs, f"{base}/runs", f"{base}/progress")
+    query.trigger(availableNow=True).start().awaitTermination()
+    latest = channels.latest_runs(spark.read.schema(CHANNEL_RUN).parquet(f"{base}/runs"))
+    return latest.select("channel_id", "finished_at_utc", "comment_count")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": clean_text_query,
     "clean_comments": clean_comments_query,
@@ -694,4 +756,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_quarantine": stream_quarantine_query,
     "stream_tfidf": stream_tfidf_query,
     "stream_corpus_df": stream_corpus_query,
+    "stream_redelivered": stream_redelivered_query,
+    "stream_df_upsert": stream_df_query,
+    "stream_run_log": stream_runs_query,
 }

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 256
 BUCKET = "key_bucket"
+COLUMNS = "_columns"  # an empty table inside the folder, which Spark's listing passes over
 MODES = ("overwrite", "append", "refuse")
 
 
@@ -33,6 +34,9 @@ def write_keyed(
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     rows = rows.withColumn(BUCKET, bucket_of(F.col(key[0])))
     stored = _stored(rows.sparkSession, path, fmt, rows.schema)
+    if stored is None:
+        # A table that starts without rows has no file that tells its columns.
+        rows.limit(0).write.mode("overwrite").parquet(f"{path}/{COLUMNS}")
     if stored is None or mode == "append":
         _save(rows, path, key, mode, fmt)
         return
@@ -95,4 +99,6 @@ def _stored(spark: SparkSession, path: str, fmt: str, schema=None) -> DataFrame
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return spark.read.parquet(f"{path}/{COLUMNS}")
         raise

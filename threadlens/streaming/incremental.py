@@ -4,21 +4,27 @@ Cleaning is stateless. Feature counts are sums, so each micro-batch writes its o
 partial counts and a reader adds the parts up: no growing state store, no rewriting of
 the table, and a replayed batch overwrites its own part. The sums equal those of a
 batch job over the same comments exactly, because they are integers.
+
+A comment that a source delivers again would count again: ``first_deliveries`` drops it, by
+state that is kept for a stated time. Document frequencies need the first sight of a (video, token) pair
+for good, so that state has no time limit; it is spread over the state store's partitions by the hash of the pair.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from threadlens.config import TokenRules
+from threadlens.config import KeywordConfig, TokenRules
 from threadlens.operators.cleaning import clean_comments
 from threadlens.operators.corpus import corpus_df_of
-from threadlens.operators.features import feature_stats, roll_up
+from threadlens.operators.features import document_features, feature_stats, roll_up
 from threadlens.schemas import CHANNEL_RUN, CLEAN_COMMENT, RAW_COMMENT
+from threadlens.sources import parts
 from threadlens.sources.comments import parse_raw_lines
 
 
@@ -27,6 +33,25 @@ def stream_raw_comments(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(RAW_COMMENT).option("recursiveFileLookup", "true").json(path)
 
 
+def stream_deliveries(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """Raw comment files as they land, with ``delivered_at``: when their file was written."""
+    reader = spark.readStream.schema(RAW_COMMENT).option("recursiveFileLookup", "true")
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(path).withColumn("delivered_at", F.col("_metadata.file_modification_time"))
+
+
+def first_deliveries(
+    comments: DataFrame, within: str = "30 days", key: Sequence[str] = ("video_id", "comment_id"), time: str = "delivered_at"
+) -> DataFrame:
+    """The stream without comments that it delivered before, no longer than ``within`` ago.
+
+    The watermark follows the time of delivery and not that of publication: an old comment that is delivered for the first
+    time is no late row. State is kept per comment for ``within``; a comment that comes again after that counts again.
+    """
+    return comments.withWatermark(time, within).dropDuplicatesWithinWatermark(list(key))
+
+
 def stream_raw_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of raw comment files as they land, with their file."""
     lines = spark.readStream.option("recursiveFileLookup", "true").text(path)
@@ -36,11 +61,17 @@ def stream_raw_lines(spark: SparkSession, path: str) -> DataFrame:
 def write_checked_stream(lines: DataFrame, path: str, rejected: str, checkpoint: str) -> DataStreamWriter:
     """Valid lines to clean Parquet files, all others to ``rejected`` with file and reason.
 
-    Each micro-batch is one part of both tables; a replay overwrites its own part.
+    Each micro-batch is one part of both tables and is parsed once; a replay overwrites its own part.
     """
 
     def add_part(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_raw_lines(batch)
+        parsed = parse_raw_lines(batch).persist(StorageLevel.DISK_ONLY)
+        try:
+            add(parsed, batch_id)
+        finally:
+            parsed.unpersist()
+
+    def add(parsed: DataFrame, batch_id: int) -> None:
         good = parsed.where(F.col("_reason").isNull()).drop("origin", "value", "_reason")
         bad = parsed.where(F.col("_reason").isNotNull())
         bad = bad.select("origin", F.col("value").alias("line"), F.col("_reason").alias("reason"))
@@ -74,6 +105,12 @@ def running_token_counts(
     return stats.select(*grain, "token", F.col("n").alias("count"), "df").where(F.col("token").isNotNull())
 
 
+def feature_part_schema(grain: Sequence[str]) -> str:
+    """Columns of a table of feature counts."""
+    counts = "token STRING, docs BIGINT, blank BIGINT, df BIGINT, n BIGINT, w2 BIGINT, w1 BIGINT, w0 BIGINT"
+    return ", ".join([f"{c} STRING" for c in grain] + [counts])
+
+
 def write_feature_parts(
     comments: DataFrame,
     grain: Sequence[str],
@@ -85,20 +122,20 @@ def write_feature_parts(
     """Each micro-batch adds its partial feature counts as one part of the table at ``path``."""
 
     def add_part(batch: DataFrame, batch_id: int) -> None:
-        feature_stats(batch, grain, rules, text).write.mode("overwrite").parquet(f"{path}/part={batch_id}")
+        parts.write_part(feature_stats(batch, grain, rules, text), path, batch_id)
 
     return comments.writeStream.foreachBatch(add_part).option("checkpointLocation", checkpoint)
 
 
 def read_feature_parts(spark: SparkSession, path: str, grain: Sequence[str]) -> DataFrame:
     """Feature counts over all parts; feeds the same keyword functions as a batch job."""
-    return roll_up(spark.read.parquet(path).drop("part"), grain)
+    return roll_up(parts.read_parts(spark, path, feature_part_schema(grain)), grain)
 
 
-def compact_feature_parts(spark: SparkSession, path: str, target: str, grain: Sequence[str]) -> None:
-    """Adds up the parts written so far into one part of a new table at ``target``, which
-    can then be read or extended like any other."""
-    read_feature_parts(spark, path, grain).write.parquet(f"{target}/part=-1")
+def compact_feature_parts(spark: SparkSession, path: str, grain: Sequence[str]) -> int:
+    """Adds up the parts that can no longer change into a base that readers take instead of them. May run while the stream
+    adds parts."""
+    return parts.fold_parts(spark, path, feature_part_schema(grain), lambda rows: roll_up(rows, grain))
 
 
 def corpus_df_of_parts(spark: SparkSession, path: str, video: str = "video_id") -> DataFrame:
@@ -106,6 +143,50 @@ def corpus_df_of_parts(spark: SparkSession, path: str, video: str = "video_id")
     return corpus_df_of(read_feature_parts(spark, path, [video]))
 
 
+DF_DELTA = "token STRING, df_videos BIGINT"
+
+
+def write_df_table(
+    comments: DataFrame,
+    config: KeywordConfig,
+    path: str,
+    checkpoint: str,
+    video: str = "video_id",
+    text: str = "text_clean",
+    after: Callable[[int], None] | None = None,
+) -> DataStreamWriter:
+    """Keeps the corpus document frequencies at ``path`` up to date: (token, in how many videos it occurs).
+
+    The state store remembers every (video, token) pair, so a micro-batch sees only the pairs that are new and costs what its own
+    comments cost, however large the table is. It writes one part of increments; a replay finds the state of
+    before and overwrites its part. Comments that are delivered again change nothing. ``after`` is called with the number of every
+    part once it is written.
+    """
+    features = document_features(comments, config, text)
+    pairs = features.select(F.col(video).alias("video_id"), F.explode(F.array_distinct("features")).alias("token"))
+
+    def add_part(batch: DataFrame, batch_id: int) -> None:
+        parts.write_part(batch.groupBy("token").agg(F.count("*").alias("df_videos")), path, batch_id)
+        if after is not None:
+            after(batch_id)
+
+    return pairs.dropDuplicates(["video_id", "token"]).writeStream.foreachBatch(add_part).option("checkpointLocation", checkpoint)
+
+
+def _summed_df(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("token").agg(F.sum("df_videos").alias("df_videos"))
+
+
+def read_df_table(spark: SparkSession, path: str) -> DataFrame:
+    """(token, df_videos) as of the last finished micro-batch."""
+    return _summed_df(parts.read_parts(spark, path, DF_DELTA))
+
+
+def compact_df_table(spark: SparkSession, path: str) -> int:
+    """Folds the increments; may run while the stream adds to them."""
+    return parts.fold_parts(spark, path, DF_DELTA, _summed_df)
+
+
 def write_run_stream(runs: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """Append-only run log from a stream of run records."""
     columns = [part.split()[0] for part in CHANNEL_RUN.split(", ")]
