@@ -497,3 +497,32 @@ def test_an_artifact_without_rows_can_be_read(spark, tmp_path, kind):
         artifacts.read_artifact(spark, root, kind, ["x"])
     artifacts.write_artifact(spark.createDataFrame([tuple("x" for _ in keys) + ([],)], fields), root, kind)
     assert artifacts.read_artifact(spark, root, kind, ["x"]).count() == 1
+
+
+@pytest.mark.parametrize("split", [300, 4000, 1 << 27])
+def test_line_numbers_do_not_depend_on_splits(spark, tmp_path, split):
+    expected = {}
+    for folder in ("x", "y"):
+        (tmp_path / folder).mkdir()
+        place = 0
+        for name in ("b.jsonl", "a.jsonl", "c.jsonl"):
+            (tmp_path / folder / name).write_text("")
+        for name, lines in (("a.jsonl", 40), ("b.jsonl", 0), ("c.jsonl", 90)):
+            text = ""
+            for i in range(lines):
+                key = f"{folder}{name}{i}"
+                text += raw_line(video_id="v", comment_id=key, text="t" * (i % 7)) + "\n"
+                expected[key] = place
+                place += 1
+            (tmp_path / folder / name).write_text(text)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {n: spark.conf.get(n) for n in names}
+    try:
+        spark.conf.set(names[0], split)
+        spark.conf.set(names[1], 0)
+        rows = store.read_raw_comments(spark, str(tmp_path))
+        assert {r.comment_id: r.arrival for r in rows.collect()} == expected
+    finally:
+        for n, value in old.items():
+            spark.conf.set(n, value)
+    assert {r.arrival for r in store.read_raw_comments(spark, str(tmp_path), number_lines=False).collect()} == {None}

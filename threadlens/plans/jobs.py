@@ -94,7 +94,7 @@ def preprocess(
     spark: SparkSession, root: str, videos: Iterable[str] | None = None, overwrite: bool = True
 ) -> None:
     """Raw layer to clean layer, all videos or some."""
-    raw = read_raw_comments(spark, raw_path(root))
+    raw = read_raw_comments(spark, raw_path(root))  # foreign files may carry no arrival
     if videos is not None:
         raw = raw.where(F.col("video_id").isin(sorted(set(videos))))
     write_clean_comments(clean_comments(raw), clean_path(root), "overwrite" if overwrite else "refuse")

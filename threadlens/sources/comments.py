@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from threadlens.functions.plan import computed_once
 from threadlens.functions.times import iso_utc, parse_utc
@@ -54,23 +55,46 @@ def parse_raw_lines(lines: DataFrame, line: str = "value", origin: str = "origin
 
 
 def _raw_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Lines with their file, the start of their block of the file, and an id that grows inside a block."""
     try:
         lines = spark.read.option("recursiveFileLookup", "true").text(paths)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "value STRING, origin STRING, _order BIGINT")
+        return spark.createDataFrame([], "value STRING, origin STRING, _start BIGINT, _id BIGINT")
     return lines.select(
-        "value", F.col("_metadata.file_path").alias("origin"), F.monotonically_increasing_id().alias("_order")
+        "value",
+        F.col("_metadata.file_path").alias("origin"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_id"),
     )
 
 
-def read_raw_comments(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def line_numbers(lines: DataFrame) -> DataFrame:
+    """Adds ``_order``: the place of a line among all lines of its folder, files in order of their names.
+
+    A prefix sum over blocks: a first pass counts the lines of every block (one small row per block), the sum of all
+    blocks before it is added to a line's place in its own. So the number does not depend on how files are
+    split and packed into partitions. The first pass reads no columns and parses nothing, but it reads the files.
+    """
+    folder = F.regexp_replace("origin", "/[^/]*$", "")
+    before = Window.partitionBy("_folder").orderBy("origin", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (
+        lines.groupBy("origin", "_start")
+        .agg(F.count("*").alias("_lines"), F.min("_id").alias("_first"))
+        .withColumn("_folder", folder)
+        .select("origin", "_start", (F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    )
+    return lines.join(blocks, ["origin", "_start"]).withColumn("_order", F.col("_id") + F.col("_shift")).drop("_start", "_shift", "_id")
+
+
+def read_raw_comments(spark: SparkSession, paths: str | list[str], number_lines: bool = True) -> DataFrame:
     """Raw comments; reading a bad line fails and names its file. A missing path is empty.
 
-    The check is a filter of the same scan, so strictness costs no second pass.
+    The check is a filter of the same scan, so strictness costs no second pass. ``arrival`` is the record's own, or
+    else its line number (see ``line_numbers``); without ``number_lines`` it is left null and the files are read once.
     """
-    parsed = _parsed_files(spark, paths)
+    parsed = _parsed_files(spark, paths, number_lines)
     complaint = F.concat_ws(" ", F.lit("invalid comment record:"), "_reason", F.lit("in"), "origin", "value")
     valid = F.when(F.col("_reason").isNull(), F.lit(True)).otherwise(
         F.raise_error(complaint).cast("boolean")
@@ -79,10 +103,10 @@ def read_raw_comments(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def read_raw_comments_leniently(
-    spark: SparkSession, paths: str | list[str]
+    spark: SparkSession, paths: str | list[str], number_lines: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """(valid comments, rejected lines with file and reason)."""
-    parsed = _parsed_files(spark, paths)
+    parsed = _parsed_files(spark, paths, number_lines)
     good = parsed.where(F.col("_reason").isNull()).drop("origin", "value", "_reason")
     bad = parsed.where(F.col("_reason").isNotNull()).select(
         "origin", F.col("value").alias("line"), F.col("_reason").alias("reason")
@@ -90,10 +114,10 @@ def read_raw_comments_leniently(
     return good, bad
 
 
-def _parsed_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def _parsed_files(spark: SparkSession, paths: str | list[str], number_lines: bool) -> DataFrame:
     lines = _raw_lines(spark, paths)
-    # File order stands in for the arrival order where the records do not carry one.
-    lines = lines.withColumn("origin", F.struct("origin", "_order")).drop("_order")
+    lines = line_numbers(lines) if number_lines else lines.withColumn("_order", F.lit(None).cast("bigint"))
+    lines = lines.withColumn("origin", F.struct("origin", "_order")).select("origin", "value")
     parsed = parse_raw_lines(lines)
     return parsed.withColumn("arrival", F.coalesce("arrival", F.col("origin._order"))).withColumn(
         "origin", F.col("origin.origin")
