@@ -58,6 +58,9 @@ tokens AS (
     AND NOT (length(token) >= 6 AND length(token) % 2 = 0 AND regexp_full_match(token, '[a-z]+')
              AND token = repeat(substr(token, 1, 2), CAST(length(token) // 2 AS INTEGER))))"""
 
+STEMMED = """
+features AS (SELECT doc_id, stem AS token FROM tokens JOIN stems USING (token))"""
+
 UNIGRAMS = """
 features AS (SELECT doc_id, token FROM tokens)"""
 
@@ -70,6 +73,74 @@ features AS (
   WHERE following IS NOT NULL)"""
 
 
+# The published suffix rules, as SQL writes them: one step per line, each over the result of the one before. Suffixes are
+# matched at the end of a word, so the leftmost match is the longest suffix.
+STEP_2 = (
+    "ational ate, tional tion, enci ence, anci ance, abli able, entli ent, izer ize, ization ize, ation ate, ator ate, alism al, aliti al,"
+    " alli al, fulness ful, ousli ous, ousness ous, iveness ive, iviti ive, biliti ble, bli ble, ogi og, fulli ful, lessli less, li -"
+)
+STEP_3 = "ational ate, tional tion, alize al, icate ic, iciti ic, ical ic, ful -, ness -, ative -"
+STEP_4 = "al ance ence er ic able ible ant ement ment ent ism ate iti ous ive ize ion"
+IRREGULAR = (
+    "skis ski, skies sky, dying die, lying lie, tying tie, idly idl, gently gentl, ugly ugli, early earli, only onli, singly singl, sky sky,"
+    " news news, howe howe, atlas atlas, cosmos cosmos, bias bias, andes andes"
+)
+INVARIANT = "inning outing canning herring earring proceed exceed succeed"
+SHORT = "([^aeiouy][aeiouy][^aeiouywxY]|^[aeiouy][^aeiouy])$"
+
+
+def _rules(table: str) -> dict[str, str]:
+    return {a: b.replace("-", "") for a, b in (rule.split() for rule in table.split(","))}
+
+
+def _suffix(rules) -> str:
+    return "(" + "|".join(sorted(rules, key=len, reverse=True)) + ")$"
+
+
+def _map(rules: dict[str, str]) -> str:
+    return "map {" + ", ".join(f"'{a}': '{b}'" for a, b in rules.items()) + "}"
+
+
+def _stems(words: str) -> str:
+    """``stems(token, stem)`` of the distinct tokens of a relation."""
+    two, three, odd = _rules(STEP_2), _rules(STEP_3), _rules(IRREGULAR)
+    region = "CASE WHEN regexp_matches({0}, '[aeiouy][^aeiouy]') THEN length(regexp_extract({0}, '^.*?[aeiouy][^aeiouy]')) ELSE length({0}) END"
+    left = "left(w, length(w) - length(x))"
+    return f"""
+s0 AS (SELECT DISTINCT token FROM {words}),
+s1 AS (SELECT token, regexp_replace(regexp_replace(token, '^''', ''), '(^|[aeiouy])y', '\\1Y', 'g') AS w FROM s0),
+s2 AS (SELECT *, CASE WHEN regexp_matches(w, '^(gener|commun|arsen)') THEN length(regexp_extract(w, '^(gener|commun|arsen)'))
+                 ELSE {region.format('w')} END AS r1 FROM s1),
+s3 AS (SELECT * EXCLUDE (w), r1 + {region.format('substr(w, r1 + 1)')} AS r2, regexp_replace(w, '''(s''?)?$', '') AS w FROM s2),
+s4 AS (SELECT * EXCLUDE (w), CASE WHEN w LIKE '%sses' THEN left(w, -2)
+         WHEN w LIKE '%ied' OR w LIKE '%ies' THEN CASE WHEN length(w) > 4 THEN left(w, -2) ELSE left(w, -1) END
+         WHEN w LIKE '%s' AND NOT regexp_matches(w, '(us|ss)$') AND regexp_matches(left(w, greatest(length(w) - 2, 0)), '[aeiouy]')
+         THEN left(w, -1) ELSE w END AS w FROM s3),
+s5 AS (SELECT *, w IN ({_words(INVARIANT.split())}) AS done, regexp_extract(w, '(eedly|ingly|edly|eed|ing|ed)$') AS x FROM s4),
+s6 AS (SELECT *, left(w, length(w) - length(x)) AS base FROM s5),
+s7 AS (SELECT token, r1, r2, done, w AS kept, CASE WHEN done OR x = '' THEN w
+         WHEN x LIKE 'eed%' THEN CASE WHEN length(base) >= r1 THEN base || 'ee' ELSE w END
+         WHEN NOT regexp_matches(base, '[aeiouy]') THEN w
+         WHEN regexp_matches(base, '(at|bl|iz)$') THEN base || 'e'
+         WHEN regexp_matches(base, '(bb|dd|ff|gg|mm|nn|pp|rr|tt)$') THEN left(base, -1)
+         WHEN length(base) <= r1 AND regexp_matches(base, '{SHORT}') THEN base || 'e' ELSE base END AS w FROM s6),
+s8 AS (SELECT * EXCLUDE (w), CASE WHEN length(w) > 2 AND regexp_matches(w, '[^aeiouy][yY]$') THEN left(w, -1) || 'i' ELSE w END AS w FROM s7),
+s9 AS (SELECT *, regexp_extract(w, '{_suffix(two)}') AS x FROM s8),
+s10 AS (SELECT * EXCLUDE (w, x), CASE WHEN x <> '' AND length(w) - length(x) >= r1
+          AND (x <> 'ogi' OR {left} LIKE '%l') AND (x <> 'li' OR regexp_matches({left}, '[cdeghkmnrt]$')) THEN {left} || {_map(two)}[x] ELSE w END AS w FROM s9),
+s11 AS (SELECT *, regexp_extract(w, '{_suffix(three)}') AS x FROM s10),
+s12 AS (SELECT * EXCLUDE (w, x), CASE WHEN x <> '' AND length(w) - length(x) >= CASE WHEN x = 'ative' THEN r2 ELSE r1 END
+          THEN {left} || {_map(three)}[x] ELSE w END AS w FROM s11),
+s13 AS (SELECT *, regexp_extract(w, '{_suffix(STEP_4.split())}') AS x FROM s12),
+s14 AS (SELECT * EXCLUDE (w, x), CASE WHEN x <> '' AND length(w) - length(x) >= r2 AND (x <> 'ion' OR regexp_matches({left}, '[st]$')) THEN {left} ELSE w END AS w
+        FROM s13),
+s15 AS (SELECT * EXCLUDE (w), CASE WHEN w LIKE '%e' AND (length(w) - 1 >= r2 OR (length(w) - 1 >= r1 AND NOT regexp_matches(left(w, -1), '{SHORT}'))) THEN left(w, -1)
+          WHEN w LIKE '%ll' AND length(w) - 1 >= r2 THEN left(w, -1) ELSE w END AS w FROM s14),
+odd AS (SELECT {_map(odd)} AS m),
+stems AS (SELECT token, CASE WHEN length(token) <= 2 THEN token WHEN token IN ({_words(odd)}) THEN m[token]
+                        WHEN done THEN kept ELSE replace(w, 'Y', 'y') END AS stem FROM s15, odd)"""
+
+
 def _stats(grain: str, n: str = "") -> str:
     """Totals (N, thresholds) and per-token sums of a grain."""
     return f""",
@@ -327,6 +398,8 @@ SELECT doc_id AS comment_id, row_number() OVER (PARTITION BY doc_id ORDER BY wor
     "tfidf_no_sentiment": _keywords("video_id", PLANTED, BIGRAMS).replace(
         "SELECT video_id, rank", "SELECT video_id AS role, rank"),
     "keyword_summary_video": _summary("video_id", UNIGRAMS),
+    "tfidf_stemmed": _keywords("video_id", features=f"{_stems('tokens')}, {STEMMED}"),
+    "stem_vocabulary": f"WITH {DOCS}, {TOKENS}, {_stems('tokens')} SELECT token, stem FROM stems",
     "keyword_summary_channel": _summary("channel_id", BIGRAMS, NGRAM_RULE),
     "df_thresholds": _threshold_rows(),
     "corpus_df": f"WITH {DOCS}, {TOKENS}, {BIGRAMS}{CORPUS} SELECT token, df_videos FROM corpus",

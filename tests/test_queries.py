@@ -7,6 +7,8 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from oracles import _stems
+from threadlens.functions.stem import IRREGULAR, KEPT_AFTER_PLURAL, stem_word
 from oracle_check import compare, duck
 from threadlens.plans.table_queries import QUERIES, UNIGRAMS, VIDEO, documents
 from threadlens.operators.keywords import tfidf_keywords
@@ -28,8 +30,20 @@ def test_query(spark, connection, name):
         assert compare(spark, connection, FOLDER, name, queries()[name], sql) is None
 
 
-def test_only_stemming_has_no_sql():
-    assert set(QUERIES) - set(oracle_sql()) == {"tfidf_stemmed", "stem_vocabulary"}
+def test_every_query_has_sql():
+    assert set(QUERIES) <= set(oracle_sql())
+
+
+def test_stems_in_sql_equal_the_package(connection):
+    """Irregular words and some thousand made of beginnings and suffixes."""
+    ends = ["", "s", "es", "ies", "ied", "ing", "ed", "ly", "ness", "fulness", "ization", "ational", "ement", "ion", "al", "ative", "ogi", "li"]
+    ends += ["eed", "y", "ll", "e", "'s", "'", "'s'", "eedly", "ingly"]
+    starts = "gener commun arsen hop hopp cat yel sky dy b at bl enjoy fluff rel activ nation real hopeful toy bee ski x yy proceed succ early a'b l2l cry".split()
+    words = {a + b for a in starts for b in ends} | {a + b + c for a in starts[:14] for b in ends[8:] for c in ends[1:8]}
+    words = sorted(words | {*IRREGULAR, *KEPT_AFTER_PLURAL})
+    values = ", ".join("('" + w.replace("'", "''") + "')" for w in words)
+    rows = connection.execute(f"WITH w(token) AS (VALUES {values}), {_stems('w')} SELECT token, stem FROM stems").fetchall()
+    assert len(rows) == len(words) and [(w, s, stem_word(w)) for w, s in rows if s != stem_word(w)] == []
 
 
 def test_entry(spark):
