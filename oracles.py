@@ -6,9 +6,20 @@ package. RE2 has no back-references, so letter runs and letter pairs are written
 
 from __future__ import annotations
 
-from threadlens.config import KeywordConfig, TokenStatsConfig, config_hash, corpus_config_hash, keyword_config_hash
 from threadlens.wordlists import SENTIMENT_EN, stopwords
 
+# The default settings as the key-sorted compact JSON that the stored hashes are taken of.
+TOKEN_RULES = '"drop_numeric_tokens":true,"drop_stopwords":true,"lowercase":true,"min_token_len":2'
+STOPWORD_RULES = '"stopwords_hash":"dummy","stopwords_lang":"en"'
+STATS_JSON = f'{{{TOKEN_RULES},"normalization":"none",{STOPWORD_RULES},"top_n_tokens":30}}'
+CORPUS_JSON = f'{{{TOKEN_RULES},"ngram_range":[1,1],"normalization":"none",{STOPWORD_RULES}}}'
+KEYWORD_JSON = (
+    '{"config":{"drop_numeric_tokens":true,"drop_stopwords":true,"idf_mode":"smooth_log_plus1_ln","lowercase":true,"max_df":0.9,"min_df":2,'
+    '"min_ngram_df":2,"min_token_len":2,"ngram_range":[1,1],"normalization":"none","stopwords_hash":"dummy","stopwords_lang":"en",'
+    '"tf_mode":"norm","top_k":30},"keywords_version":"v1"}'
+)
+STATS_HASH, CORPUS_HASH, KEYWORD_HASH = (f"left(sha256('{json}'), 16)" for json in (STATS_JSON, CORPUS_JSON, KEYWORD_JSON))
+
 SPACES = r"\t-\r\x1c-\x20\x85\x{1680}\x{2028}\x{2029}"
 
 
@@ -288,7 +299,7 @@ head AS (
     'channel_id: ' || channel_id,
     'latest_run: videos=' || videos || ' | comments=' || comments || ' | errors=' || errors,
     'run_window: after=2024-01-05 00:00 UTC | before=N/A',
-    'artifacts: preprocess_version=v1 | stats_config={config_hash(TokenStatsConfig())} | tfidf_config={keyword_config_hash(KeywordConfig())}'
+    'artifacts: preprocess_version=v1 | stats_config=' || {STATS_HASH} || ' | tfidf_config=' || {KEYWORD_HASH}
   ]) AS line, unnest([1, 2, 3, 4]) AS rank
   FROM runs)
 SELECT channel_id, NULL::VARCHAR AS video_id, 'head' AS section, CAST(rank AS BIGINT) AS rank,
@@ -307,7 +318,9 @@ SELECT channel_id, video_id, 'distinctive_keywords', rank, token, ' ' || lpad(ra
        || CASE WHEN length(token) < 15 THEN rpad(token, 15, ' ') ELSE token END
        || ' lift=' || CASE WHEN isinf(lift) THEN 'inf' ELSE printf('%.3f', lift) END
        || ' video_df=' || video_df || ' channel_df=' || channel_df
-FROM distinctive"""
+FROM distinctive
+UNION ALL
+SELECT DISTINCT source, NULL, 'absent', 0, NULL, 'no stored token statistics, keywords' FROM documents"""
 
 RAW = """
 raw AS (
@@ -361,7 +374,7 @@ status AS (
 
 ARTIFACTS = f"""WITH {DOCS}, {TOKENS}, {UNIGRAMS}{_stats('video_id')}{_scored('video_id')}{_ranked('video_id')},
 sizes AS (SELECT video_id, count(*) AS vocab_size FROM scored GROUP BY video_id)
-SELECT video_id, '{keyword_config_hash(KeywordConfig())}' AS config_hash, vocab_size, '2' AS min_df_raw,
+SELECT video_id, {KEYWORD_HASH} AS config_hash, vocab_size, '2' AS min_df_raw,
        '0.9' AS max_df_raw, rank, token, round(score, 6) AS score, round(avg_tf, 6) AS avg_tf,
        round(idf, 6) AS idf, df
 FROM ranked JOIN sizes USING (video_id)"""
@@ -463,7 +476,7 @@ WHERE channel_id = 'fr' OR d % 3 = 0 OR d % 5 = 0 OR source = 'src7'""",
        published_at, coalesce(is_reply, false) AS is_reply, CAST(turn AS BIGINT) AS arrival FROM raw""",
     "clean_round_trip": CLEAN_ROWS,
     "corpus_round_trip": f"""WITH {DOCS}, {TOKENS}, {UNIGRAMS}{CORPUS}
-SELECT token, df_videos, n_videos AS video_count, '{corpus_config_hash(KeywordConfig())}' AS config_hash
+SELECT token, df_videos, n_videos AS video_count, {CORPUS_HASH} AS config_hash
 FROM corpus, corpus_size""",
     "artifact_round_trip": ARTIFACTS,
     "run_log": """SELECT 'c' || user_id AS channel_id, ts AS finished_at_utc, CAST(floor(value) AS BIGINT) AS comment_count

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.functions.times import report_time
 
 # Sections in print order.
-SECTIONS = ("head", "top_tokens", "top_keywords", "distinctive_keywords")
+SECTIONS = ("head", "absent", "top_tokens", "top_keywords", "distinctive_keywords")
 
 
 def three_decimals(number: Column) -> Column:
@@ -22,20 +24,23 @@ def channel_report(
     distinctive: DataFrame | None = None,
     top_k: int = 30,
 ) -> DataFrame:
-    """(channel_id, video_id, section, rank, token, line) for every channel that has a run,
-    token statistics and keywords.
+    """(channel_id, video_id, section, rank, token, line) for every channel that has a run.
 
     ``runs`` holds the latest run per channel, ``stats`` and ``keywords`` one artifact row
-    per channel, ``distinctive`` one per (channel, video). Lists are cut at ``top_k``.
+    per channel, ``distinctive`` one per (channel, video). Lists are cut at ``top_k``. A channel without stored statistics or
+    keywords has one line that names what is absent. All lines of a channel are one array, so each table is read once (the
+    runs once more for ``distinctive``).
     """
     joined = runs.join(
         stats.select(
             "channel_id", "preprocess_version", F.col("config_hash").alias("_stats_hash"), "top_tokens"
         ),
         "channel_id",
+        "left",
     ).join(
         keywords.select("channel_id", F.col("config_hash").alias("_keywords_hash"), "keywords"),
         "channel_id",
+        "left",
     )
     head = F.array(
         F.concat(F.lit("channel_id: "), F.col("channel_id")),
@@ -52,63 +57,64 @@ def channel_report(
             F.lit(" | tfidf_config="), F.col("_keywords_hash"),
         ),
     )
-    no_video = F.lit(None).cast("string")
-    head_rows = joined.select(
-        "channel_id", no_video.alias("video_id"), F.lit("head").alias("section"),
-        F.posexplode(head).alias("_pos", "line"),
-    ).select(
-        "channel_id", "video_id", "section", (F.col("_pos") + 1).alias("rank"),
-        F.lit(None).cast("string").alias("token"), "line",
+    missing = F.concat_ws(
+        ", ",
+        F.when(F.col("_stats_hash").isNull(), "token statistics"),
+        F.when(F.col("_keywords_hash").isNull(), "keywords"),
     )
-    count_line = F.concat(F.lit(" count="), F.col("_item.count").cast("string"))
-    keyword_line = F.concat(
-        F.lit(" score="), three_decimals(F.col("_item.score")),
-        F.lit(" df="), F.col("_item.df").cast("string"),
+    none = F.lit(None).cast("string")
+    lines = F.concat(
+        F.transform(head, lambda line, i: _line("head", none, i + 1, none, line)),
+        _list_lines("top_tokens", "top_tokens", none, _count, top_k),
+        _list_lines("top_keywords", "keywords", none, _score, top_k),
     )
-    parts = [
-        head_rows,
-        _list_rows(joined, no_video, "top_tokens", "top_tokens", count_line, top_k),
-        _list_rows(joined, no_video, "keywords", "top_keywords", keyword_line, top_k),
-    ]
+    absent = F.array(_line("absent", none, F.lit(0), none, F.concat(F.lit("no stored "), missing)))
+    report = joined.select("channel_id", F.inline(F.when(missing == "", lines).otherwise(absent)))
     if distinctive is not None:
-        lift_line = F.concat(
-            F.lit(" lift="), three_decimals(F.col("_item.lift")),
-            F.lit(" video_df="), F.col("_item.video_df").cast("string"),
-            F.lit(" channel_df="), F.col("_item.channel_df").cast("string"),
-        )
         compared = distinctive.select("channel_id", "video_id", "keywords").join(
-            joined.select("channel_id"), "channel_id"
-        )
-        parts.append(
-            _list_rows(compared, F.col("video_id"), "keywords", "distinctive_keywords", lift_line, top_k)
+            runs.select("channel_id"), "channel_id", "left_semi"
         )
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+        section = _list_lines("distinctive_keywords", "keywords", F.col("video_id"), _lift, top_k)
+        report = report.unionByName(compared.select("channel_id", F.inline(section)))
+    return report.select("channel_id", "video_id", "section", "rank", "token", "line")
 
 
-def _list_rows(
-    rows: DataFrame, video: Column, items: str, section: str, tail: Column, top_k: int
-) -> DataFrame:
-    """One line per list entry, or one "(none)" line for an empty list."""
-    shown = F.slice(items, 1, top_k)
-    number = F.format_string("%2d", F.col("_pos") + 1)
-    # A token longer than the column is printed whole.
-    padded = F.when(F.length("_item.token") < 15, F.rpad("_item.token", 15, " ")).otherwise(F.col("_item.token"))
-    line = F.concat(F.lit(" "), number, F.lit(". "), padded, tail)
-    return rows.select(
-        "channel_id", video.alias("video_id"), F.posexplode_outer(shown).alias("_pos", "_item")
-    ).select(
-        "channel_id",
-        "video_id",
-        F.lit(section).alias("section"),
-        F.coalesce(F.col("_pos") + 1, F.lit(0)).alias("rank"),
-        F.col("_item.token").alias("token"),
-        F.coalesce(line, F.lit(" (none)")).alias("line"),
+def _line(section: str, video: Column, rank: Column, token: Column, line: Column) -> Column:
+    return F.struct(
+        F.lit(section).alias("section"), video.alias("video_id"), rank.cast("int").alias("rank"), token.alias("token"), line.alias("line")
+    )
+
+
+def _count(item: Column) -> Column:
+    return F.concat(F.lit(" count="), item["count"].cast("string"))
+
+
+def _score(item: Column) -> Column:
+    return F.concat(F.lit(" score="), three_decimals(item["score"]), F.lit(" df="), item["df"].cast("string"))
+
+
+def _lift(item: Column) -> Column:
+    return F.concat(
+        F.lit(" lift="), three_decimals(item["lift"]),
+        F.lit(" video_df="), item["video_df"].cast("string"),
+        F.lit(" channel_df="), item["channel_df"].cast("string"),
     )
 
 
+def _list_lines(section: str, items: str, video: Column, tail: Callable[[Column], Column], top_k: int) -> Column:
+    """One line per list entry, or one "(none)" line for an empty list."""
+
+    def shown(item: Column, i: Column) -> Column:
+        token = item["token"]
+        # A token longer than the column is printed whole.
+        padded = F.when(F.length(token) < 15, F.rpad(token, 15, " ")).otherwise(token)
+        line = F.concat(F.lit(" "), F.format_string("%2d", i + 1), F.lit(". "), padded, tail(item))
+        return _line(section, video, i + 1, token, line)
+
+    nothing = F.array(_line(section, video, F.lit(0), F.lit(None).cast("string"), F.lit(" (none)")))
+    return F.when(F.size(items) == 0, nothing).otherwise(F.transform(F.slice(items, 1, top_k), shown))
+
+
 def report_order() -> list[Column]:
     """Print order of report rows."""
     section = F.array_position(F.array(*[F.lit(s) for s in SECTIONS]), F.col("section"))

@@ -502,9 +502,15 @@ def lift_guard_query(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def report_query(spark: SparkSession, folder: str) -> DataFrame:
-    rows = documents(spark, folder)
-    by_video = feature_stats(rows, ["channel_id", "video_id"], UNIGRAMS)
-    by_channel = roll_up(by_video, CHANNEL)
+    """The report out of stored tables, as the job makes it. The sources stand for channels that have runs but no results yet."""
+    base, keys = work_folder(spark), ["channel_id", "video_id"]
+
+    def stored(rows: DataFrame, name: str) -> DataFrame:
+        rows.write.parquet(f"{base}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{base}/{name}")
+
+    by_video = stored(feature_stats(documents(spark, folder), keys, UNIGRAMS), "counts")
+    by_channel = stored(roll_up(by_video, CHANNEL), "channel_counts")
     stats = token_stats_from(by_channel, CHANNEL, STATS).select(
         "channel_id",
         F.lit(PREPROCESS_VERSION).alias("preprocess_version"),
@@ -514,7 +520,7 @@ def report_query(spark: SparkSession, folder: str) -> DataFrame:
     summary = keyword_summary(by_channel, CHANNEL, UNIGRAMS).withColumn(
         "config_hash", F.lit(keyword_config_hash(UNIGRAMS))
     )
-    keys = ["channel_id", "video_id"]
+    summary = stored(summary, "summary")
     mine = top_keywords(scored_features(by_video, keys, UNIGRAMS), keys, UNIGRAMS)
     theirs = artifacts.explode_keywords(summary, "channel_id")
     ranked = distinctive_keywords(mine, theirs, UNIGRAMS.top_k)
@@ -524,7 +530,9 @@ def report_query(spark: SparkSession, folder: str) -> DataFrame:
     )
     none = F.lit(None).cast("timestamp")
     # Blank documents stand for the errors of a run.
-    runs = grain_totals(by_video, keys).groupBy("channel_id").agg(
+    sizes = grain_totals(by_video, keys)
+    sources = sizes.withColumn("channel_id", F.substring_index("video_id", "-", -1))
+    runs = sizes.unionByName(sources).groupBy("channel_id").agg(
         F.count("*").alias("video_count"),
         F.sum("row_count").alias("comment_count"),
         F.sum("blank_text_count").alias("error_count"),
@@ -534,7 +542,7 @@ def report_query(spark: SparkSession, folder: str) -> DataFrame:
         F.lit(WINDOW[0]).cast("timestamp").alias("published_after"),
         none.alias("published_before"),
     )
-    return rounded(report.channel_report(runs, stats, summary, lists))
+    return rounded(report.channel_report(stored(runs, "runs"), stats, summary, lists))
 
 
 def stem_query(spark: SparkSession, folder: str) -> DataFrame:
