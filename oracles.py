@@ -6,6 +6,8 @@ package. RE2 has no back-references, so letter runs and letter pairs are written
 
 from __future__ import annotations
 
+import json
+
 from threadlens.wordlists import SENTIMENT_EN, stopwords
 
 # The default settings as the key-sorted compact JSON that the stored hashes are taken of.
@@ -197,12 +199,12 @@ ranked{n} AS (
 
 
 def _keywords(grain: str, docs: str = DOCS, features: str = UNIGRAMS, with_corpus: bool = False,
-              sentiment: str = SENTIMENT) -> str:
+              sentiment: str = SENTIMENT, digits: int = 6) -> str:
     return (
         f"WITH {docs}, {TOKENS}, {features}{_stats(grain)}{CORPUS if with_corpus else ''}"
         f"{_scored(grain, with_corpus)}{_ranked(grain, sentiment=sentiment)}"
-        f" SELECT {grain}, rank, token, round(score, 6) AS score, round(idf, 6) AS idf,"
-        f" round(avg_tf, 6) AS avg_tf, CAST(df AS BIGINT) AS df FROM ranked"
+        f" SELECT {grain}, rank, token, round(score, {digits}) AS score, round(idf, {digits}) AS idf,"
+        f" round(avg_tf, {digits}) AS avg_tf, CAST(df AS BIGINT) AS df FROM ranked"
     )
 
 
@@ -211,9 +213,9 @@ def _counts(grain: str) -> str:
             f" FROM tokens JOIN docs USING (doc_id) GROUP BY {grain}, token")
 
 
-def _token_stats(grain: str, tie: str) -> str:
-    return f"""WITH {DOCS}, {TOKENS},
-c AS (SELECT {grain}, token, count(*) AS n, min(doc_id) AS d, arg_min(place, doc_id * 1000000 + place) AS p
+def _token_stats(grain: str, tie: str, docs: str = DOCS, arrival: str = "doc_id") -> str:
+    return f"""WITH {docs}, {TOKENS},
+c AS (SELECT {grain}, token, count(*) AS n, min({arrival}) AS d, arg_min(place, {arrival} * 1000000 + place) AS p
       FROM tokens JOIN docs USING (doc_id) GROUP BY {grain}, token),
 r AS (SELECT *, row_number() OVER (PARTITION BY {grain} ORDER BY n DESC, {tie}) AS rank FROM c),
 top AS (SELECT {grain}, string_agg(token || ':' || n, ' ' ORDER BY rank) AS top_tokens
@@ -260,9 +262,9 @@ def _threshold_rows() -> str:
     return f"WITH {DOCS}, {TOKENS}, {UNIGRAMS}{_stats('video_id')} " + " UNION ALL ".join(rows)
 
 
-def _lifted(with_corpus: bool) -> str:
+def _lifted(with_corpus: bool, docs: str = DOCS) -> str:
     pair = "channel_id, video_id"
-    return f"""WITH {DOCS}, {TOKENS}, {UNIGRAMS}{CORPUS if with_corpus else ''}
+    return f"""WITH {docs}, {TOKENS}, {UNIGRAMS}{CORPUS if with_corpus else ''}
 {_stats(pair, '_v')}{_stats('channel_id', '_c')}
 {_scored(pair, with_corpus, '_v')}{_scored('channel_id', with_corpus, '_c')}
 {_ranked(pair, '_v')}{_ranked('channel_id', '_c')},
@@ -277,8 +279,8 @@ distinctive AS (
   FROM lifted QUALIFY rank <= 30)"""
 
 
-def _distinctive(with_corpus: bool) -> str:
-    return _lifted(with_corpus) + """
+def _distinctive(with_corpus: bool, docs: str = DOCS) -> str:
+    return _lifted(with_corpus, docs) + """
 SELECT channel_id, video_id, rank, token, round(video_score, 6) AS video_score,
        round(channel_score, 6) AS channel_score,
        CASE WHEN isinf(lift) THEN lift ELSE round(lift, 6) END AS lift,
@@ -286,20 +288,22 @@ SELECT channel_id, video_id, rank, token, round(video_score, 6) AS video_score,
 FROM distinctive"""
 
 
-REPORT = _lifted(False) + f""",
+def _report(docs: str, errors: str, after: str, stats_hash: str, keyword_hash: str) -> str:
+    """Report lines of all channels without their distinctive keywords, which ``distinctive`` holds."""
+    return _lifted(False, docs) + f""",
 top_tokens AS (
   SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY n DESC, token) AS rank
   FROM (SELECT channel_id, token, count(*) AS n FROM tokens JOIN docs USING (doc_id) GROUP BY channel_id, token)
   QUALIFY rank <= 30),
 runs AS (
   SELECT channel_id, count(DISTINCT video_id) AS videos, count(*) AS comments,
-         count(*) FILTER (WHERE text_clean IS NULL OR text_clean = '') AS errors FROM docs GROUP BY channel_id),
+         {errors} AS errors FROM docs GROUP BY channel_id),
 head AS (
   SELECT channel_id, unnest([
     'channel_id: ' || channel_id,
     'latest_run: videos=' || videos || ' | comments=' || comments || ' | errors=' || errors,
-    'run_window: after=2024-01-05 00:00 UTC | before=N/A',
-    'artifacts: preprocess_version=v1 | stats_config=' || {STATS_HASH} || ' | tfidf_config=' || {KEYWORD_HASH}
+    'run_window: after={after} | before=N/A',
+    'artifacts: preprocess_version=v1 | stats_config=' || {stats_hash} || ' | tfidf_config=' || {keyword_hash}
   ]) AS line, unnest([1, 2, 3, 4]) AS rank
   FROM runs)
 SELECT channel_id, NULL::VARCHAR AS video_id, 'head' AS section, CAST(rank AS BIGINT) AS rank,
@@ -312,7 +316,10 @@ UNION ALL
 SELECT channel_id, NULL, 'top_keywords', rank, token, ' ' || lpad(rank::VARCHAR, 2, ' ') || '. '
        || CASE WHEN length(token) < 15 THEN rpad(token, 15, ' ') ELSE token END
        || ' score=' || printf('%.3f', score) || ' df=' || df
-FROM ranked_c
+FROM ranked_c"""
+
+
+REPORT = _report(DOCS, "count(*) FILTER (WHERE text_clean IS NULL OR text_clean = '')", "2024-01-05 00:00 UTC", STATS_HASH, KEYWORD_HASH) + """
 UNION ALL
 SELECT channel_id, video_id, 'distinctive_keywords', rank, token, ' ' || lpad(rank::VARCHAR, 2, ' ') || '. '
        || CASE WHEN length(token) < 15 THEN rpad(token, 15, ' ') ELSE token END
@@ -381,6 +388,11 @@ FROM ranked JOIN sizes USING (video_id)"""
 
 NGRAM_RULE = "token NOT LIKE '% %' OR df >= 2"
 
+JOB_DOCS = CONVERSATIONS.replace("role AS channel_id", "'c' || (conv_id % 10) AS channel_id")
+# Jobs stamp the hash of the stopword list into their settings.
+STOPWORDS_HASH = "left(sha256('" + json.dumps(stopwords("en"), separators=(",", ":")).replace("'", "''") + "'), 16)"
+STAMPED = [f"left(sha256(replace('{x}', 'dummy', {STOPWORDS_HASH})), 16)" for x in (STATS_JSON, KEYWORD_JSON)]
+
 ORACLES: dict[str, str] = {
     "clean_text": f"SELECT doc_id, {_clean('text')} AS text_clean FROM documents",
     "clean_comments": CLEAN_ROWS.replace("'v1' AS preprocess_version", "'v1' AS preprocess_version, text AS text_raw"),
@@ -493,5 +505,24 @@ SELECT video_id, NULL, count(DISTINCT d.doc_id), count(DISTINCT t.doc_id), 0 FRO
     "stream_df_upsert": f"WITH {CONVERSATIONS}, {TOKENS}, {BIGRAMS}{CORPUS} SELECT token, df_videos FROM corpus",
     "stream_run_log": """SELECT 'c' || user_id AS channel_id, ts AS finished_at_utc, CAST(floor(value) AS BIGINT) AS comment_count
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""",
+    "job_ingest_pages": f"""WITH {PAGES} SELECT video_id, comment_id, text, like_count FROM flat
+QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY page_no, item_no) <= 3""",
+    "job_preprocess": f"""SELECT CAST(conv_id AS VARCHAR) AS video_id, conv_id || '-' || turn AS comment_id, role AS author,
+       {_clean('text')} AS text_clean, 'v1' AS preprocess_version FROM conversations""",
+    "job_video_stats": _token_stats("video_id", "d, p", JOB_DOCS, "turn"),
+    "job_video_keywords": _keywords("video_id", JOB_DOCS, digits=9),
+    "job_corpus": f"WITH {JOB_DOCS}, {TOKENS}, {UNIGRAMS}{CORPUS} SELECT token, df_videos, n_videos AS video_count FROM corpus, corpus_size",
+    "job_ingest_channels": """SELECT 'c' || (conv_id % 10) AS channel_id, count(DISTINCT conv_id) AS listed, count(DISTINCT conv_id) AS video_count,
+       count(*) AS comment_count, 0::BIGINT AS error_count FROM conversations GROUP BY 1""",
+    "job_preprocess_channels": """WITH v AS (SELECT DISTINCT conv_id, 'c' || (conv_id % 10) AS channel_id FROM conversations)
+SELECT channel_id, count(*) AS video_count, count(*) FILTER (WHERE conv_id % 7 <> 3) AS processed_count,
+       count(*) FILTER (WHERE conv_id % 7 = 3) AS error_count, CAST(bool_or(conv_id % 7 = 3) AS BIGINT) AS exit_code FROM v GROUP BY channel_id
+UNION ALL SELECT NULL, 0, 0, count(*), 1 FROM v WHERE conv_id % 10 = 1""",
+    "job_channel_stats": _token_stats("channel_id", "token", JOB_DOCS, "turn"),
+    "job_channel_keywords": _keywords("channel_id", JOB_DOCS, digits=9),
+    "job_distinctive": _distinctive(False, JOB_DOCS),
+    "job_report": _report(JOB_DOCS, "0", "N/A", *STAMPED),
     "stream_corpus_df": f"WITH {DOCS}, {TOKENS}, {UNIGRAMS}{CORPUS} SELECT token, df_videos FROM corpus",
 }
+
+ORACLES["job_list_videos"] = ORACLES["discover_videos"]

@@ -332,8 +332,9 @@ def test_unreadable_records_fail_their_video(spark, tmp_path):
     assert (done.video_count, done.error_count, done.exit_code) == (2, 1, 1)
     assert {r.video_id for r in store.read_clean_comments(spark, jobs.clean_path(root)).collect()} == {"v2"}
     broken.with_name("part-garbage.json").write_text("garbage\n")
-    with pytest.raises(ValueError, match="name no video"):
-        jobs.preprocess_channels(spark, root)
+    done = {r.channel_id: (r.video_count, r.error_count, r.exit_code) for r in jobs.preprocess_channels(spark, root).collect()}
+    assert done == {CHANNEL: (2, 1, 1), None: (0, 1, 1)}
+    assert {r.line for r in spark.read.parquet(jobs.rejected_path(root)).collect()} == {"garbage", '{"video_id":"v1","comment_id":"cut o'}
 
 
 def test_equal_times_have_one_latest_run(spark):

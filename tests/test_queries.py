@@ -10,6 +10,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from oracles import _stems
 from threadlens.functions.stem import IRREGULAR, KEPT_AFTER_PLURAL, stem_word
 from oracle_check import compare, duck
+from threadlens.plans.job_queries import JOB_QUERIES
 from threadlens.plans.table_queries import QUERIES, UNIGRAMS, VIDEO, documents
 from threadlens.operators.keywords import tfidf_keywords
 
@@ -21,7 +22,7 @@ def connection():
     return duck(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted({**QUERIES, **JOB_QUERIES}))
 def test_query(spark, connection, name):
     sql = oracle_sql().get(name)
     if sql is None:
@@ -31,7 +32,7 @@ def test_query(spark, connection, name):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) <= set(oracle_sql())
+    assert {*QUERIES, *JOB_QUERIES} <= set(oracle_sql())
 
 
 def test_stems_in_sql_equal_the_package(connection):

@@ -4,6 +4,7 @@
     <root>/bronze   raw comments, JSON lines
     <root>/silver   clean comments, Parquet
     <root>/gold     results
+    <root>/rejected unreadable raw records of the last channel run
 """
 
 from __future__ import annotations
@@ -70,6 +71,10 @@ def clean_path(root: str) -> str:
     return f"{root}/silver"
 
 
+def rejected_path(root: str) -> str:
+    return f"{root}/rejected"
+
+
 def _with_arrival(comments: DataFrame) -> DataFrame:
     """Arrival number of a comment: page first, then place on the page. API pages hold at most
     100 items, so six digits are ample."""
@@ -250,22 +255,32 @@ def preprocess_channels(
     left out and counted; the result has one row per channel with its exit code.
 
     The id of an unreadable record is taken from its text if the line is no JSON. A record without
-    any id may belong to any video, so it stops the job."""
+    any id may belong to any video: it fails no video, but a row without a channel counts such records and has
+    exit code 1. All unreadable records of the run are set aside under ``rejected`` with file and reason."""
     runs = read_latest_runs(spark, root, resolve_channels(spark, root, refs))
     members = channel_members(runs)
     good, bad = read_raw_comments_leniently(spark, raw_path(root))
     by_text = F.nullif(F.regexp_extract("line", r'"video_id"\s*:\s*"([^"]+)"', 1), F.lit(""))
-    broken = bad.select("origin", F.coalesce(F.get_json_object("line", "$.video_id"), by_text).alias("video_id"))
-    if nameless := broken.where("video_id is null").select("origin").distinct().limit(10).collect():
-        raise ValueError(f"unreadable records that name no video, in {[row[0] for row in nameless]}")
-    broken = broken.select("video_id").distinct()
+    bad = bad.withColumn("video_id", F.coalesce(F.get_json_object("line", "$.video_id"), by_text))
+    bad.write.mode("overwrite").parquet(rejected_path(root))
+    # Rejected records are few; from here on they are read from their own table.
+    bad = spark.read.schema("origin STRING, line STRING, reason STRING, video_id STRING").parquet(rejected_path(root))
+    broken = bad.where("video_id is not null").select("video_id").distinct()
     failed = broken.join(members.select("video_id").distinct(), "video_id", "left_semi")
     wanted = good.join(members.select("video_id").distinct(), "video_id", "left_semi").join(
         failed, "video_id", "left_anti"
     )
     write_clean_comments(clean_comments(wanted), clean_path(root), "overwrite" if overwrite else "refuse")
     status = members.join(failed.withColumn("error", F.lit("unreadable record")), "video_id", "left")
-    return preprocess_totals(status.withColumn("comment_count", F.lit(0)))
+    totals = preprocess_totals(status.withColumn("comment_count", F.lit(0)))
+    nothing = F.lit(0).cast("bigint")
+    nameless = bad.where("video_id is null").groupBy().agg(F.count("*").alias("error_count")).where("error_count > 0")
+    return totals.unionByName(
+        nameless.select(
+            F.lit(None).cast("string").alias("channel_id"), nothing.alias("video_count"), nothing.alias("processed_count"),
+            "error_count", F.lit(1).cast("bigint").alias("exit_code"),
+        )
+    )
 
 
 def stats_by_channel(

@@ -239,13 +239,13 @@ def work_folder(spark: SparkSession) -> str:
 # --- shapes for comparison -------------------------------------------------------------
 
 
-def rounded(rows: DataFrame) -> DataFrame:
-    """Floating results at six decimals, ranks as BIGINT."""
+def rounded(rows: DataFrame, digits: int = 6) -> DataFrame:
+    """Floating results at six decimals or as many as asked for, ranks as BIGINT."""
     shaped = []
     for name, kind in rows.dtypes:
         column = F.col(name)
         if kind == "double":
-            column = F.round(column, 6)
+            column = F.round(column, digits)
         elif kind == "int":
             column = column.cast("bigint")
         shaped.append(column.alias(name))
