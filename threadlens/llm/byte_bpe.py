@@ -34,25 +34,40 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class RankQueue:
     """Positions by merge rank; the lowest rank first, and the leftmost position of a rank first.
 
-    ``top`` has a bit per group of 4,096 ranks, ``middle`` per block of 64, ``low`` per rank.
+    ``top`` has a bit per group of 4,096 ranks, ``middle`` per block of 64, ``low`` per rank. An emptied queue is all zeros
+    again, so one queue serves all pieces of a worker.
     """
 
     __slots__ = ("buckets", "low", "middle", "top")
 
-    def __init__(self) -> None:
+    def __init__(self, ranks: int = 1 << 18) -> None:
         self.buckets: dict[int, list[int]] = {}
-        self.top, self.middle, self.low = 0, {}, {}
+        self.top, self.middle, self.low = 0, [0] * ((ranks >> 12) + 1), [0] * ((ranks >> 6) + 1)
 
     def add(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
+        if rank in self.buckets:
+            heappush(self.buckets[rank], position)
             return
         self.buckets[rank] = [position]
-        block, group = rank >> 6, rank >> 12
-        self.low[block] = self.low.get(block, 0) | 1 << (rank & 63)
-        self.middle[group] = self.middle.get(group, 0) | 1 << (block & 63)
-        self.top |= 1 << group
+        block = rank >> 6
+        if not self.low[block]:
+            self.middle[rank >> 12] |= BITS[block & 63]
+            self.top |= 1 << (rank >> 12)
+        self.low[block] |= BITS[rank & 63]
+
+    def fill(self, ranks: list[int]) -> None:
+        """Adds every position with the rank that ``ranks`` has for it (negative: none)."""
+        buckets, low, middle, top = self.buckets, self.low, self.middle, self.top
+        for position, rank in enumerate(ranks):
+            if rank >= 0:
+                if rank in buckets:
+                    buckets[rank].append(position)  # positions only grow here, so the list stays a heap
+                else:
+                    buckets[rank] = [position]
+                    low[rank >> 6] |= BITS[rank & 63]
+                    middle[rank >> 12] |= BITS[rank >> 6 & 63]
+                    top |= 1 << (rank >> 12)
+        self.top = top
 
     def take_rank(self) -> tuple[int, list[int]] | None:
         """The lowest rank with its whole bucket (a heap of positions), which leaves the queue."""
@@ -74,8 +89,11 @@ class RankQueue:
         return rank, self.buckets.pop(rank)
 
 
-def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Token ids of one pre-token.
+BITS = [1 << i for i in range(64)]
+
+
+def encode_piece(piece: bytes, ranks: dict[bytes, int], queue: RankQueue | None = None) -> list[int]:
+    """Token ids of one pre-token. ``queue`` is an empty queue, which is empty again in the end.
 
     A merge of rank r makes a token that is new to the list, so the pairs it forms have a rank
     other than r; those of lower rank are merged first, before the rest of bucket r, which goes back
@@ -86,18 +104,17 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     if whole is not None:
         return [whole]
     n = len(piece)
+    pair_rank = [rank_of(piece[at : at + 2], -1) for at in range(n - 1)]
+    pair_rank.append(-1)
+    if queue is None:
+        queue = RankQueue(max(ranks.values(), default=0) + 1)
+    add, take = queue.add, queue.take_rank
     after, before = [*range(1, n + 1), n], [*range(-1, n)]
-    pair_rank = [rank_of(piece[at : at + 2], -1) for at in range(n)]
-    pair_rank[n - 1] = -1
-    queue = RankQueue()
-    add = queue.add
-    for at, rank in enumerate(pair_rank):
-        if rank >= 0:
-            add(rank, at)
-    while (entry := queue.take_rank()) is not None:
+    queue.fill(pair_rank)
+    while (entry := take()) is not None:
         rank, bucket = entry
         while bucket:
-            at = heappop(bucket)
+            at = heappop(bucket) if len(bucket) > 1 else bucket.pop()
             if pair_rank[at] != rank:
                 continue
             gone = after[at]
@@ -125,8 +142,9 @@ def encode_piece(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
                 break
     out, at = [], 0
     while at < n:
-        out.append(ranks[piece[at : after[at]]])
-        at = after[at]
+        end = after[at]
+        out.append(ranks[piece[at:end]])
+        at = end
     return out
 
 
@@ -135,16 +153,21 @@ class Codec:
         self.ranks, self.split = ranks, regex.compile(pattern)
         self.tokens = {rank: piece for piece, rank in ranks.items()}
         self.known: dict[str, tuple[list[int], str]] = {}
+        self.older: dict[str, tuple[list[int], str]] = {}
+        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
 
     def piece(self, word: str) -> tuple[list[int], str]:
         """Ids of a pre-token, and the same as text."""
         found = self.known.get(word)
         if found is None:
-            ids = encode_piece(word.encode(), self.ranks)
-            found = ids, ",".join(map(str, ids))
+            found = self.older.get(word)
+            if found is None:
+                ids = encode_piece(word.encode(), self.ranks, self.queue)
+                found = ids, ",".join(map(str, ids))
             if len(word) <= CACHED_CHARS:
-                if len(self.known) >= CACHED_PIECES:
-                    self.known.clear()
+                # two generations: what is in use moves on, the rest goes with the older one
+                if len(self.known) >= CACHED_PIECES // 2:
+                    self.older, self.known = self.known, {}
                 self.known[word] = found
         return found
 
