@@ -64,8 +64,9 @@ def recall(found, table, top=20):
     return hits / total
 
 
-@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
-def test_recall_of_the_query(spark, folder):
+@pytest.mark.parametrize("folder, sample", [("sf0.01", 4096), ("sf0.1", 4096), ("sf0.1", 64)])
+def test_recall_of_the_query(spark, monkeypatch, folder, sample):
+    monkeypatch.setattr(vector_search, "SAMPLE_ROWS", sample)  # a sample of all rows would find everything
     found = LLM_QUERIES["op12_nearest_neighbours"](spark, f"/root/testdata/{folder}")
     assert found.columns == ["query_id", "rank", "vec_id", "score"]
     assert recall(found, spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet")) >= 0.9
