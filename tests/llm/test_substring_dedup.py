@@ -42,3 +42,12 @@ def test_against_brute_force(spark):
 def test_no_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert remove_repeats(empty).collect() == []
+
+
+def test_rows_that_share_a_bit_of_the_filter(spark, monkeypatch):
+    from threadlens.llm import substring_dedup
+
+    monkeypatch.setattr(substring_dedup, "ROW_BITS", 1 << 15)
+    rows = [(i, " ".join(f"{i if i % 3 else 'same'}w{j}" for j in range(40))) for i in range(-300, 3000)]
+    got = [(r.doc_id, r.n_words, r.n_removed, r.kept) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(got) == sorted(brute(rows, 35))

@@ -12,7 +12,7 @@ is no heavy key; windows that repeat inside a slice are settled there.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,8 @@ from threadlens.llm.words import Words, slices
 U = np.uint64
 #: Bytes of a probe's hash beyond its bucket.
 PROBE_BYTES = 5
+#: Bits of the filter of rows (8 MB), whatever the number of documents.
+ROW_BITS = 1 << 26
 _LOW = U((1 << 8 * PROBE_BYTES) - 1)
 
 
@@ -39,6 +41,37 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
+class RowFilter:
+    """Which rows may be among ``found(u)``: a bit for each u, modulo ``size``. Rows that share a bit only do needless work.
+
+    Spark packs 32,768 neighbouring bits into one row, so the driver takes at most ``size`` / 8 bytes, however many rows are found.
+    """
+
+    def __init__(self, found: DataFrame):
+        self.size = ROW_BITS
+        bit = F.pmod(F.col("u"), F.lit(self.size)) + 1  # pages and their bits count from 1 and 0
+        page, place = F.bitmap_bucket_number("bit").alias("page"), F.bitmap_bit_position("bit")
+        pages = found.select(bit.alias("bit")).groupBy(page).agg(F.bitmap_construct_agg(place).alias("bits"))
+        bits = np.zeros((self.size >> 15, 4096), np.uint8)
+        for number, packed in pages.collect():
+            bits[number - 1] = np.frombuffer(packed, np.uint8)
+        self.shipped = found.sparkSession.sparkContext.broadcast(bits.ravel())
+
+    def holds(self, batch: pa.RecordBatch) -> np.ndarray:
+        """Whether each row of the batch may be among them."""
+        at = batch.column("u").to_numpy() % self.size
+        return (self.shipped.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+    def keep(self, rows: DataFrame) -> DataFrame:
+        """The rows that may be among them."""
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(self.holds(batch)))
+
+        return rows.mapInArrow(choose, rows.schema)
+
+
 def _cuts(buckets: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(buckets, np.arange(n + 1))
 
@@ -100,7 +133,7 @@ def anchors(rows: DataFrame, block: int, buckets: int) -> DataFrame:
 def repeated_windows(rows: DataFrame, hits: DataFrame, window: int, block: int, buckets: int) -> DataFrame:
     """(u, starts): per document the first words of the windows whose sequence starts elsewhere too."""
     per_doc = hits.groupBy("u").agg(F.collect_set("block").alias("blocks"))
-    wanted = rows.select("u", "text").join(per_doc.hint("shuffle_hash"), "u")
+    wanted = RowFilter(hits).keep(rows.select("u", "text")).join(per_doc.hint("shuffle_hash"), "u")
     parts = buckets
     place_type = [("u", "<i8"), ("n", "<i4")]
     schema = T.StructType().add("bucket", "integer").add("keys", "binary").add("places", "binary")
@@ -202,10 +235,12 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     rows = keyed(docs)
     hits = stored(anchors(rows, block, buckets), "anchors")
     starts = stored(repeated_windows(rows, hits, window, block, buckets), "repeats")
-    joined = rows.join(starts.hint("shuffle_hash"), "u", "left").select("doc_id", "text", "starts")
+    # Only rows that may hold a repeat are shuffled with their texts; the others are finished where they are read.
+    touched = RowFilter(starts)
+    joined = touched.keep(rows).join(starts.hint("shuffle_hash"), "u", "left").select("doc_id", "text", "starts")
     schema = T.StructType([docs.schema["doc_id"]]).add("n_words", "long").add("n_removed", "long").add("kept", "string").add("spans", "string")
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole):
                 out = []
@@ -229,4 +264,10 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
                     [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()), pa.array(spans, pa.string())],
                     names=schema.names)
 
-    return joined.mapInArrow(cut, schema)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left = batch.filter(pa.array(~touched.holds(batch)))
+            nothing = pa.nulls(len(left), pa.list_(pa.int32()))
+            yield from cut([pa.RecordBatch.from_arrays([left.column("doc_id"), left.column("text"), nothing], names=["doc_id", "text", "starts"])])
+
+    return joined.mapInArrow(cut, schema).union(rows.mapInArrow(whole, schema))
