@@ -148,7 +148,7 @@ def test_preferences(spark):
 def test_toxicity_on_held_out_rows(spark):
     random.seed(2)
     rows = [(i, " ".join(random.choice(["the", "sky", "is", "blue", "tree"]) for _ in range(30)) + (" you vilest" + random.choice("abc") if i % 5 == 0 else "")) for i in range(1000)]
-    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows] + [(0, None), (None, 1)], "doc_id long, toxic int")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows] + [(0, None), (None, 1), (1, 2), (2, -1)], "doc_id long, toxic int")
     got = [r for r in toxicity.score_toxicity(frame(spark, [*rows, (2000, None), (None, "")]), labels).collect()]
     own = [r for r in got if r.held_out and r.doc_id < 1000]
     assert len(got) == 1002 and len(own) > 100 and all(0 <= r.score <= 1 for r in got)
@@ -157,6 +157,29 @@ def test_toxicity_on_held_out_rows(spark):
     assert [r.score for r in none] == [0.0] * 3
 
 
+def test_toxicity_features_by_plain_counting():
+    weights = {"fool": 5.0, "^foo": 2.0, "^fool": 3.0, "idiot": 4.0}
+    texts = [None, "", "You FOOL! f00l, fo*ol; ÄÖ übung É", "idiot " * 3 + "a b c d e f you", "x" * 1000 + " Fools", "1234 !!! ¿¡ 中文 you're an 1d10t"]
+    known = toxicity.Known(weights)
+    for text in texts * 2:
+        raw = text or ""
+        words = toxicity.tokens(raw)
+        own = [weights.get(w, 0.0) for w in words]
+        begin = [max(weights.get("^" + w[:k], 0.0) for k in toxicity.BEGINNINGS) for w in words]
+        second = [i for i, w in enumerate(words) if w in toxicity.SECOND]
+        near = sum(any(abs(i - j) <= 3 for j in second) for i in range(len(words)) if own[i] or begin[i])
+        n, size = max(1, len(words)), max(1, len(raw))
+        want = [sum(x > 0 for x in own) / n, sum(x > 0 for x in own), sum(own), sum(x > 0 for x in begin) / n, sum(x > 0 for x in begin), sum(begin),
+                len(second) / n, near / n, sum(c.isupper() for c in raw) / size, sum(not c.isalnum() and not c.isspace() for c in raw) / size,
+                raw.count("!") / n, sum(not w.isalpha() for w in toxicity.WORD.findall(raw.lower())) / n, max(own, default=0.0), max(begin, default=0.0)]
+        assert toxicity.measure(text, known) == want
+
+
+def test_toxicity_without_documents(spark):
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    assert toxicity.score_toxicity(frame(spark, []), labels).collect() == []
+
+
 def test_toxicity_lexicon_counts_all_training_rows(spark, monkeypatch):
     """Terms are counted beyond ``max_rows``, and labels without a document do not use up the bound."""
     random.seed(4)

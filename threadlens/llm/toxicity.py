@@ -29,16 +29,22 @@ from threadlens.llm.words import slices
 MAX_ROWS = 20_000
 #: Training labels are broadcast to the texts up to so many; beyond, labels and texts are shuffled.
 BROADCAST_ROWS = 1_000_000
+#: Terms of the lexicon, the strongest of those that pass its conditions.
 LEXICON = 5_000
 BEGINNINGS = (4, 5, 6)
 WORD = re.compile(r"[^\W\d_]+(?:[*@$0-9!._-]+[^\W\d_]+)*")
 FILLER = re.compile(r"[*._-]")
+PLAIN = re.compile(r"[\x00-\x7f]+")
+CAPITALS = bytes(c for c in range(128) if chr(c).isupper())
+NO_SIGNS = bytes(c for c in range(128) if chr(c).isalnum() or chr(c).isspace())
+#: Distinct words that a task remembers at a time.
+KNOWN_WORDS = 500_000
 LEET = str.maketrans("@$0134567!", "asoleasgti")
 #: Words of the second person in the languages of the corpus.
 SECOND = frozenset("you your yours u ur du dich dir dein deine ihr euch sie tu te toi ton ta tes vous votre vos tú ti tus usted ustedes vosotros".split())
 FEATURES = (
     "word_density", "word_hits", "word_weight", "begin_density", "begin_hits", "begin_weight",
-    "second_density", "second_near", "capitals", "punctuation", "exclaims", "obfuscated",
+    "second_density", "second_near", "capitals", "punctuation", "exclaims", "obfuscated", "word_peak", "begin_peak",
 )
 
 
@@ -47,8 +53,8 @@ def tokens(text: str) -> list[str]:
     return [w if w.isalpha() else FILLER.sub("", w.translate(LEET)) for w in WORD.findall(text.lower())]
 
 
-def lexicon(labelled: DataFrame) -> dict[str, float]:
-    """Weight (log odds) of the LEXICON strongest toxic words, and word beginnings marked by ``^``.
+def lexicon(labelled: DataFrame, terms: int = LEXICON) -> dict[str, float]:
+    """Weight (log odds times the root of its toxic texts) of the ``terms`` strongest toxic words, and word beginnings marked by ``^``.
 
     Counts are of texts, over all rows of ``labelled(text, toxic)``; tasks add up their own first.
     """
@@ -62,9 +68,9 @@ def lexicon(labelled: DataFrame) -> dict[str, float]:
                     words = set(tokens(text or ""))
                     sums[toxic].update(words)
                     sums[toxic].update({"^" + w[:n] for w in words for n in BEGINNINGS if len(w) >= n})
-                terms = list(sums[0].keys() | sums[1].keys())
+                found = list(sums[0].keys() | sums[1].keys())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(terms, pa.string()), pa.array([sums[1][t] for t in terms], pa.int64()), pa.array([sums[0][t] for t in terms], pa.int64())],
+                    [pa.array(found, pa.string()), pa.array([sums[1][t] for t in found], pa.int64()), pa.array([sums[0][t] for t in found], pa.int64())],
                     names=schema.names)
 
     totals = labelled.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).first()
@@ -74,31 +80,53 @@ def lexicon(labelled: DataFrame) -> dict[str, float]:
     counts = labelled.select("text", "toxic").mapInArrow(count, schema).groupBy("term").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"))
     odds = F.log((F.col("b") + 0.1) / (bad + 0.2)) - F.log((F.col("g") + 0.5) / (good + 1.0))
     strong = counts.where("b >= 2").withColumn("w", odds).where("w > 1.5")
-    # evidence: strength times the root of support, so that common strong terms come first
-    top = strong.orderBy(F.desc(F.col("w") * F.sqrt("b")), "term").limit(LEXICON).collect()
-    return {r["term"]: r["w"] for r in top}
+    # evidence: strength times the root of support, so that chance words of two or three texts weigh little
+    top = strong.withColumn("e", F.col("w") * F.sqrt("b")).orderBy(F.desc("e"), "term").limit(terms).collect()
+    return {r["term"]: r["e"] for r in top}
 
 
-def measure(text: str | None, weights: dict[str, float]) -> list[float]:
-    """FEATURES of one text."""
+class Known(dict):
+    """What a task knows of a found word: None, or (weight, weight of its beginning, second person, obfuscated)."""
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, found: str) -> tuple[float, float, bool, bool] | None:
+        plain = found.isalpha()
+        word = found if plain else FILLER.sub("", found.translate(LEET))
+        own = self.weights.get(word, 0.0)
+        begin = max((self.weights.get("^" + word[:k], 0.0) for k in BEGINNINGS if len(word) >= k), default=0.0)
+        second = word in SECOND
+        value = (own, begin, second, not plain) if own > 0 or begin > 0 or second or not plain else None
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[found] = value
+        return value
+
+
+def measure(text: str | None, known: Known) -> list[float]:
+    """FEATURES of one text. Plain characters are counted by byte tables, others one by one."""
     text = text or ""
-    words = tokens(text)
-    n = max(1, len(words))
-    own = [weights.get(w, 0.0) for w in words]
-    begin = [max((weights.get("^" + w[:k], 0.0) for k in BEGINNINGS if len(w) >= k), default=0.0) for w in words]
-    second = [i for i, w in enumerate(words) if w in SECOND]
-    hits = [i for i, (a, b) in enumerate(zip(own, begin)) if a > 0 or b > 0]
+    found = WORD.findall(text.lower())
+    n = max(1, len(found))
+    told = [(i, x) for i, x in enumerate(map(known.__getitem__, found)) if x is not None]
+    second = [i for i, x in told if x[2]]
+    hits = [i for i, x in told if x[0] > 0 or x[1] > 0]
     near = 0
     if second and hits:
         at = np.searchsorted(second, hits)
         places = np.array([-(10**9), *second, 10**9])
         near = int((np.minimum(np.array(hits) - places[at], places[at + 1] - np.array(hits)) <= 3).sum())
+    plain, rest = text.encode("ascii", "ignore"), PLAIN.sub("", text)
+    capitals = len(plain) - len(plain.translate(None, CAPITALS)) + sum(map(str.isupper, rest))
+    signs = len(plain.translate(None, NO_SIGNS)) + sum(not c.isalnum() and not c.isspace() for c in rest)
     size = max(1, len(text))
+    own, begin = [x[0] for _, x in told if x[0] > 0], [x[1] for _, x in told if x[1] > 0]
     return [
-        sum(x > 0 for x in own) / n, float(sum(x > 0 for x in own)), sum(own),
-        sum(x > 0 for x in begin) / n, float(sum(x > 0 for x in begin)), sum(begin),
-        len(second) / n, near / n, sum(map(str.isupper, text)) / size,
-        sum(not c.isalnum() and not c.isspace() for c in text) / size, text.count("!") / n, sum(not w.isalpha() for w in WORD.findall(text)) / n,
+        len(own) / n, float(len(own)), sum(own), len(begin) / n, float(len(begin)), sum(begin),
+        len(second) / n, near / n, capitals / size, signs / size, text.count("!") / n, sum(x[3] for _, x in told) / n,
+        max(own, default=0.0), max(begin, default=0.0),
     ]
 
 
@@ -111,23 +139,34 @@ def featured(docs: DataFrame, weights: dict[str, float]) -> DataFrame:
     shipped = docs.sparkSession.sparkContext.broadcast(weights)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Known(shipped.value)
         for whole in batches:
             for batch in slices(whole):
-                rows = np.array([measure(x, shipped.value) for x in batch.column("text").to_pylist()])
+                rows = np.array([measure(x, known) for x in batch.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], *[pa.array(rows[:, i]) for i in range(len(FEATURES))]], names=schema.names)
 
     return docs.select(*rest, "text").mapInArrow(read, schema)
 
 
+def centred(bounds: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centred isotonic curve: each flat stretch holds its value in its middle and is linear between middles, so scores keep their order."""
+    if not len(bounds):
+        return bounds, values
+    level, block = np.unique(values, return_inverse=True)
+    middle = np.bincount(block, weights=bounds) / np.bincount(block)
+    return np.concatenate([bounds[:1], middle, bounds[-1:]]), np.concatenate([level[:1], level, level[-1:]])
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs(doc_id, text)``.
 
     Labels are learned from rows of ``labels(doc_id, toxic)`` with crc32(doc_id) % 5 != 0 only. Null texts score as
-    empty ones; null labels are ignored and a document labelled both ways counts as toxic; without toxic or
+    empty ones; labels other than 0 and 1 are ignored and a document labelled both ways counts as toxic; without toxic or
     without clean training rows every score is 0. Repeated rows get equal scores; other columns are ignored.
+    The score is the value of the centred isotonic curve.
     """
     held = F.crc32(F.col("doc_id").cast("string")) % 5
-    marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
+    marks = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     rows = docs.select("doc_id", "text")
     own = marks.where(held != 0)
     train = rows.join(F.broadcast(own) if own.count() <= BROADCAST_ROWS else own, "doc_id")
@@ -145,16 +184,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     model = GBTClassifier(maxIter=15, maxDepth=3, seed=1, cacheNodeIds=False).fit(fitted)
     fitted.unpersist()
     raw = lambda frame: model.transform(assembled.transform(frame)).withColumn("p", vector_to_array("probability")[1])
-    checked = raw(sample.where(fold == 0)).select(F.col("toxic").cast("double").alias("label"), F.col("p").alias("features"))
-    curve = IsotonicRegression(featuresCol="features", labelCol="label").fit(checked.select("label", F.array("features").alias("x")).select("label", F.col("x")[0].alias("features")))
-    bounds, values = curve.boundaries.toArray(), curve.predictions.toArray()
+    checked = raw(sample.where(fold == 0)).select(F.col("toxic").cast("double").alias("label"), F.col("p").alias("x"))
+    # one weighted row per value of the trees: clean texts share a few
+    steps = checked.groupBy("x").agg(F.avg("label").alias("label"), F.count("*").cast("double").alias("weight"))
+    curve = IsotonicRegression(featuresCol="x", labelCol="label", weightCol="weight").fit(steps)
+    bounds, values = centred(curve.boundaries.toArray(), curve.predictions.toArray())
 
     def calibrate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # a little of the raw score keeps the order inside flat stretches of the curve
             p = batch.column("p").to_numpy()
-            level = np.interp(p, bounds, values) if len(bounds) else p
-            score = np.clip(0.98 * level + 0.02 * p, 0, 1)
+            score = np.interp(p, bounds, values) if len(bounds) else p
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
