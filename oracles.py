@@ -511,6 +511,8 @@ QUALIFY row_number() OVER (PARTITION BY video_id ORDER BY page_no, item_no) <= 3
        {_clean('text')} AS text_clean, 'v1' AS preprocess_version FROM conversations""",
     "job_video_stats": _token_stats("video_id", "d, p", JOB_DOCS, "turn"),
     "job_video_keywords": _keywords("video_id", JOB_DOCS, digits=9),
+    "job_artifact_sources": """SELECT kind, CAST(conv_id AS VARCHAR) AS video_id, count(*) AS comments
+FROM conversations, (VALUES ('token_stats'), ('tfidf')) AS k(kind) GROUP BY ALL""",
     "job_corpus": f"WITH {JOB_DOCS}, {TOKENS}, {UNIGRAMS}{CORPUS} SELECT token, df_videos, n_videos AS video_count FROM corpus, corpus_size",
     "job_ingest_channels": """SELECT 'c' || (conv_id % 10) AS channel_id, count(DISTINCT conv_id) AS listed, count(DISTINCT conv_id) AS video_count,
        count(*) AS comment_count, 0::BIGINT AS error_count FROM conversations GROUP BY 1""",

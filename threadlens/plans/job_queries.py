@@ -13,6 +13,7 @@ from threadlens.plans.table_queries import WINDOW, comment_pages, conversations,
 from threadlens.session import ship_package
 from threadlens.sources import artifacts
 from threadlens.sources.comments import read_clean_comments, read_raw_comments
+from threadlens.sources.layers import BUCKET
 
 def channel_pages(spark: SparkSession, folder: str) -> DataFrame:
     """Conversations as videos of ten channels, 50 to a page."""
@@ -60,7 +61,7 @@ def channels_cleaned(spark: SparkSession, folder: str) -> str:
 def _shown(rows: DataFrame) -> DataFrame:
     """Token statistics with the list as text."""
     tokens = F.array_join(F.transform("top_tokens", lambda t: F.concat_ws(":", t["token"], t["count"])), " ")
-    return rows.withColumn("top_tokens", tokens).drop("created_at_utc", "preprocess_version", "config_hash", "video_ids")
+    return rows.withColumn("top_tokens", tokens).drop("created_at_utc", "preprocess_version", "config_hash", "video_ids", "silver_path")
 
 
 def _listed(stored: DataFrame, *keys: str) -> DataFrame:
@@ -87,6 +88,19 @@ def video_keywords_job(spark: SparkSession, folder: str) -> DataFrame:
     return _listed(jobs.keywords_by_video(spark, cleaned(spark, folder)), "video_id")
 
 
+def artifact_sources_job(spark: SparkSession, folder: str) -> DataFrame:
+    """Per video artifact, the clean comments of its video that lie in the folder it names."""
+    root = cleaned(spark, folder)
+    made = {"token_stats": jobs.stats_by_video(spark, root), "tfidf": jobs.keywords_by_video(spark, root)}
+    rows = [rows.select(F.lit(kind).alias("kind"), "video_id", "silver_path") for kind, rows in made.items()]
+    # A file's address may carry a scheme, so folders are compared from the root's own part on.
+    part = rf"([^/]+/silver/{BUCKET}=[0-9]+)"
+    named = rows[0].unionByName(rows[1]).withColumn("place", F.regexp_extract("silver_path", part, 1))
+    layer = spark.read.parquet(jobs.clean_path(root)).select("video_id", F.regexp_extract(F.col("_metadata.file_path"), part, 1).alias("place"))
+    held = layer.groupBy("video_id", "place").agg(F.count("*").alias("comments"))
+    return named.join(held, ["video_id", "place"], "left").select("kind", "video_id", F.coalesce("comments", F.lit(0)).alias("comments"))
+
+
 def corpus_job(spark: SparkSession, folder: str) -> DataFrame:
     corpus = jobs.corpus_document_frequency(spark, cleaned(spark, folder))
     return corpus.tokens.withColumn("video_count", F.lit(corpus.video_count).cast("bigint"))
@@ -146,6 +160,7 @@ JOB_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "job_preprocess": preprocess_job,
     "job_video_stats": video_stats_job,
     "job_video_keywords": video_keywords_job,
+    "job_artifact_sources": artifact_sources_job,
     "job_corpus": corpus_job,
     "job_list_videos": list_videos_job,
     "job_ingest_channels": ingest_channels_job,

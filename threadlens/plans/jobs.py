@@ -60,6 +60,7 @@ from threadlens.sources.comments import (
     write_clean_comments,
     write_raw_comments,
 )
+from threadlens.sources.layers import folder_of
 from threadlens.sources.pages import flatten_comment_pages, flatten_video_pages, quarantine, strict
 
 
@@ -75,6 +76,11 @@ def rejected_path(root: str) -> str:
     return f"{root}/rejected"
 
 
+def _with_source(artifacts: DataFrame, root: str) -> DataFrame:
+    """Video artifacts with ``silver_path``, the folder of the clean layer that holds the video's comments."""
+    return artifacts.withColumn("silver_path", folder_of(clean_path(root), F.col("video_id")))
+
+
 def _with_arrival(comments: DataFrame) -> DataFrame:
     """Arrival number of a comment: page first, then place on the page. API pages hold at most
     100 items, so six digits are ample."""
@@ -116,7 +122,7 @@ def stats_by_video(
     config = config.with_stopwords_hash()
     stats = feature_stats(comments, ["video_id"], config, arrival="arrival", weights=False)
     rows = token_stats_artifacts(stats, ["video_id"], config, version, by_arrival=True)
-    write_artifact(rows, root, "token_stats")
+    write_artifact(_with_source(rows, root), root, "token_stats")
     return read_artifact(spark, root, "token_stats", videos)
 
 
@@ -139,7 +145,7 @@ def keywords_by_video(
         read_corpus(spark, root) if use_corpus else None,
         drop_sentiment=not keep_sentiment,
     )
-    write_artifact(rows, root, "tfidf")
+    write_artifact(_with_source(rows, root), root, "tfidf")
     return read_artifact(spark, root, "tfidf", videos)
 
 

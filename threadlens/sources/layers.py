@@ -25,6 +25,11 @@ def bucket_of(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
+def folder_of(path: str, key: Column) -> Column:
+    """The folder of the table at ``path`` that holds the rows of a key."""
+    return F.concat(F.lit(f"{path}/{BUCKET}="), bucket_of(key).cast("string"))
+
+
 def write_keyed(
     rows: DataFrame, path: str, key: Sequence[str], mode: str = "overwrite", fmt: str = "parquet"
 ) -> None:
