@@ -58,3 +58,10 @@ def test_keywords_scan_the_texts_once(spark):
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
     assert plan.count("regexp_extract_all") == 1
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["stream_corpus_df"])
+def test_streams_read_tables_that_are_folders(spark, connection, tmp_path, name):
+    """Tables of several files are folders: a stream must find their rows too."""
+    spark.read.parquet(f"{FOLDER}/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    assert compare(spark, connection, str(tmp_path), name, queries()[name], oracle_sql()[name]) is None

@@ -628,10 +628,10 @@ def stream_features(spark: SparkSession, folder: str) -> str:
     ship_package(spark)
     base = work_folder(spark)
     schema = table(spark, folder, "documents").schema
+    # The table is one file or a folder of files. A pattern names either: a stream takes a plain path for a folder.
     stream = (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", "documents.parquet")
-        .parquet(folder)
+        .parquet(f"{folder}/documents.parque[t]")
         .select(
             F.col("lang").alias("channel_id"),
             F.concat_ws("-", "lang", "source").alias("video_id"),
