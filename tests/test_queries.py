@@ -60,7 +60,7 @@ def test_keywords_scan_the_texts_once(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["stream_corpus_df"])
+@pytest.mark.parametrize("name", ["stream_corpus_df", "stream_tfidf"])
 def test_streams_read_tables_that_are_folders(spark, connection, tmp_path, name):
     """Tables of several files are folders: a stream must find their rows too."""
     spark.read.parquet(f"{FOLDER}/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
