@@ -338,3 +338,20 @@ def test_against_brute_force(spark, ngram_range, min_df, max_df):
         scored.sort(key=lambda s: (-round(s[2], 12), -s[1], s[0]))
         expected = {i: (t, d, round(s, 10)) for i, (t, d, s) in enumerate(scored[:15], 1)}
         assert got.get(video, {}) == expected
+
+
+def test_the_features_of_one_grain_meet_its_totals_in_many_tasks(spark):
+    words = " ".join(f"word{i}" for i in range(100))
+    rows = spark.createDataFrame([("c", words)] * 3, "channel_id string, text_clean string")
+    config = KeywordConfig(min_df=1, max_df=1.0)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        scored = scored_features(feature_stats(rows, ["channel_id"], config), ["channel_id"], config)
+        assert scored.count() == 100
+        assert scored.select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -23,6 +23,9 @@ from threadlens.wordlists import SENTIMENT_EN
 # Scores are compared at this many decimals, so equal scores tie whatever the last bit says.
 RANK_DECIMALS = 12
 
+# Parts that the features of a grain are dealt to where its totals join them.
+SALTS = 32
+
 
 def df_band(documents: Column, config: KeywordConfig) -> tuple[Column, Column]:
     """Absolute document-frequency bounds for N documents.
@@ -97,9 +100,12 @@ def scored_features(
         rows = _with_corpus_df(rows.select(*keys, "token", _tf_sum()), config, corpus)
     rows = rows.where(_fits_ngram_df(F.col("df"), config))
     # Totals are one row per grain and grow with the data, so the join is not forced to
-    # broadcast: Spark decides by measured size and splits a hot grain when it shuffles.
+    # broadcast: Spark decides by measured size. Shuffled, a grain's rows would all meet in one task and be
+    # sorted there, and the ranking behind the join keeps Spark from splitting them: so they are dealt by token.
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("token"), F.lit(SALTS)).cast("int"))
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     return (
-        rows.join(totals, keys)
+        rows.join(totals.withColumn("_salt", F.explode(salts)), [*keys, "_salt"])
         .where(F.col("df").between(F.col("min_df_abs"), F.col("max_df_abs")))
         .withColumn("avg_tf", F.col("_tf_sum") / F.col("doc_count_non_empty"))
         .withColumn("idf", smooth_idf(F.col("idf_documents"), F.col("df")))
