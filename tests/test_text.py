@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from threadlens.config import KeywordConfig, TokenRules
+from threadlens.functions import text
 from threadlens.functions.stem import stem_word
 from threadlens.functions.text import clean_text, collapse_letters, is_blank, is_letter_pair_run
 from threadlens.operators.features import document_features, document_tokens
@@ -135,3 +136,17 @@ STEMS = {
 
 def test_stem_examples():
     assert {w: stem_word(w) for w in STEMS} == STEMS
+
+
+def test_composing_holds_few_texts_as_python_strings():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    batch = pa.array(["é" + "x" * 10_000, None] * 1000)
+    tracemalloc.start()
+    composed = text._compose.func(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(composed) == 2000 and composed[0].as_py() == "\xe9" + "x" * 10_000 and composed[1].as_py() is None
+    assert peak < 8_000_000

@@ -22,13 +22,17 @@ NUMBER = "[0-9]+"
 LETTER_PAIR_RUN = r"([a-zA-Z]{2})\1{2,}"
 LETTER_RUN_PATTERN = r"([a-zA-Z])\1{2,}"
 URL_MARK = "<URL>"
+# Texts that are Python strings at a time while they are composed.
+COMPOSED_ROWS = 64
 
 
 @F.arrow_udf(T.StringType())
 def _compose(texts: pa.Array) -> pa.Array:
     # Arrow's own utf8_normalize leaves composed forms decomposed, hence the standard library.
-    composed = [None if t is None else normalize("NFKC", t) for t in texts.to_pylist()]
-    return pa.array(composed, pa.string())
+    # A batch is taken in runs of texts: Python strings are several times their Arrow bytes.
+    runs = (texts.slice(start, COMPOSED_ROWS).to_pylist() for start in range(0, len(texts), COMPOSED_ROWS))
+    composed = [pa.array([None if t is None else normalize("NFKC", t) for t in run], pa.string()) for run in runs]
+    return pa.concat_arrays(composed) if composed else pa.array([], pa.string())
 
 
 def nfkc(text: Column) -> Column:
