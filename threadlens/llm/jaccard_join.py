@@ -6,12 +6,18 @@ necessary shingle with it. So each document first announces its prefix: the firs
 shingles in one global order, common ones last. Documents that share a prefix shingle form a region, and
 linked documents share one. Copies count as one document (a class) throughout.
 
-A region elects a pivot (later rounds several), and every member's exact distance to it is found, once however many regions ask. Members within
-the threshold join the pivot's cell and are connected by it. What links have connected so far, in any region, shares a
-label and needs no comparison; all pairs of different labels do. The next region holds the others, and of the cell only
+A region of a common shingle needs less than all its pairs. Every shingle that is not common stands before it, so members
+that share one of those meet in its region too; the others share common shingles at most. A pair whose lesser number of
+common shingles cannot reach the threshold is no pair of this region, and members without any possible partner stay out.
+
+A region elects a pivot (later rounds several; classes without links first, then those of mostly common shingles, which are
+nearest to what the region has in common), and every member's exact distance to it is found, once however many regions ask.
+Members within the threshold join the pivot's cell and are connected by it. What links have connected so far, in any region,
+shares a label and needs no comparison; all pairs of different labels do. The next region holds the others, and of the cell only
 boundary documents x, with |d(x, p) - d(y, p)| <= threshold for some y of another label (triangle inequality), be it in
-another pivot's cell or in none. A region of one label is done. Regions of a few members compare all pairs
-that this does not rule out. Nothing is capped or approximated.
+another pivot's cell or in none. A region of one label is done. Regions of a few members compare all pairs at first, and what
+pivots leave of a region compares its pairs of different labels inside one task as soon as it has REST members at most: their
+sketches first, then the exact sets of the few pairs that sketches do not rule out. Nothing is capped or approximated.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ SHINGLE = 5
 #: Links need 100 * |A & B| >= PERCENT * |A | B|.
 PERCENT = 80
 #: Regions of up to SMALL classes compare pairs directly, and those left by a pivot up to REST; shingles in more than COMMON texts come last.
-SMALL, REST, COMMON = 16, 64, 24
+SMALL, REST, COMMON = 16, 2048, 24
 #: Pivots that a region elects: one at first, twice as many in each later round, up to so many.
 SEATS = 64
 #: The list of common shingles that is sent to all executors never has more entries; it only orders shingles.
@@ -40,9 +46,16 @@ COMMON_LIST = 1_000_000
 SALTS = 16
 #: Bytes of text that a task takes at a time; its memory is some sixty times this.
 SLICE = 1 << 20
-#: Cells of a set's sketch, one byte each.
-SKETCH = 128
-_MEMBER = [("key", "<u8"), ("c", "<i8"), ("n", "<i4")]
+#: Cells of a small set's sketch, one byte each; twice as many while a cell would hold more than CELL shingles.
+SKETCH, CELL = 128, 4
+#: Members of a region that a task compares with all others at a time.
+BLOCK = 64
+#: Bytes of packed shingles in a bucket, about.
+BUCKET = 8 << 20
+#: Up to so many classes, the list of chosen texts is sent to all executors and no text is shuffled.
+CHOSEN = 250_000
+#: ``most`` bounds the shingles that two members share if they need this region: the member's common ones, or all.
+_MEMBER = [("key", "<u8"), ("c", "<i8"), ("n", "<i4"), ("most", "<i4")]
 _COUNT = [("key", "<u8"), ("n", "<u2")]
 
 
@@ -88,13 +101,25 @@ class Sets:
             seen.add(c)
         return out
 
-    def prefixes(self, chosen: np.ndarray, share: int, common: np.ndarray | None = None) -> np.ndarray:
-        """Indexes of the first n - ceil(share * n / 100) + 1 shingles of the chosen rows, common ones last."""
+    def among(self, common: np.ndarray) -> np.ndarray:
+        """Whether a shingle is one of the sorted ``common``."""
+        if not len(common):
+            return np.zeros(len(self.value), bool)
+        return common[np.minimum(np.searchsorted(common, self.value), len(common) - 1)] == self.value
+
+    def sketches(self) -> list[bytes]:
+        """Each row's numbers of shingles, up to 255, in the cells of its sketch."""
+        cells = np.left_shift(SKETCH, np.ceil(np.log2(np.maximum(self.n / (SKETCH * CELL), 1))).astype(np.int64))
+        start = np.concatenate([[0], np.cumsum(cells)])
+        at = start[self.rows] + (mix(self.value, 4) & (cells[self.rows] - 1).astype(U)).astype(np.int64)
+        counts = np.minimum(np.bincount(at, minlength=start[-1]), 255).astype(np.uint8)
+        return [counts[i:j].tobytes() for i, j in zip(start[:-1], start[1:])]
+
+    def prefixes(self, chosen: np.ndarray, share: int, last: np.ndarray | None = None) -> np.ndarray:
+        """Indexes of the first n - ceil(share * n / 100) + 1 shingles of the chosen rows, those marked in ``last`` last."""
         index = np.flatnonzero(chosen[self.rows])
-        if common is not None and len(common):
-            at = np.minimum(np.searchsorted(common, self.value[index]), len(common) - 1)
-            last = common[at] == self.value[index]
-            index = index[np.lexsort((self.value[index], last, self.rows[index]))]
+        if last is not None and last.any():
+            index = index[np.lexsort((self.value[index], last[index], self.rows[index]))]
         n = np.where(chosen, self.n, 0)
         first = np.concatenate([[0], np.cumsum(n)])[:-1]
         rank = np.arange(len(index)) - first[self.rows[index]]
@@ -105,17 +130,23 @@ def _bytes(column: pa.ChunkedArray) -> bytes:
     return b"".join(column.to_pylist())
 
 
+def folded(sketch: np.ndarray, cells: int) -> np.ndarray:
+    """The sketch of the same set with fewer cells."""
+    return sketch.reshape(-1, cells).sum(axis=0, dtype=np.int64)
+
+
 def classes_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, k, h, c, n): class and set size of every row; c is null for texts without words."""
+    """(doc_id, k, h, c, n, sketch): class, set size and sketch of every row; c is null for texts without words."""
     rows = docs.select("doc_id", F.xxhash64("doc_id").alias("k"), F.xxhash64("text").alias("h"), "text")
-    schema = T.StructType([docs.schema["doc_id"]]).add("k", "long").add("h", "long").add("c", "long").add("n", "long")
+    schema = T.StructType([docs.schema["doc_id"]]).add("k", "long").add("h", "long").add("c", "long").add("n", "long").add("sketch", "binary")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, size=SLICE):
                 sets = Sets(batch.column("text"))
                 c = pa.array(sets.classes, pa.int64(), mask=sets.n == 0)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("k"), batch.column("h"), c, pa.array(sets.n, pa.int64())], names=schema.names)
+                out = [batch.column("doc_id"), batch.column("k"), batch.column("h"), c, pa.array(sets.n, pa.int64()), pa.array(sets.sketches(), pa.binary())]
+                yield pa.RecordBatch.from_arrays(out, names=schema.names)
 
     return rows.mapInArrow(read, schema)
 
@@ -156,8 +187,22 @@ def _by_bucket(rows: np.ndarray, buckets: int, names: list[str]) -> Iterator[pa.
     yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([rows[cut[i] : cut[i + 1]].tobytes() for i in full], pa.binary())], names=names)
 
 
+def may_link(n: np.ndarray, m: np.ndarray, most_n: np.ndarray, most_m: np.ndarray) -> np.ndarray:
+    """Whether sets of sizes n and m that share no more than either ``most`` can reach the threshold."""
+    n, m, most = n.astype(np.int64), m.astype(np.int64), np.minimum(most_n, most_m).astype(np.int64)
+    return (100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)) & ((100 + PERCENT) * most >= PERCENT * (n + m))
+
+
+def partnered(n: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether a member of a region may link with some member, itself perhaps: one that is small enough, and for which it is."""
+    order = np.argsort(n, kind="stable")
+    reach = ((100 + PERCENT) * most.astype(np.int64) - PERCENT * n.astype(np.int64)) // PERCENT
+    best = np.concatenate([[-1], np.maximum.accumulate(reach[order])])
+    return best[np.searchsorted(n[order], reach, side="right")] >= n
+
+
 def regions(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
-    """(region, a, b, n, m): pairs of small regions (b set, a < b, sizes n and m), and the members a (size n) of larger ones (b null)."""
+    """(region, a, b, n, m): pairs of small regions (b set, a < b, sizes n and m), and the members a (size n, ``most`` m) of larger ones (b null)."""
     shipped = docs.sparkSession.sparkContext.broadcast(common)
     schema = T.StructType().add("bucket", "integer").add("members", "binary")
 
@@ -166,9 +211,12 @@ def regions(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, size=SLICE):
                 sets = Sets(batch.column("text"))
-                index = sets.prefixes(sets.fresh(seen), PERCENT, shipped.value)
+                last = sets.among(shipped.value)
+                index = sets.prefixes(sets.fresh(seen), PERCENT, last)
+                row, held = sets.rows[index], np.bincount(sets.rows[last], minlength=len(sets.n))
                 out = np.empty(len(index), _MEMBER)
-                out["key"], out["c"], out["n"] = sets.value[index], sets.classes[sets.rows[index]], sets.n[sets.rows[index]]
+                out["key"], out["c"], out["n"] = sets.value[index], sets.classes[row], sets.n[row]
+                out["most"] = np.where(last[index], held[row], sets.n[row])
                 yield from _by_bucket(out, buckets, schema.names)
 
     def meet(table: pa.Table) -> pa.Table:
@@ -184,71 +232,100 @@ def regions(docs: DataFrame, common: np.ndarray, buckets: int) -> DataFrame:
             for i in range(g):
                 for j in range(i + 1, g):
                     x, y = rows[of + i], rows[of + j]
-                    near = 100 * np.minimum(x["n"], y["n"]).astype(np.int64) >= PERCENT * np.maximum(x["n"], y["n"]).astype(np.int64)
+                    near = may_link(x["n"], y["n"], x["most"], y["most"])
                     pair = np.empty(near.sum(), [("a", "<i8"), ("b", "<i8"), ("n", "<i4"), ("m", "<i4")])
                     pair["a"], pair["b"], pair["n"], pair["m"] = x["c"][near], y["c"][near], x["n"][near], y["n"][near]
                     found.append(pair)
         pairs = np.unique(np.concatenate(found)) if found else np.empty(0, [("a", "<i8"), ("b", "<i8"), ("n", "<i4"), ("m", "<i4")])
-        many = rows[np.repeat(size > SMALL, size)]
+        large = np.flatnonzero(size > SMALL)
+        many = [rows[i : i + g] for i, g in zip(start[large], size[large])]
+        many = np.concatenate([rows[:0], *(m[partnered(m["n"], m["most"])] for m in many)])
         none = pa.nulls(len(many), pa.int64())
         return pa.table({
             "region": pa.chunked_array([pa.nulls(len(pairs), pa.int64()), pa.array(many["key"].copy().view(np.int64))]),
             "a": np.concatenate([pairs["a"], many["c"]]),
             "b": pa.chunked_array([pa.array(pairs["b"].copy()), none]),
             "n": np.concatenate([pairs["n"], many["n"]]).astype(np.int64),
-            "m": pa.chunked_array([pa.array(pairs["m"].astype(np.int64)), none])})
+            "m": np.concatenate([pairs["m"], many["most"]]).astype(np.int64)})
 
     sent = docs.select("text").mapInArrow(send, schema)
     return sent.groupBy("bucket").applyInArrow(meet, "region long, a long, b long, n long, m long")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, rows: DataFrame) -> DataFrame:
-    """(c, n, shingles, sketch): the packed set of each class in ``wanted(c)``, from one document of it."""
+    """(c, shingles): the packed set of each class in ``wanted(c)``, from one document of it."""
     one = rows.join(wanted, "c", "left_semi").groupBy("c").agg(F.min(F.struct("k", "h")).alias("x")).select("c", "x.k", "x.h")
+    one = stored(one, "chosen")
     texts = docs.select(F.xxhash64("doc_id").alias("k"), F.xxhash64("text").alias("h"), "text")
-    chosen = texts.join(one.hint("shuffle_hash"), ["k", "h"]).select("c", "text")
-    schema = T.StructType().add("c", "long").add("n", "long").add("shingles", "binary").add("sketch", "binary")
+    chosen = texts.join(one.hint("broadcast" if one.count() <= CHOSEN else "shuffle_hash"), ["k", "h"]).select("c", "text")
+    schema = T.StructType().add("c", "long").add("shingles", "binary")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, size=SLICE):
                 sets = Sets(batch.column("text"))
-                first = [i for i, c in enumerate(sets.leaders()) if c]
+                first = np.flatnonzero(sets.leaders())
                 packed = [sets.value[sets.first[i] : sets.first[i + 1]].tobytes() for i in first]
-                cells = np.bincount(sets.rows * SKETCH + (mix(sets.value, 4) % U(SKETCH)).astype(np.int64), minlength=len(batch) * SKETCH)
-                sketch = np.minimum(cells, 255).astype(np.uint8).reshape(-1, SKETCH)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sets.classes[first], pa.int64()), pa.array(sets.n[first], pa.int64()), pa.array(packed, pa.binary()),
-                     pa.array([sketch[i].tobytes() for i in first], pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([pa.array(sets.classes[first], pa.int64()), pa.array(packed, pa.binary())], names=schema.names)
 
     return chosen.mapInArrow(read, schema)
 
 
-def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose sketches do not rule out ``percent``.
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs(a, b)`` whose ``sketches(c, n, sketch)`` do not rule out ``percent``.
 
-    A sketch counts a set's shingles in SKETCH cells; the sum of differences of two sketches is at most the size of the
+    A sketch counts a set's shingles in cells; the sum of differences of two sketches is at most the size of the
     symmetric difference, so what is left out is certainly further apart. Sketches are a small part of a set's size.
     """
-    sides = pairs.select("a", "b").join(sets.select(F.col("c").alias("a"), F.col("n").alias("n"), F.col("sketch").alias("x")), "a")
-    sides = sides.join(sets.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y")), "b").select("a", "b", "n", "m", "x", "y")
+    sides = pairs.select("a", "b").join(sketches.select(F.col("c").alias("a"), "n", F.col("sketch").alias("x")), "a")
+    sides = sides.join(sketches.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("sketch").alias("y")), "b").select("a", "b", "n", "m", "x", "y")
     schema = T.StructType().add("a", "long").add("b", "long")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int64) for c in "xy")
-                both = batch.column("n").to_numpy() + batch.column("m").to_numpy()
-                apart = np.abs(x - y).sum(axis=1)
-                near = pa.array(100 * (both - apart) >= percent * (both + apart))
-                yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], names=schema.names)
+            apart = np.zeros(len(batch), np.int64)
+            for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"))):
+                x, y = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+                cells = min(len(x), len(y))
+                apart[i] = np.abs(folded(x, cells) - folded(y, cells)).sum()
+            both = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            near = pa.array(100 * (both - apart) >= percent * (both + apart))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], names=schema.names)
 
-    return sides.mapInArrow(keep, schema)
+    return stored(sides.mapInArrow(keep, schema), "possible")
 
 
-def distances(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b, same, either): sizes of intersection and union of the sets of each pair that may reach ``percent``."""
-    sides = stored(possible(pairs, sets, percent), "possible").join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a")
+def cross_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): the pairs of each region's ``members`` of different labels that neither sizes nor pivots nor sketches rule out.
+
+    A region is compared in one task, BLOCK members with all others at a time.
+    """
+    schema = T.StructType().add("a", "long").add("b", "long")
+
+    def compare(table: pa.Table) -> pa.Table:
+        c, n, most, label, p, d = (table[x].to_numpy() for x in ("c", "n", "most", "label", "p", "d"))
+        sketch = np.stack([folded(np.frombuffer(x.as_buffer(), np.uint8), SKETCH) for x in table["sketch"]]).astype(np.int32)
+        found = [np.empty((0, 2), np.int64)]
+        for start in range(0, len(c), BLOCK):
+            of = slice(start, start + BLOCK)
+            left, right = c[of, None], c[None, :]
+            # a distance that is not known (NaN) rules nothing out
+            apart = (p[of, None] == p[None, :]) & (np.abs(d[of, None] - d[None, :]) > (100 - PERCENT) / 100 + 1e-9)
+            i, j = np.nonzero((left < right) & (label[of, None] != label[None, :]) & ~apart & may_link(n[of, None], n[None, :], most[of, None], most[None, :]))
+            for k in range(0, len(i), 1 << 14):
+                x, y = i[k : k + (1 << 14)] + start, j[k : k + (1 << 14)]
+                both, far = n[x] + n[y], np.abs(sketch[x] - sketch[y]).sum(axis=1)
+                near = 100 * (both - far) >= PERCENT * (both + far)
+                found.append(np.stack([c[x[near]], c[y[near]]], axis=1))
+        pairs = np.concatenate(found)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return members.withColumn("d", F.coalesce("d", F.lit(float("nan")))).groupBy("region").applyInArrow(compare, schema).distinct()
+
+
+def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, same, either): sizes of intersection and union of the sets of each pair."""
+    sides = pairs.join(sets.select(F.col("c").alias("a"), F.col("shingles").alias("x")), "a")
     sides = sides.join(sets.select(F.col("c").alias("b"), F.col("shingles").alias("y")), "b").select("a", "b", "x", "y")
     schema = T.StructType().add("a", "long").add("b", "long").add("same", "long").add("either", "long")
 
@@ -284,61 +361,70 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("c", F.col("l").alias("component"))
 
 
-def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(a, b): pairs of linked classes that connect all linked classes (links within a cell go over its pivot)."""
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """The labels (c, component) after more ``edges(a, b)``: these are contracted to the components so far."""
+    ends = edges.select("a", "b")
+    for side in "ab":
+        ends = ends.join(labels.select(F.col("c").alias(side), "component"), side, "left").withColumn(side, F.coalesce("component", side)).drop("component")
+    roots = components(ends.where("a != b"))
+    moved = labels.join(roots.select(F.col("c").alias("component"), F.col("component").alias("root")), "component", "left")
+    return stored(moved.select("c", F.coalesce("root", "component").alias("component")).union(roots.join(labels, "c", "left_anti")), "labels")
+
+
+def linked(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(c, component): the least class reachable by links, for every linked class of ``rows`` (see ``classes_of``)."""
     spark = docs.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a bucket takes at most some 6 bytes per shingle of its share of the documents
+    size = rows.agg(F.sum("n")).first()[0] or 0
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), 6 * size // BUCKET)
     met = stored(regions(docs, common_shingles(docs, buckets), buckets), "regions")
-    wanted = met.select(F.col("a").alias("c")).union(met.where("b is not null").select("b")).distinct()
+    classes = met.select(F.col("a").alias("c")).union(met.where("b is not null").select("b")).distinct()
+    sketches = rows.join(classes, "c", "left_semi").groupBy("c").agg(F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    sketches = stored(sketches, "sketches")
+    pairs = possible(met.where("b is not null").select("a", "b").distinct(), sketches, PERCENT)
+    state = met.where("b is null").select("region", F.col("a").alias("c"), "n", F.col("m").alias("most"), F.lit(True).alias("open"))
+    wanted = state.select("c").union(pairs.select("a")).union(pairs.select("b")).distinct()
     sets = stored(shingle_sets(docs, wanted, rows), "sets")
     near = F.col("same") * 100 >= PERCENT * F.col("either")
-    pairs = met.where("b is not null").select("a", "b").distinct()
-    known = stored(distances(pairs, sets), "distances")
-    edges = known.where(near).select("a", "b")
-    state = met.where("b is null").select("region", F.col("a").alias("c"), "n", F.lit(True).alias("open"))
+    # classes that links have connected so far, in any region, share a label and need no comparison among themselves
+    labels = components(stored(distances(pairs, sets), "distances").where(near))
     seats = 1
     while not state.isEmpty():
-        first = Window.partitionBy("region").orderBy(F.desc("open"), F.xxhash64("c"), "c")
+        first = Window.partitionBy("region").orderBy(F.desc("open"), F.desc(F.col("most") / F.col("n")), F.xxhash64("c"), "c")
         pivots = state.withColumn("seat", F.row_number().over(first)).where(F.col("seat") <= seats)
         pivots = stored(pivots.select("region", F.col("c").alias("p"), F.col("n").alias("pn")), "pivots")
-        faced = state.join(pivots, "region").select("region", "c", "n", "p", "pn").where("c != p")
+        faced = state.join(pivots, "region").select("region", "c", "n", "most", "p", "pn").where("c != p")
         # sizes further apart put a distance beyond twice the threshold; it stays unknown (null)
         reach = 100 * F.least("n", "pn") >= (2 * PERCENT - 100) * F.greatest("n", "pn")
         asked = faced.where(reach).select(F.least("c", "p").alias("a"), F.greatest("c", "p").alias("b")).distinct()
-        found = stored(distances(asked, sets, 2 * PERCENT - 100), "distances")
-        edges = edges.union(found.where(near).select("a", "b"))
-        # classes that links have connected so far, in any region, share a label and need no comparison among themselves
-        labels = components(edges)
+        found = stored(distances(possible(asked, sketches, 2 * PERCENT - 100), sets), "distances")
+        labels = merged(labels, found.where(near))
         keyed = found.select("a", "b", (1 - F.col("same") / F.col("either")).alias("d"), near.alias("near"))
         placed = faced.withColumn("a", F.least("c", "p")).withColumn("b", F.greatest("c", "p")).join(keyed, ["a", "b"], "left")
-        placed = placed.select("region", "c", "n", "p", F.coalesce("near", F.lit(False)).alias("cell"), "d")
+        placed = placed.select("region", "c", "n", "most", "p", F.coalesce("near", F.lit(False)).alias("cell"), "d")
         # pivots have met everybody and leave
         rest = placed.join(pivots.select("region", F.col("p").alias("c")), ["region", "c"], "left_anti")
         rest = rest.join(labels, "c", "left").join(labels.select(F.col("c").alias("p"), F.col("component").alias("of")), "p", "left")
-        rest = rest.select("region", "c", "n", F.col("component").isNull().alias("open"), F.coalesce("component", "c").alias("label"),
+        rest = rest.select("region", "c", "n", "most", F.col("component").isNull().alias("open"), F.coalesce("component", "c").alias("label"),
                            "p", F.coalesce("of", "p").alias("of"), "cell", "d")
         rest = stored(rest, "cells")
         members = rest.groupBy("region", "c").agg(
-            F.max("n").alias("n"), F.max("open").alias("open"), F.max("label").alias("label"), F.max("cell").alias("cell"), F.min(F.struct("p", "d")).alias("x"))
+            F.max("n").alias("n"), F.max("most").alias("most"), F.max("open").alias("open"), F.max("label").alias("label"),
+            F.max("cell").alias("cell"), F.min(F.struct("p", "d")).alias("x"))
         least = rest.where("label != of").groupBy("region", "p").agg(F.min("d").alias("least"))
         # a member of a cell leaves if some pivot whose cell holds it puts all members of other labels out of its reach
         within = F.coalesce(F.col("d") >= F.col("least") - (100 - PERCENT) / 100 - 1e-9, F.lit(False))
         held = rest.where("cell").join(least, ["region", "p"], "left").groupBy("region", "c").agg(F.min(within).alias("boundary"))
         after = members.join(held, ["region", "c"], "left").where(~F.col("cell") | F.col("boundary"))
-        after = stored(after.select("region", "c", "n", "open", "label", F.col("x.p").alias("p"), F.col("x.d").alias("d")), "state")
+        after = stored(after.select("region", "c", "n", "most", "open", "label", F.col("x.p").alias("p"), F.col("x.d").alias("d")), "state")
         seats = min(2 * seats, SEATS)
         # a region of one label is done
         sizes = after.groupBy("region").agg(F.count("*").alias("size"), (F.min("label") < F.max("label")).alias("mixed")).where("mixed")
-        small = after.join(sizes.where(F.col("size") <= REST), "region")
-        x, y = small.alias("x"), small.alias("y")
-        close = (
-            (F.col("x.region") == F.col("y.region")) & (F.col("x.c") < F.col("y.c")) & (F.col("x.label") != F.col("y.label"))
-            & ((F.col("x.p") != F.col("y.p")) | F.coalesce(F.abs(F.col("x.d") - F.col("y.d")) <= (100 - PERCENT) / 100 + 1e-9, F.lit(True)))
-            & (100 * F.least("x.n", "y.n") >= PERCENT * F.greatest("x.n", "y.n")))
-        last = stored(distances(x.join(y, close).select(F.col("x.c").alias("a"), F.col("y.c").alias("b")).distinct(), sets), "distances")
-        edges = edges.union(last.where(near).select("a", "b"))
-        state = after.join(sizes.where(F.col("size") > REST), "region", "left_semi").select("region", "c", "n", "open")
-    return edges
+        small = after.join(sizes.where(F.col("size") <= REST), "region", "left_semi").join(sketches.select("c", "sketch"), "c")
+        last = distances(possible(cross_pairs(small), sketches, PERCENT), sets)
+        labels = merged(labels, stored(last, "distances").where(near))
+        state = after.join(sizes.where(F.col("size") > REST), "region", "left_semi").select("region", "c", "n", "most", "open")
+    return labels
 
 
 def join_classes(docs: DataFrame) -> DataFrame:
@@ -352,7 +438,7 @@ def join_classes(docs: DataFrame) -> DataFrame:
     """
     rows = stored(classes_of(docs), "classes")
     least = rows.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("first"))
-    named = components(links(docs, rows))
+    named = linked(docs, rows)
     joined = least.join(named, "c", "left").select("c", "first", F.coalesce("component", "c").alias("component"))
     joined = stored(joined, "named")
     lowest = joined.groupBy("component").agg(F.min("first").alias("component_id"))
