@@ -98,3 +98,21 @@ def test_links_between_cells(spark, monkeypatch):
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in join_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert len({r[2] for r in got}) == 8 and got == brute(rows)
     assert rounds.count("pivots") >= 3
+
+
+def test_form_letters(spark, monkeypatch):
+    """A large group of texts with common passages, few of them linked, is done after one pivot, and names no pair twice."""
+    random.seed(3)
+    form, rows = [f"w{i}" for i in range(100)], []
+    for i in range(150):
+        words = list(form)
+        for _ in range(random.choice([1, 2, 3, 4, 4, 4])):
+            words[random.randrange(100)] = f"own{random.randrange(10**6)}"
+        rows.append((i, " ".join(words[random.randrange(3) :])))
+    rounds, whole, crossed, cross = [], jaccard_join.stored, [], jaccard_join.cross_pairs
+    monkeypatch.setattr(jaccard_join, "stored", lambda frame, name: rounds.append(name) or whole(frame, name))
+    monkeypatch.setattr(jaccard_join, "cross_pairs", lambda members: crossed.append(whole(cross(members), "crossed")) or crossed[-1])
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in join_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == brute(rows) and 10 < len({r[2] for r in got}) < 150
+    assert rounds.count("pivots") == 1
+    assert crossed[0].count() == crossed[0].distinct().count()

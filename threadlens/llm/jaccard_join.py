@@ -38,7 +38,7 @@ SHINGLE = 5
 #: Links need 100 * |A & B| >= PERCENT * |A | B|.
 PERCENT = 80
 #: Regions of up to SMALL classes compare pairs directly, and those left by a pivot up to REST; shingles in more than COMMON texts come last.
-SMALL, REST, COMMON = 16, 2048, 24
+SMALL, REST, COMMON = 16, 8192, 24
 #: Pivots that a region elects: one at first, twice as many in each later round, up to so many.
 SEATS = 64
 #: The list of common shingles that is sent to all executors never has more entries; it only orders shingles.
@@ -152,9 +152,10 @@ def classes_of(docs: DataFrame) -> DataFrame:
 
 
 def common_shingles(docs: DataFrame, buckets: int) -> np.ndarray:
-    """Shingles early in the hash order of more than COMMON texts, most frequent first up to COMMON_LIST, sorted.
+    """Shingles of more than COMMON texts, most frequent first up to COMMON_LIST, sorted.
 
-    The counts cover all documents. The list steers the order of shingles, hence speed; results are the same with any list.
+    The counts cover all documents and shingles: a common one that is not in the list stands among the rare ones, so texts that
+    have it seem to share more than common ones. The list steers speed; results are the same with any list.
     """
     schema = T.StructType().add("bucket", "integer").add("counts", "binary")
 
@@ -163,7 +164,7 @@ def common_shingles(docs: DataFrame, buckets: int) -> np.ndarray:
         for whole in batches:
             for batch in slices(whole, size=SLICE):
                 sets = Sets(batch.column("text"))
-                key, n = np.unique(sets.value[sets.prefixes(sets.fresh(seen), PERCENT // 2)], return_counts=True)
+                key, n = np.unique(sets.value[sets.fresh(seen)[sets.rows]], return_counts=True)
                 out = np.empty(len(key), _COUNT)
                 out["key"], out["n"] = key, np.minimum(n, 65535)
                 yield from _by_bucket(out, buckets, schema.names)
@@ -298,14 +299,18 @@ def possible(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
 def cross_pairs(members: DataFrame) -> DataFrame:
     """(a, b): the pairs of each region's ``members`` of different labels that neither sizes nor pivots nor sketches rule out.
 
-    A region is compared in one task, BLOCK members with all others at a time.
+    A region is compared in one task, BLOCK members with all others at a time. Regions overlap, so a pair is named by the least
+    one it shares alone: of those where ``most`` leaves nothing out for either, else of all, which then agree on ``most``.
     """
+    free = F.collect_list(F.when(F.col("most") >= F.col("n"), F.col("region"))).alias("free")
+    members = members.join(members.groupBy("c").agg(free, F.collect_list("region").alias("every")), "c")
     schema = T.StructType().add("a", "long").add("b", "long")
 
     def compare(table: pa.Table) -> pa.Table:
         c, n, most, label, p, d = (table[x].to_numpy() for x in ("c", "n", "most", "label", "p", "d"))
         sketch = np.stack([folded(np.frombuffer(x.as_buffer(), np.uint8), SKETCH) for x in table["sketch"]]).astype(np.int32)
-        found = [np.empty((0, 2), np.int64)]
+        free, every = ([frozenset(x) for x in table[y].to_pylist()] for y in ("free", "every"))
+        region, found = table["region"][0].as_py(), [np.empty((0, 2), np.int64)]
         for start in range(0, len(c), BLOCK):
             of = slice(start, start + BLOCK)
             left, right = c[of, None], c[None, :]
@@ -316,11 +321,13 @@ def cross_pairs(members: DataFrame) -> DataFrame:
                 x, y = i[k : k + (1 << 14)] + start, j[k : k + (1 << 14)]
                 both, far = n[x] + n[y], np.abs(sketch[x] - sketch[y]).sum(axis=1)
                 near = 100 * (both - far) >= PERCENT * (both + far)
-                found.append(np.stack([c[x[near]], c[y[near]]], axis=1))
+                x, y = x[near], y[near]
+                here = np.array([min(free[u] & free[v] or every[u] & every[v]) == region for u, v in zip(x, y)], bool)
+                found.append(np.stack([c[x[here]], c[y[here]]], axis=1))
         pairs = np.concatenate(found)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return members.withColumn("d", F.coalesce("d", F.lit(float("nan")))).groupBy("region").applyInArrow(compare, schema).distinct()
+    return members.withColumn("d", F.coalesce("d", F.lit(float("nan")))).groupBy("region").applyInArrow(compare, schema)
 
 
 def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -366,7 +373,10 @@ def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
     ends = edges.select("a", "b")
     for side in "ab":
         ends = ends.join(labels.select(F.col("c").alias(side), "component"), side, "left").withColumn(side, F.coalesce("component", side)).drop("component")
-    roots = components(ends.where("a != b"))
+    ends = stored(ends.where("a != b").distinct(), "ends")
+    if ends.isEmpty():
+        return labels
+    roots = components(ends)
     moved = labels.join(roots.select(F.col("c").alias("component"), F.col("component").alias("root")), "component", "left")
     return stored(moved.select("c", F.coalesce("root", "component").alias("component")).union(roots.join(labels, "c", "left_anti")), "labels")
 
