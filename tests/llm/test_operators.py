@@ -122,6 +122,28 @@ def test_bpe_equals_library(spark):
     assert {(r.doc_id, bytes(r.decoded)) for r in byte_bpe.decode_documents(coded, vocabulary).collect()} == {(i, (t or "").encode()) for i, t in EDGES}
 
 
+def test_bpe_encodes_new_words_in_one_list(monkeypatch):
+    import tiktoken
+
+    vocabulary, pattern = tokenizer()
+    ranks = byte_bpe.read_ranks(vocabulary)
+    library = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    random.seed(2)
+    words = [("".join(random.choice(["ab", "aa", "th", "é", "日本", "🙂", "in", "ß"]) for _ in range(random.randint(1, 12)))).encode() for _ in range(2000)]
+    assert byte_bpe.Merges(ranks).encode(words) == [library._encode_single_piece(word) for word in words]
+    # a byte that would join the words of the list belongs to tokens of its own only
+    assert byte_bpe.Merges({b"a": 0, b"b": 1, b"\xff": 2, b"a\xff": 3, b"ab": 4}).encode([b"ba", b"bab"]) == [[1, 0], [1, 4]]
+    # remembered words are short strings, few enough, and take part again after they were forgotten
+    monkeypatch.setattr(byte_bpe, "CACHED_PIECES", 200)
+    monkeypatch.setattr(byte_bpe, "LIST", 64)
+    codec = byte_bpe.Codec(ranks, pattern)
+    for _ in range(3):
+        for start in range(0, len(words), 50):
+            text = " ".join(word.decode() for word in words[start : start + 50])
+            assert codec.encode(text) == library.encode_ordinary(text)
+            assert len(codec.known) <= 200 and all(type(x) is str and len(w) <= byte_bpe.CACHED_CHARS for w, x in codec.known.items())
+
+
 def test_decontamination(spark, monkeypatch):
     item = [f"q{i}" for i in range(20)]
     items = spark.createDataFrame([(1, " ".join(item)), (2, "short one"), (3, None), (4, ""), (1, " ".join(item))], "item_id long, text string")
