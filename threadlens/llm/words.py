@@ -34,13 +34,15 @@ def mix(x: np.ndarray, salt: int = 0) -> np.ndarray:
 
 
 _POWERS: dict[int, np.ndarray] = {}
+#: Tables of powers grow by so many entries, so that they hold little beyond what the longest slice needs.
+STEP = 1 << 18
 
 
 def _table(base: int, n: int) -> np.ndarray:
     """Powers of ``base``, n at least; one table per base and process, as long as its longest slice needed."""
     held = _POWERS.get(base)
     if held is None or len(held) < n:
-        steps = np.full(1 << max(n, 1 << 20).bit_length(), base, U)
+        steps = np.full(-(-max(n, 1) // STEP) * STEP, base, U)
         steps[0] = 1
         held = _POWERS[base] = np.multiply.accumulate(steps)
     return held
