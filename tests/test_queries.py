@@ -11,7 +11,7 @@ from oracles import _stems
 from threadlens.functions.stem import IRREGULAR, KEPT_AFTER_PLURAL, stem_word
 from oracle_check import compare, duck
 from threadlens.plans.job_queries import JOB_QUERIES
-from threadlens.plans.table_queries import QUERIES, UNIGRAMS, VIDEO, documents
+from threadlens.plans.table_queries import BIGRAMS, QUERIES, UNIGRAMS, VIDEO, documents
 from threadlens.operators.keywords import tfidf_keywords
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -65,3 +65,11 @@ def test_streams_read_tables_that_are_folders(spark, connection, tmp_path, name)
     """Tables of several files are folders: a stream must find their rows too."""
     spark.read.parquet(f"{FOLDER}/documents.parquet").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
     assert compare(spark, connection, str(tmp_path), name, queries()[name], oracle_sql()[name]) is None
+
+
+def test_ngrams_take_one_pass_over_the_texts(spark):
+    """Cleaning and taking words out are most of the work of keywords of n-grams, so they run once."""
+    rows = tfidf_keywords(documents(spark, FOLDER), VIDEO, BIGRAMS)
+    rows.collect()
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and plan.count("regexp_extract_all") == 1

@@ -150,3 +150,45 @@ def test_composing_holds_few_texts_as_python_strings():
     tracemalloc.stop()
     assert len(composed) == 2000 and composed[0].as_py() == "\xe9" + "x" * 10_000 and composed[1].as_py() is None
     assert peak < 8_000_000
+
+
+@pytest.mark.parametrize("slice_chars", [1, 40, 1 << 24])
+def test_counts_of_a_batch_add_up_whatever_its_slices(slice_chars):
+    import pyarrow as pa
+
+    from threadlens.functions.counts import WEIGHT_BITS, count_batches
+
+    draw = random.Random(3)
+    texts = [draw.choices(["Red", "fox", "owl", "12", "the", "coooool"], k=draw.randint(0, 7)) for _ in range(60)]
+    videos = [draw.choice(["a", "b", None]) for _ in texts]
+    runs = [[" ".join(t[:2]), " ".join(t[2:])] if len(t) > 2 else [" ".join(t)] * bool(t) for t in texts]
+    arrivals = [draw.choice([None, *range(60)]) for _ in texts]
+    types = [pa.string(), pa.list_(pa.string()), pa.bool_(), pa.int64()]
+    columns = [pa.array(c, t) for c, t in zip((videos, runs, [not t for t in texts], arrivals), types)]
+    batch = pa.RecordBatch.from_arrays(columns, names=["video_id", "_runs", "_blank", "_arrival"])
+    names = ["docs", "blank", "df", "n", "w2", "w1", "w0"]
+    whole = {}
+    for out in count_batches([batch], 1, KeywordConfig(ngram_range=(1, 3)), names, slice_chars=slice_chars):
+        for row in out.to_pylist():
+            key = row["video_id"], row["token"]
+            sums, seen = whole.setdefault(key, ([0] * 7, []))
+            whole[key] = [a + row[n] for a, n in zip(sums, names)], [*seen, (row["first_arrival"], row["first_position"])]
+
+    expected = {}
+    for video, text, arrival in zip(videos, texts, arrivals):
+        words = [{"Red": "red", "coooool": "cool"}.get(w, w) for w in text if w not in ("12", "the")]
+        grams = [" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)]
+        unit = (1 << WEIGHT_BITS) // max(len(grams), 1)
+        limbs = [unit >> 40, unit >> 20 & 0xFFFFF, unit & 0xFFFFF]
+        add = {None: [1, not text, bool(grams), 0, 0, 0, 0]}
+        add |= {g: [0, 0, 1, grams.count(g), *[grams.count(g) * limb for limb in limbs]] for g in grams}
+        for token, counts in add.items():
+            sums, seen = expected.setdefault((video, token), ([0] * 7, []))
+            expected[video, token] = [a + b for a, b in zip(sums, counts)], seen
+            if token and arrival is not None:
+                seen.append((arrival, grams.index(token)))
+    assert {k: v[0] for k, v in whole.items()} == {k: v[0] for k, v in expected.items()}
+    for key, (_, seen) in whole.items():
+        known = [s for s in seen if s[0] is not None]
+        assert (min(known)[0] if known else None) == min((s[0] for s in expected[key][1]), default=None)
+        assert all(s in expected[key][1] for s in known)

@@ -10,33 +10,31 @@ row per map task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import replace
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadlens.config import TokenRules
-from threadlens.functions.stem import stem, stem_tokens
-from threadlens.functions.text import is_blank, ngram_size, word_tokens
-
-# Term-frequency weights are summed as integers in units of 2**-60. Integer sums do
-# not depend on the order of the rows, so scores never depend on the partitioning.
-# Three limbs of 20 bits keep each sum inside a BIGINT for up to 2**42 occurrences.
-WEIGHT_BITS = 60
-LIMB_BITS = 20
-LIMB_MASK = (1 << LIMB_BITS) - 1
+from threadlens.functions.counts import LIMB_BITS, LIMB_MASK, WEIGHT_BITS, count_batches
+from threadlens.functions.stem import stem, stem_word
+from threadlens.functions.text import is_blank, ngram_size, word_runs, word_tokens
 
 # Size of the filter of ``supported_stats`` (1 MB): enough for about a million frequent words of all grains.
 SUPPORT_BITS = 1 << 23
 
 
+def normalizer(rules: TokenRules) -> Callable[[str], str] | None:
+    """What the rules make of each filtered token; None leaves tokens as they are."""
+    return stem_word if rules.normalization == "stem_en" else None
+
+
 def document_tokens(comments: DataFrame, rules: TokenRules, text: str = "text_clean") -> DataFrame:
     """Adds ``tokens ARRAY<STRING>``: filtered, normalised, in reading order."""
-    tokens = word_tokens(F.col(text), rules)
-    if rules.normalization == "stem_en":
-        tokens = stem_tokens(tokens)
-    return comments.withColumn("tokens", tokens)
+    return comments.withColumn("tokens", word_tokens(F.col(text), rules, normalizer(rules)))
 
 
 def document_features(comments: DataFrame, rules: TokenRules, text: str = "text_clean") -> DataFrame:
@@ -83,8 +81,41 @@ def feature_stats(
     With ``arrival`` (a BIGINT that orders the comments of a grain) two more columns
     say where the token was seen first: ``first_arrival`` and ``first_position``.
     """
-    docs = document_features(comments, rules, text).withColumn("_length", F.size("features"))
-    return _count_features(docs, list(grain), text, arrival, weights)
+    keys = list(grain)
+    names = ["docs", "blank", "df", "n", *(["w2", "w1", "w0"] if weights else [])]
+    rows = _counted_batches(comments, keys, rules, text, names, arrival)
+    sums = {name: F.sum(name) for name in names}
+    if arrival:
+        sums["first_arrival"] = F.min("first_arrival")
+        sums["first_position"] = F.min_by("first_position", "first_arrival")
+    return _summed_once(rows, keys, sums)
+
+
+def feature_pairs(comments: DataFrame, grain: Sequence[str], rules: TokenRules, text: str = "text_clean") -> DataFrame:
+    """(grain, token), no pair twice from one batch of comments, but again from others. Also for streams."""
+    return _counted_batches(comments, list(grain), rules, text, [], None)
+
+
+def _counted_batches(
+    comments: DataFrame, keys: list[str], rules: TokenRules, text: str, names: list[str], arrival: str | None
+) -> DataFrame:
+    """The counts ``names`` of ``feature_stats``, summed within each Arrow batch; without names the (grain, token) pairs.
+
+    An occurrence is a few bytes of an array there, and a row of strings only once per batch, grain and feature."""
+    first = ["first_arrival", "first_position"] if arrival else []
+    rows = comments.select(
+        *keys,
+        word_runs(F.col(text), rules).alias("_runs"),
+        is_blank(F.col(text)).alias("_blank"),
+        *([F.col(arrival).cast("bigint").alias("_arrival")] if arrival else []),
+    )
+    fields = [T.StructField(name, T.LongType()) for name in names + first]
+    schema = T.StructType([*comments.select(*keys).schema.fields, T.StructField("token", T.StringType()), *fields])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return count_batches(batches, len(keys), rules, names, normalizer(rules))
+
+    return rows.mapInArrow(count, schema)
 
 
 def supported_stats(

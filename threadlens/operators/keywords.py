@@ -13,7 +13,6 @@ from threadlens.operators.corpus import Corpus
 from threadlens.operators.features import (
     feature_stats,
     grain_totals,
-    supported_stats,
     term_frequency_sum,
     token_rows,
 )
@@ -75,10 +74,9 @@ def _fits_ngram_df(df: Column, config: KeywordConfig) -> Column:
 def keyword_stats(
     comments: DataFrame, grain: Sequence[str], config: KeywordConfig, text: str = "text_clean"
 ) -> DataFrame:
-    """The feature counts that local keywords of these grains are scored from. N-grams that the df rules drop
-    whatever their count are not formed (see ``supported_stats``), so the counts serve no other grain and no corpus."""
-    support = max(config.min_ngram_df, config.min_df if isinstance(config.min_df, int) else 1)
-    return supported_stats(comments, grain, config, support, text)
+    """The feature counts that local keywords of these grains are scored from. Counted in one pass: leaving out n-grams
+    without support first (``supported_stats``) takes a second one over the texts, which costs more than it saves."""
+    return feature_stats(comments, grain, config, text)
 
 
 def scored_features(
