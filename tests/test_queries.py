@@ -12,6 +12,7 @@ from threadlens.functions.stem import IRREGULAR, KEPT_AFTER_PLURAL, stem_word
 from oracle_check import compare, duck
 from threadlens.plans.job_queries import JOB_QUERIES
 from threadlens.plans.table_queries import BIGRAMS, QUERIES, UNIGRAMS, VIDEO, documents
+from threadlens.operators.corpus import corpus_df
 from threadlens.operators.keywords import tfidf_keywords
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -73,3 +74,13 @@ def test_ngrams_take_one_pass_over_the_texts(spark):
     rows.collect()
     plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan") == 1 and plan.count("regexp_extract_all") == 1
+
+
+def test_pairs_of_the_corpus_leave_a_batch_once(spark):
+    """Rows that reach the shuffle are distinct within a batch, whatever number of its comments hold the feature."""
+    texts = ["red fox", "red fox red fox", "blue red fox"] * 50
+    rows = spark.createDataFrame([("v", t) for t in texts], "video_id STRING, text_clean STRING").coalesce(1)
+    corpus = corpus_df(rows, BIGRAMS)
+    assert sorted(map(tuple, corpus.collect())) == [(t, 1) for t in ("blue", "blue red", "fox", "fox red", "red", "red fox")]
+    plan = corpus._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and "Generate" not in plan

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.config import CORPUS_VERSION, KeywordConfig, corpus_config_hash
-from threadlens.operators.features import document_features, token_rows
+from threadlens.operators.features import feature_pairs, token_rows
 
 
 @dataclass(frozen=True)
@@ -42,9 +42,8 @@ class Corpus:
 def video_features(
     comments: DataFrame, config: KeywordConfig, video: str = "video_id", text: str = "text_clean"
 ) -> DataFrame:
-    """Distinct (video, feature) pairs; repeats inside a comment go before the explode."""
-    features = document_features(comments, config, text)
-    return features.select(video, F.explode(F.array_distinct("features")).alias("token")).distinct()
+    """Distinct (video, feature) pairs; repeats inside a batch of comments go before the shuffle."""
+    return feature_pairs(comments, [video], config, text).distinct()
 
 
 def corpus_df(
