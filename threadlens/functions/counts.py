@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -19,9 +20,13 @@ LIMB_BITS = 20
 LIMB_MASK = (1 << LIMB_BITS) - 1
 
 # Characters whose words are counted at a time, which bounds the arrays of a task, and rows that leave at a time.
-SLICE_CHARS = 1 << 24
+SLICE_CHARS = 1 << 23
 SLICE_ROWS = 1 << 17
 
+# Groups that features are dealt to for their sums, far more than tasks; a group is summed in one step.
+BUCKETS = 1 << 11
+BUCKET = "_bucket"
+
 
 def count_batches(
     batches: Iterator[pa.RecordBatch],
@@ -30,17 +35,46 @@ def count_batches(
     names: list[str],
     finish: Callable[[str], str] | None = None,
     slice_chars: int = SLICE_CHARS,
+    dealt: bool = False,
 ) -> Iterator[pa.RecordBatch]:
     """Per batch the counts of ``operators.features.feature_stats`` by the first ``keys`` columns and token.
 
     After the keys come ``_runs`` (see ``word_runs``), ``_blank`` and, if wanted, ``_arrival``. Without ``names`` the rows
     are the distinct (keys, token).
+
+    Dealt, the rows of a slice leave as lists, one row for each of ``BUCKETS`` that its tokens fall into.
     """
     for batch in batches:
         for part in _slices(batch, keys, slice_chars):
-            for counted in _count(part, keys, rules, names, finish):
-                for start in range(0, len(counted), SLICE_ROWS):
-                    yield counted.slice(start, SLICE_ROWS)
+            counted = _count(part, keys, rules, names, finish, dealt)
+            for rows in _dealt(list(counted)) if dealt else counted:
+                for start in range(0, len(rows), SLICE_ROWS):
+                    yield rows.slice(start, SLICE_ROWS)
+
+
+def _dealt(counted: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per bucket: its number and a list of each column of its rows."""
+    if not counted:
+        return
+    rows = pa.Table.from_batches(counted).combine_chunks()
+    number = rows.column(BUCKET).to_numpy()
+    order = np.argsort(number, kind="stable")
+    buckets, starts = np.unique(number[order], return_index=True)
+    borders, order = pa.array(np.append(starts, len(order)).astype("int32")), pa.array(order)
+    lists = {
+        name: pa.ListArray.from_arrays(borders, pa.concat_arrays(rows.column(name).take(order).chunks))
+        for name in rows.column_names
+        if name != BUCKET
+    }
+    yield pa.RecordBatch.from_pydict({BUCKET: pa.array(buckets, pa.int32())} | lists)
+
+
+def spread(dealt: pa.Table, keys: Sequence[str]) -> pa.Table:
+    """(token, number of the grains it is in) of a bucket's rows."""
+    opened = pa.table({name: pc.list_flatten(dealt.column(name)) for name in (*keys, "token")})
+    pairs = opened.group_by([*keys, "token"], use_threads=False).aggregate([])
+    counted = pairs.group_by("token", use_threads=False).aggregate([([], "count_all")])
+    return pa.table({"token": counted.column("token"), "df": counted.column("count_all")})
 
 
 def _slices(batch: pa.RecordBatch, keys: int, slice_chars: int) -> Iterator[pa.RecordBatch]:
@@ -64,7 +98,12 @@ def _grains(columns: list[pa.Array], rows: int) -> tuple[np.ndarray, np.ndarray]
 
 
 def _count(
-    batch: pa.RecordBatch, keys: int, rules: TokenRules, names: list[str], finish: Callable[[str], str] | None
+    batch: pa.RecordBatch,
+    keys: int,
+    rules: TokenRules,
+    names: list[str],
+    finish: Callable[[str], str] | None,
+    dealt: bool,
 ) -> Iterator[pa.RecordBatch]:
     grain, _ = _grains(batch.columns[:keys], len(batch))
     # Comments in order of grain and arrival: those of a grain are neighbours, and the first one is the one seen first.
@@ -83,12 +122,17 @@ def _count(
     length = sum(of_size.values())
     unit = (1 << WEIGHT_BITS) // np.maximum(length, 1)
 
-    def rows_of(of: np.ndarray, token: pa.Array, counts: dict, first: tuple | None) -> pa.RecordBatch:
+    # Hashes of strings, so that a token has one bucket whatever slice it is counted in.
+    word_hash = np.array([crc32(word.encode()) for word in words.to_pylist()], "uint64") if dealt else None
+
+    def rows_of(of: np.ndarray, token: pa.Array, counts: dict, first: tuple | None, bucket: pa.Array | None = None) -> pa.RecordBatch:
         columns = {f: c.take(pa.array(one[of])) for f, c in zip(batch.schema.names[:keys], batch.columns[:keys])}
         columns["token"] = token
         columns |= {n: pa.array(np.broadcast_to(counts.get(n, 0), len(of)).astype("int64")) for n in names}
         if arrival is not None:
             columns |= dict(zip(("first_arrival", "first_position"), first))
+        if bucket is not None:
+            columns[BUCKET] = bucket
         return pa.RecordBatch.from_pydict(columns)
 
     if names:
@@ -117,7 +161,7 @@ def _count(
         group = np.flatnonzero(new)
         if n >= smallest:
             head = place[group]
-            token = words.take(pa.array(code[head]))
+            token, bucket = words.take(pa.array(code[head])), None
             for k in range(1, n):
                 token = pc.binary_join_element_wise(token, words.take(pa.array(code[head + k])), " ")
             counts, first = {}, None
@@ -134,7 +178,13 @@ def _count(
                 position = head - starts[doc[group]] + shorter[doc[group]]
                 seen = arrival.take(pa.array(doc[group]))
                 first = seen, pc.if_else(pc.is_valid(seen), pa.array(position.astype("int64")), None)
-            yield rows_of(grain[doc[group]], token, counts, first)
+            if dealt:
+                mixed = word_hash[code[head]]
+                for k in range(1, n):
+                    mixed = mixed * np.uint64(0x01000193) + word_hash[code[head + k]]
+                mixed = mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
+                bucket = pa.array((mixed % np.uint64(BUCKETS)).astype("int32"))
+            yield rows_of(grain[doc[group]], token, counts, first, bucket)
         if n < largest:
             gram = np.empty(len(order), "int64")
             gram[order] = np.cumsum(new_gram) - 1

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlens.config import CORPUS_VERSION, KeywordConfig, corpus_config_hash
-from threadlens.operators.features import feature_pairs, token_rows
+from threadlens.operators.features import feature_spread, token_rows
 
 
 @dataclass(frozen=True)
@@ -39,19 +39,11 @@ class Corpus:
         return replace(self, tokens=tokens)
 
 
-def video_features(
-    comments: DataFrame, config: KeywordConfig, video: str = "video_id", text: str = "text_clean"
-) -> DataFrame:
-    """Distinct (video, feature) pairs; repeats inside a batch of comments go before the shuffle."""
-    return feature_pairs(comments, [video], config, text).distinct()
-
-
 def corpus_df(
     comments: DataFrame, config: KeywordConfig, video: str = "video_id", text: str = "text_clean"
 ) -> DataFrame:
     """(token, df_videos) over all videos; every feature is kept."""
-    pairs = video_features(comments, config, video, text)
-    return pairs.groupBy("token").agg(F.count("*").alias("df_videos"))
+    return feature_spread(comments, [video], config, text).withColumnRenamed("df", "df_videos")
 
 
 def corpus_order() -> list[Column]:

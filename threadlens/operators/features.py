@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.config import TokenRules
-from threadlens.functions.counts import LIMB_BITS, LIMB_MASK, WEIGHT_BITS, count_batches
+from threadlens.functions.counts import BUCKET, LIMB_BITS, LIMB_MASK, WEIGHT_BITS, count_batches, spread
 from threadlens.functions.stem import stem, stem_word
 from threadlens.functions.text import is_blank, ngram_size, word_runs, word_tokens
 
@@ -91,29 +91,49 @@ def feature_stats(
     return _summed_once(rows, keys, sums)
 
 
+def feature_spread(
+    comments: DataFrame, grain: Sequence[str], rules: TokenRules, text: str = "text_clean"
+) -> DataFrame:
+    """(token, df): in how many grains a feature occurs."""
+    keys = list(grain)
+    rows = _counted_batches(comments, keys, rules, text, [], None, dealt=True)
+    return rows.groupBy(BUCKET).applyInArrow(lambda dealt: spread(dealt, keys), "token STRING, df BIGINT")
+
+
 def feature_pairs(comments: DataFrame, grain: Sequence[str], rules: TokenRules, text: str = "text_clean") -> DataFrame:
     """(grain, token), no pair twice from one batch of comments, but again from others. Also for streams."""
     return _counted_batches(comments, list(grain), rules, text, [], None)
 
 
 def _counted_batches(
-    comments: DataFrame, keys: list[str], rules: TokenRules, text: str, names: list[str], arrival: str | None
+    comments: DataFrame,
+    keys: list[str],
+    rules: TokenRules,
+    text: str,
+    names: list[str],
+    arrival: str | None,
+    dealt: bool = False,
 ) -> DataFrame:
     """The counts ``names`` of ``feature_stats``, summed within each Arrow batch; without names the (grain, token) pairs.
 
-    An occurrence is a few bytes of an array there, and a row of strings only once per batch, grain and feature."""
-    first = ["first_arrival", "first_position"] if arrival else []
+    An occurrence is a few bytes of an array there, and a string only once per batch, grain and feature. Dealt, the features
+    of a batch are lists, one row per bucket: Spark shuffles some thousand rows of a batch instead of millions.
+    """
     rows = comments.select(
         *keys,
         word_runs(F.col(text), rules).alias("_runs"),
         is_blank(F.col(text)).alias("_blank"),
         *([F.col(arrival).cast("bigint").alias("_arrival")] if arrival else []),
     )
-    fields = [T.StructField(name, T.LongType()) for name in names + first]
-    schema = T.StructType([*comments.select(*keys).schema.fields, T.StructField("token", T.StringType()), *fields])
+    counts = names + (["first_arrival", "first_position"] if arrival else [])
+    fields = [T.StructField("token", T.StringType()), *[T.StructField(name, T.LongType()) for name in counts]]
+    schema = T.StructType([*comments.select(*keys).schema.fields, *fields])
+    if dealt:
+        lists = [T.StructField(field.name, T.ArrayType(field.dataType)) for field in schema.fields]
+        schema = T.StructType([T.StructField(BUCKET, T.IntegerType()), *lists])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return count_batches(batches, len(keys), rules, names, normalizer(rules))
+        return count_batches(batches, len(keys), rules, names, normalizer(rules), dealt=dealt)
 
     return rows.mapInArrow(count, schema)
 
@@ -227,6 +247,12 @@ def _summed_once(rows: DataFrame, keys: list[str], sums: dict[str, Column]) -> D
     return grouped.select(F.inline_outer("_row"))
 
 
+def dealt_once(stats: DataFrame, grain: Sequence[str]) -> DataFrame:
+    """Counts that are shuffled once more, so that all consumers read what is left of them instead of each summing them."""
+    row = F.array(F.struct(*stats.columns))
+    return stats.repartition(*grain, "token").select(F.inline_outer(row))
+
+
 def _sorted_with_marker(features: str, with_position: bool) -> Column:
     """Features sorted, so equal ones are neighbours, behind a NULL that stands for the row."""
     if not with_position:
