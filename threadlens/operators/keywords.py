@@ -11,6 +11,7 @@ from threadlens.config import CORPUS_KEYWORDS_VERSION, LOCAL_KEYWORDS_VERSION, K
 from threadlens.functions.text import ngram_size
 from threadlens.operators.corpus import Corpus
 from threadlens.operators.features import (
+    dealt_once,
     feature_stats,
     grain_totals,
     term_frequency_sum,
@@ -74,9 +75,13 @@ def _fits_ngram_df(df: Column, config: KeywordConfig) -> Column:
 def keyword_stats(
     comments: DataFrame, grain: Sequence[str], config: KeywordConfig, text: str = "text_clean"
 ) -> DataFrame:
-    """The feature counts that local keywords of these grains are scored from. Counted in one pass: leaving out n-grams
-    without support first (``supported_stats``) takes a second one over the texts, which costs more than it saves."""
-    return feature_stats(comments, grain, config, text)
+    """The feature counts that local keywords of these grains are scored from. Features that the df rules drop whatever the
+    totals leave at once, so the counts serve no other grain and no corpus. One pass: leaving out n-grams without support
+    before they are counted (``supported_stats``) takes a second one, which costs more than it saves."""
+    lowest = config.min_df if isinstance(config.min_df, int) else 1
+    df = F.col("df")
+    kept = (F.col("docs") > 0) | ((df >= lowest) & _fits_ngram_df(df, config))
+    return dealt_once(feature_stats(comments, grain, config, text).where(kept), grain)
 
 
 def scored_features(
