@@ -22,7 +22,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from threadlens.config import KeywordConfig, TokenRules
 from threadlens.operators.cleaning import clean_comments
 from threadlens.operators.corpus import corpus_df_of
-from threadlens.operators.features import document_features, feature_stats, roll_up
+from threadlens.operators.features import feature_pairs, feature_stats, roll_up
 from threadlens.schemas import CHANNEL_RUN, CLEAN_COMMENT, RAW_COMMENT
 from threadlens.sources import parts
 from threadlens.sources.comments import parse_raw_lines
@@ -162,8 +162,7 @@ def write_df_table(
     before and overwrites its part. Comments that are delivered again change nothing. ``after`` is called with the number of every
     part once it is written.
     """
-    features = document_features(comments, config, text)
-    pairs = features.select(F.col(video).alias("video_id"), F.explode(F.array_distinct("features")).alias("token"))
+    pairs = feature_pairs(comments, [video], config, text).withColumnRenamed(video, "video_id")
 
     def add_part(batch: DataFrame, batch_id: int) -> None:
         parts.write_part(batch.groupBy("token").agg(F.count("*").alias("df_videos")), path, batch_id)
