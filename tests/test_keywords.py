@@ -21,10 +21,14 @@ from threadlens.config import (
 )
 from threadlens.operators.corpus import Corpus, build_corpus, corpus_df
 from threadlens.operators.distinctive import distinctive_keywords
-from threadlens.operators.features import feature_stats, roll_up, supported_stats
+from threadlens.functions import counts
+from threadlens.operators.features import feature_stats, frequent_stats, roll_up, supported_stats
 from threadlens.operators.keywords import (
     df_band,
+    has_sentiment,
+    keyword_stats,
     keyword_summary,
+    rounded_score,
     scored_features,
     tfidf_keywords,
     top_keywords,
@@ -355,3 +359,59 @@ def test_the_features_of_one_grain_meet_its_totals_in_many_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+ODD = [
+    ("v", "red fox red fox"), ("v", "red fox"), ("v", "the red-fox; ümlaut's fox"), ("v", None), ("v", "  "), (None, "red fox"),
+    (None, "red fox fox"), ("", "fox"), ("w", "..."), ("x", "don't 12 haha hahahaha fooool fox"), ("x", "don't fox\tfox\nfox"),
+]
+
+
+@pytest.mark.parametrize("lowest, lowest_ngram", [(1, 1), (2, 2), (2, 3), (3, 1)])
+def test_packed_counts_are_feature_stats(spark, lowest, lowest_ngram):
+    rows = spark.createDataFrame(ODD * 2 + [("v", "once only")], "video_id STRING, text_clean STRING").repartition(5)
+    config = KeywordConfig(ngram_range=(1, 3))
+    enough = F.col("df") >= F.when(F.col("token").contains(" "), max(lowest, lowest_ngram)).otherwise(lowest)
+    expected = feature_stats(rows, ["video_id"], config).where((F.col("docs") > 0) | enough)
+    got = frequent_stats(rows, ["video_id"], config, lowest, lowest_ngram)
+    assert Counter(map(tuple, got.collect())) == Counter(map(tuple, expected.collect()))
+
+
+def test_packed_counts_of_small_slices_and_merges(spark):
+    """The same sums however often a batch is cut and however few buckets are summed at a time."""
+    import pyarrow as pa
+
+    texts = [f"word{i % 3} word{i % 5} word{i % 7}" for i in range(60)]
+    columns = {"k": ["a", None, "b"] * 20, "_hash": [1, 2, 3] * 20, "_runs": [[t] for t in texts], "_blank": [False] * 60}
+    batch = pa.RecordBatch.from_pydict(columns)
+    names, config, found = ["docs", "blank", "df", "n", "w2", "w1", "w0"], KeywordConfig(ngram_range=(1, 2)), []
+    for chars, merged in ((1 << 23, 1 << 24), (40, 1 << 24), (40, 1)):
+        packed = pa.Table.from_batches(list(counts.packed_batches([batch], 1, config, names, slice_chars=chars))).sort_by(counts.BUCKET)
+        sums = counts.merge_batches(packed.to_batches(max_chunksize=7), ["k"], names, merge_bytes=merged)
+        found.append(Counter(tuple(row.values()) for part in sums for row in part.to_pylist()))
+    assert found[0] == found[1] == found[2] and max(found[0].values()) == 1
+    assert sum(row[2] for row in found[0] if row[1] is None) == 60
+
+
+def test_rare_features_are_never_rows(spark):
+    """Most features are in one document only: they are counted and dropped in Arrow, without an aggregation of Spark's rows."""
+    rows = spark.createDataFrame(ODD, "video_id STRING, text_clean STRING")
+    stats = keyword_stats(rows, ["video_id"], KeywordConfig(ngram_range=(1, 2)))
+    assert "Aggregate" not in stats._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.token for r in stats.collect()} == {None, "red", "fox", "red fox", "don't"}
+
+
+def test_rounded_score_is_round(spark):
+    chance = random.Random(1)
+    values = [chance.random() * 10.0 ** chance.randint(-13, 4) for _ in range(20_000)]
+    values += [n * 1e-12 + d for n in (0, 1, 7, 123456789012) for d in (0, 4.9e-13, 5e-13, 5.1e-13)]
+    values += [0.0, -0.0, -1.5e-12, -0.3, 1e300, 2.0**45 / 1e12, float("inf"), float("nan"), None]
+    rows = spark.createDataFrame([(v,) for v in values], "score DOUBLE")
+    same = rounded_score(F.col("score")).eqNullSafe(F.round("score", 12))
+    assert rows.where(~same).collect() == []
+
+
+def test_sentiment_words_are_whole_words(spark):
+    words = ["best", "bestow", "a best", "best a", "the bestow", "topic top", "top's", "", None, "x y love", "glove"]
+    rows = spark.createDataFrame([(w,) for w in words], "token STRING")
+    assert [r[0] for r in rows.coalesce(1).where(has_sentiment(F.col("token"))).collect()] == ["best", "a best", "best a", "topic top", "x y love"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
@@ -27,6 +28,10 @@ SLICE_ROWS = 1 << 17
 BUCKETS = 1 << 11
 BUCKET = "_bucket"
 
+# Columns of packed rows (see ``packed_batches``), and the bytes of them that are summed at a time; a bucket stays whole.
+RUN_SIZES, CHARS, SIZES, LENGTHS = "_run_sizes", "_chars", "_sizes", "_lengths"
+MERGE_BYTES = 1 << 24
+
 
 def count_batches(
     batches: Iterator[pa.RecordBatch],
@@ -46,12 +51,192 @@ def count_batches(
     """
     for batch in batches:
         for part in _slices(batch, keys, slice_chars):
-            counted = _count(part, keys, rules, names, finish, dealt)
+            counted = _rows(part, keys, rules, names, finish, dealt)
             for rows in _dealt(list(counted)) if dealt else counted:
                 for start in range(0, len(rows), SLICE_ROWS):
                     yield rows.slice(start, SLICE_ROWS)
 
 
+def packed_batches(
+    batches: Iterator[pa.RecordBatch],
+    keys: int,
+    rules: TokenRules,
+    names: list[str],
+    finish: Callable[[str], str] | None = None,
+    slice_chars: int = SLICE_CHARS,
+) -> Iterator[pa.RecordBatch]:
+    """The counts of ``count_batches`` as some thousand rows of bytes per slice, which Spark moves without opening them.
+
+    After the keys comes a hash of them. A row holds what falls into one of ``BUCKETS``, dealt by keys and token, in runs of equal
+    keys: keys and size of each run, the tokens one behind the other with their sizes (-1 is NULL), and their counts. Most features
+    occur once in a slice: they have rows of their own, where the number of features of their comment stands for all counts.
+    """
+    for batch in batches:
+        fields = batch.schema.names[:keys]
+        for part in _slices(batch, keys + 1, slice_chars):
+            grains, counted = _count(part, keys + 1, rules, names, finish, True)
+            hashes = grains.pop().to_numpy().view("uint64")
+            for x in counted:
+                bucket = _bucket(x.mixed ^ hashes[x.grain]).astype("int64")
+                once = x.counts.get("n", np.zeros(len(bucket))) == 1
+                zeros = np.zeros(len(bucket), "int64")
+                for some, columns in (
+                    (once, {LENGTHS: x.lengths.astype("int32")} | dict.fromkeys(names)),
+                    (~once, {LENGTHS: None} | {n: x.counts.get(n, zeros) for n in names}),
+                ):
+                    if some.any():
+                        columns = {n: None if values is None else values[some] for n, values in columns.items()}
+                        yield _packed(fields, grains, x.grain[some], x.token.filter(pa.array(some)), bucket[some], columns)
+
+
+def _bucket(mixed: np.ndarray) -> np.ndarray:
+    return (mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(BUCKETS)
+
+
+def _packed(
+    fields: list[str],
+    grains: list[pa.Array],
+    grain: np.ndarray,
+    token: pa.Array,
+    bucket: np.ndarray,
+    columns: dict[str, np.ndarray | None],
+) -> pa.RecordBatch:
+    order, run, head = _runs(bucket, grain)
+    rows = np.append(run[head], len(order))
+    runs = np.append(head, len(run))
+    token, grain = token.take(pa.array(order)), grain[order]
+    packed = {BUCKET: pa.array(bucket[order][rows[:-1]].astype("int32"))}
+    for field, values in zip(fields, grains):
+        packed[field] = pa.ListArray.from_arrays(pa.array(runs.astype("int32")), values.take(pa.array(grain[run])))
+    packed[RUN_SIZES] = _bytes(np.diff(np.append(run, len(order))).astype("int32"), runs)
+    packed |= _token_bytes(token, rows)
+    for name, values in columns.items():
+        packed[name] = pa.array([b""] * len(head)) if values is None else _bytes(values[order], rows)
+    return pa.RecordBatch.from_pydict(packed)
+
+
+def _runs(bucket: np.ndarray, grain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by bucket and grain, first row of each run that is equal in both, first run of each bucket)."""
+    place = bucket * (int(grain.max(initial=0)) + 1) + grain
+    order = _order(place)
+    run = np.flatnonzero(np.diff(place[order], prepend=-1) != 0)
+    return order, run, np.flatnonzero(np.diff(bucket[order][run], prepend=-1) != 0)
+
+
+def _order(values: np.ndarray) -> np.ndarray:
+    """Stable order of numbers from 0 on. Sorting them together with their places is some times faster than an argsort."""
+    bits = len(values).bit_length()
+    if int(values.max(initial=0)).bit_length() + bits > 62:
+        return np.argsort(values, kind="stable")
+    return np.sort(values << bits | np.arange(len(values))) & ((1 << bits) - 1)
+
+
+def _bytes(values: np.ndarray, borders: np.ndarray) -> pa.Array:
+    """The values between borders as they lie in memory."""
+    offsets = (borders * values.itemsize).astype("int32")
+    return pa.Array.from_buffers(pa.binary(), len(borders) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _token_bytes(token: pa.Array, borders: np.ndarray) -> dict[str, pa.Array]:
+    _, offsets, chars = token.buffers()
+    offsets = np.frombuffer(offsets, "int32", len(token) + 1, token.offset * 4)
+    sizes = np.where(token.is_valid().to_numpy(zero_copy_only=False), np.diff(offsets), -1).astype("int32")
+    chars = np.frombuffer(chars or b"", "uint8")[offsets[0] : offsets[-1]]
+    return {CHARS: _bytes(chars, offsets[borders] - offsets[0]), SIZES: _bytes(sizes, borders)}
+
+
+def _values(packed: pa.Table, name: str, kind: str) -> np.ndarray:
+    """All values that ``_bytes`` has put into a column."""
+    found = [np.empty(0, kind)]
+    for chunk in packed.column(name).chunks:
+        if len(chunk):
+            _, offsets, data = chunk.buffers()
+            offsets = np.frombuffer(offsets, "int32", len(chunk) + 1, chunk.offset * 4)
+            found.append(np.frombuffer(data or b"", "uint8")[offsets[0] : offsets[-1]].view(kind))
+    return np.concatenate(found)
+
+
+def _tokens(packed: pa.Table) -> pa.LargeStringArray:
+    sizes = _values(packed, SIZES, "int32")
+    offsets = np.concatenate(([0], np.cumsum(np.maximum(sizes, 0), dtype="int64")))
+    valid = np.packbits(sizes >= 0, bitorder="little")
+    buffers = (pa.py_buffer(x) for x in (offsets, _values(packed, CHARS, "uint8"), valid))
+    return pa.LargeStringArray.from_buffers(len(sizes), *buffers)
+
+
+def merge_batches(
+    batches: Iterator[pa.RecordBatch],
+    keys: Sequence[str],
+    names: list[str],
+    lowest: int = 0,
+    lowest_ngram: int = 0,
+    merge_bytes: int = MERGE_BYTES,
+) -> Iterator[pa.RecordBatch]:
+    """The sums of packed rows by keys and token, without tokens of a ``df`` below ``lowest`` or, for more than one word,
+    ``lowest_ngram``. The rows come in order of their bucket."""
+    for held in _whole_buckets(batches, merge_bytes):
+        rows = _merged(pa.Table.from_batches(held), keys, names, lowest, lowest_ngram)
+        for start in range(0, len(rows), SLICE_ROWS):
+            yield rows.slice(start, SLICE_ROWS)
+
+
+def _whole_buckets(batches: Iterator[pa.RecordBatch], merge_bytes: int) -> Iterator[list[pa.RecordBatch]]:
+    held, size, last = [], 0, None
+    for batch in batches:
+        if not len(batch):
+            continue
+        number = batch.column(BUCKET).to_numpy()
+        before = np.concatenate(([0], np.cumsum(pc.binary_length(batch.column(CHARS)).to_numpy(), dtype="int64")))
+        begin, borders = 0, np.flatnonzero(np.diff(number) != 0) + 1
+        for border in ([] if number[0] == last else [0]) + borders.tolist():
+            if size + before[border] - before[begin] >= merge_bytes:
+                yield [*held, batch.slice(begin, border - begin)]
+                held, size, begin = [], 0, border
+        held.append(batch.slice(begin))
+        size, last = size + before[-1] - before[begin], number[-1]
+    if held:
+        yield held
+
+
+def _merged(packed: pa.Table, keys: Sequence[str], names: list[str], lowest: int, lowest_ngram: int) -> pa.RecordBatch:
+    run_sizes = _values(packed, RUN_SIZES, "int32")
+    values = [pa.concat_arrays(pc.list_flatten(packed.column(key)).chunks) for key in keys]
+    grain, one = _grains(values, len(run_sizes))
+    tokens = _tokens(packed).dictionary_encode(null_encoding="encode")
+    code = tokens.indices.to_numpy().astype("int64") * len(one) + np.repeat(grain, run_sizes)
+    order = _order(code)
+    first = np.flatnonzero(np.diff(code[order], prepend=-1) != 0)
+
+    # Rows whose counts follow from the number of features of their comment, and all others.
+    of_row = [pc.binary_length(packed.column(name)).to_numpy() for name in (SIZES, LENGTHS)]
+    once = np.repeat(of_row[1] > 0, of_row[0] // 4)
+    unit = (1 << WEIGHT_BITS) // np.maximum(_values(packed, LENGTHS, "int32").astype("int64"), 1)
+    follows = {"docs": 0, "blank": 0, "df": 1, "n": 1, **_limbs(unit)}
+
+    def summed(name: str, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+        counts = np.empty(len(once), "int64")
+        counts[once], counts[~once] = follows[name], _values(packed, name, "int64")
+        return np.add.reduceat(counts[order], first) if len(first) else counts[:0]
+
+    docs, df = summed("docs", order, first), summed("df", order, first)
+    token = tokens.dictionary.take(pa.array(code[order][first] // len(one)))
+    words = df >= lowest_ngram
+    if not words.all():
+        words[~words] = pc.fill_null(pc.equal(pc.count_substring(token.filter(pa.array(~words)), " "), 0), True).to_numpy(zero_copy_only=False)
+    kept = (docs > 0) | ((df >= lowest) & words)
+    sizes = np.diff(np.append(first, len(order)))
+    order, sizes = order[np.repeat(kept, sizes)], sizes[kept]
+    first = np.cumsum(sizes) - sizes
+    held = pa.array(one[code[order][first] % len(one)])
+    columns = {key: value.take(held) for key, value in zip(keys, values)}
+    columns["token"] = token.filter(pa.array(kept)).cast(pa.string())
+    return pa.RecordBatch.from_pydict(columns | {name: pa.array(summed(name, order, first)) for name in names})
+
+
+def _limbs(units: np.ndarray) -> dict[str, np.ndarray]:
+    return {"w0": units & LIMB_MASK, "w1": units >> LIMB_BITS & LIMB_MASK, "w2": units >> 2 * LIMB_BITS}
+
+
 def _dealt(counted: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per bucket: its number and a list of each column of its rows."""
     if not counted:
@@ -97,14 +282,41 @@ def _grains(columns: list[pa.Array], rows: int) -> tuple[np.ndarray, np.ndarray]
     return grain, one
 
 
+class Counted(NamedTuple):
+    """Counts of features: rows (grain, token), and what ``operators.features.feature_stats`` names."""
+
+    grain: np.ndarray
+    token: pa.Array
+    counts: dict[str, np.ndarray]
+    first: tuple[pa.Array, pa.Array] | None
+    mixed: np.ndarray | None  # hash of the token
+    lengths: np.ndarray  # features of the first comment
+
+
+def _rows(
+    batch: pa.RecordBatch, keys: int, rules: TokenRules, names: list[str], finish: Callable[[str], str] | None, dealt: bool
+) -> Iterator[pa.RecordBatch]:
+    grains, counted = _count(batch, keys, rules, names, finish, dealt)
+    for x in counted:
+        columns = {field: values.take(pa.array(x.grain)) for field, values in zip(batch.schema.names[:keys], grains)}
+        columns["token"] = x.token
+        columns |= {n: pa.array(np.broadcast_to(x.counts.get(n, 0), len(x.grain)).astype("int64")) for n in names}
+        if x.first is not None:
+            columns |= dict(zip(("first_arrival", "first_position"), x.first))
+        if dealt:
+            columns[BUCKET] = pa.array(_bucket(x.mixed).astype("int32"))
+        yield pa.RecordBatch.from_pydict(columns)
+
+
 def _count(
     batch: pa.RecordBatch,
     keys: int,
     rules: TokenRules,
     names: list[str],
     finish: Callable[[str], str] | None,
-    dealt: bool,
-) -> Iterator[pa.RecordBatch]:
+    hashed: bool,
+) -> tuple[list[pa.Array], Iterator[Counted]]:
+    """(keys of each grain, counts)."""
     grain, _ = _grains(batch.columns[:keys], len(batch))
     # Comments in order of grain and arrival: those of a grain are neighbours, and the first one is the one seen first.
     order = np.argsort(grain, kind="stable")
@@ -113,6 +325,20 @@ def _count(
         order = by_arrival[np.argsort(grain[by_arrival], kind="stable")]
     batch = batch.take(pa.array(order))
     grain, one = _grains(batch.columns[:keys], len(batch))
+    grains = [column.take(pa.array(one)) for column in batch.columns[:keys]]
+    return grains, _counted(batch, keys, grain, len(one), rules, names, finish, hashed)
+
+
+def _counted(
+    batch: pa.RecordBatch,
+    keys: int,
+    grain: np.ndarray,
+    grains: int,
+    rules: TokenRules,
+    names: list[str],
+    finish: Callable[[str], str] | None,
+    hashed: bool,
+) -> Iterator[Counted]:
     arrival = batch.column(keys + 2) if batch.num_columns > keys + 2 else None
     row, code, words = kept_words(batch.column(keys), rules, finish)
     sizes = np.bincount(row, minlength=len(batch))
@@ -123,25 +349,15 @@ def _count(
     unit = (1 << WEIGHT_BITS) // np.maximum(length, 1)
 
     # Hashes of strings, so that a token has one bucket whatever slice it is counted in.
-    word_hash = np.array([crc32(word.encode()) for word in words.to_pylist()], "uint64") if dealt else None
-
-    def rows_of(of: np.ndarray, token: pa.Array, counts: dict, first: tuple | None, bucket: pa.Array | None = None) -> pa.RecordBatch:
-        columns = {f: c.take(pa.array(one[of])) for f, c in zip(batch.schema.names[:keys], batch.columns[:keys])}
-        columns["token"] = token
-        columns |= {n: pa.array(np.broadcast_to(counts.get(n, 0), len(of)).astype("int64")) for n in names}
-        if arrival is not None:
-            columns |= dict(zip(("first_arrival", "first_position"), first))
-        if bucket is not None:
-            columns[BUCKET] = bucket
-        return pa.RecordBatch.from_pydict(columns)
+    word_hash = np.array([crc32(word.encode()) for word in words.to_pylist()], "uint64") if hashed else None
 
     if names:
-        grains = np.arange(len(one))
         blank = batch.column(keys + 1).to_numpy(zero_copy_only=False)
-        totals = {"docs": np.bincount(grain), "blank": np.bincount(grain[blank], minlength=len(one))}
-        totals["df"] = np.bincount(grain[length > 0], minlength=len(one))
-        unseen = pa.nulls(len(one), pa.int64())
-        yield rows_of(grains, pa.nulls(len(one), pa.string()), totals, (unseen, unseen))
+        totals = {"docs": np.bincount(grain), "blank": np.bincount(grain[blank], minlength=grains)}
+        totals["df"] = np.bincount(grain[length > 0], minlength=grains)
+        unseen = pa.nulls(grains, pa.int64())
+        none = np.zeros(grains, "uint64")
+        yield Counted(np.arange(grains), pa.nulls(grains, pa.string()), totals, None if arrival is None else (unseen, unseen), none, none)
 
     # An n-gram is the (n-1)-gram at the same place plus the word after it, as one number.
     at, gram = np.arange(len(row)), code.astype("int64")
@@ -153,7 +369,7 @@ def _count(
         if not len(at):
             return
         # Stable, so within a feature the comments stay in order: its grains are neighbours, and theirs.
-        order = np.argsort(gram, kind="stable")
+        order = _order(gram)
         place = at[order]
         doc = row[place]
         new_gram = np.diff(gram[order], prepend=-1) != 0
@@ -161,30 +377,34 @@ def _count(
         group = np.flatnonzero(new)
         if n >= smallest:
             head = place[group]
-            token, bucket = words.take(pa.array(code[head])), None
+            token, mixed = words.take(pa.array(code[head])), None
             for k in range(1, n):
                 token = pc.binary_join_element_wise(token, words.take(pa.array(code[head + k])), " ")
             counts, first = {}, None
             if names:
-                counts["df"] = np.add.reduceat((new | (np.diff(doc, prepend=-1) != 0)).astype("int64"), group)
-                counts["n"] = np.diff(group, append=len(place))
-            if "w2" in names:
-                units = unit[doc]
-                for limb, name in enumerate(("w0", "w1", "w2")):
-                    bits = units >> (limb * LIMB_BITS)
-                    counts[name] = np.add.reduceat(bits if name == "w2" else bits & LIMB_MASK, group)
+                size = np.diff(group, append=len(place))
+                counts = {"df": np.ones(len(group), "int64"), "n": size}
+                if "w2" in names:
+                    counts |= _limbs(unit[doc[group]])
+                # Most features occur once; only the rows of others need sums.
+                many = size > 1
+                held, begin = np.repeat(many, size), np.cumsum(size[many]) - size[many]
+                if len(begin):
+                    summed = {"df": (new | (np.diff(doc, prepend=-1) != 0)).astype("int64")[held]}
+                    if "w2" in names:
+                        summed |= _limbs(unit[doc[held]])
+                    for name, values in summed.items():
+                        counts[name][many] = np.add.reduceat(values, begin)
             if arrival is not None:
                 shorter = sum((of_size[k] for k in range(smallest, n)), np.zeros(len(sizes), "int64"))
                 position = head - starts[doc[group]] + shorter[doc[group]]
                 seen = arrival.take(pa.array(doc[group]))
                 first = seen, pc.if_else(pc.is_valid(seen), pa.array(position.astype("int64")), None)
-            if dealt:
+            if hashed:
                 mixed = word_hash[code[head]]
                 for k in range(1, n):
                     mixed = mixed * np.uint64(0x01000193) + word_hash[code[head + k]]
-                mixed = mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)
-                bucket = pa.array((mixed % np.uint64(BUCKETS)).astype("int32"))
-            yield rows_of(grain[doc[group]], token, counts, first, bucket)
+            yield Counted(grain[doc[group]], token, counts, first, mixed, length[doc[group]])
         if n < largest:
             gram = np.empty(len(order), "int64")
             gram[order] = np.cumsum(new_gram) - 1

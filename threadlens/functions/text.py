@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import lru_cache
 from unicodedata import normalize
 
 import numpy as np
@@ -22,6 +23,7 @@ NFKC_SPACES = r"\t-\r\x1c-\x20\x85\x{1680}\x{2028}\x{2029}"
 SPACES = NFKC_SPACES + r"\xa0\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}"
 URL = re.compile(r"https?://\S+|www\.\S+", re.IGNORECASE)
 WORD = "[a-zA-Z0-9_']"
+WORD_BYTES = np.array([bool(re.match(WORD, chr(byte))) for byte in range(256)])
 NUMBER = "[0-9]+"
 LETTER_PAIR_RUN = r"([a-zA-Z]{2})\1{2,}"
 LETTER_RUN_PATTERN = r"([a-zA-Z])\1{2,}"
@@ -31,6 +33,8 @@ LOWERED_TO_ASCII = {"\u0130": "i\u0307", "\u212a": "k"}
 URL_MARK = "<URL>"
 # Texts that are Python strings at a time while they are cleaned.
 COMPOSED_ROWS = 64
+# Words whose token a Python worker remembers from one batch to the next.
+KNOWN_WORDS = 1 << 18
 
 
 def _clean(text: str, mark: str) -> str:
@@ -74,15 +78,16 @@ def is_letter_pair_run(word: Column) -> Column:
 
 
 def word_runs(text: Column, rules: TokenRules) -> Column:
-    """Stretches of word characters and spaces, in reading order; none of a NULL. ``kept_words`` takes them apart: a string
-    per stretch is a fraction of one per word."""
+    """Stretches of ASCII, which all characters of words are, in reading order; none of a NULL. ``kept_words`` takes them apart: a
+    string per stretch is a fraction of one per word."""
     if rules.lowercase:
         for capital, small in LOWERED_TO_ASCII.items():
             text = F.replace(text, F.lit(capital), F.lit(small))
-    runs = F.regexp_extract_all(text, F.lit(f"{WORD[:-1]} ]+"), F.lit(0))
+    runs = F.regexp_extract_all(text, F.lit(r"[\x00-\x7f]+"), F.lit(0))
     return F.coalesce(runs, F.array().cast("array<string>"))
 
 
+@lru_cache(maxsize=8)
 def word_rule(rules: TokenRules) -> Callable[[str], str | None]:
     """The token that a run of word characters stands for, or None: it is too short, one repeated letter pair, a number or
     a stopword. Runs of letters are collapsed first."""
@@ -90,6 +95,7 @@ def word_rule(rules: TokenRules) -> Callable[[str], str | None]:
     dropped = frozenset(stopwords(rules.stopwords_lang)) if rules.drop_stopwords else frozenset()
     shortest = max(rules.min_token_len, 1)
 
+    @lru_cache(maxsize=KNOWN_WORDS)
     def token(run: str) -> str | None:
         word = LETTER_RUN.sub(r"\1\1", run.lower() if rules.lowercase else run)
         return None if len(word) < shortest or word in dropped or noise.fullmatch(word) else word
@@ -105,10 +111,24 @@ def kept_words(
 
     The rules look at each distinct word of a batch once, ``finish`` (a stemmer, say) at each distinct token.
     """
-    stretches = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False)
-    words = pc.split_pattern(runs.flatten(), " ")
-    sizes = pc.list_value_length(words).to_numpy(zero_copy_only=False)
-    encoded = words.flatten().dictionary_encode()
+    flat = runs.flatten()
+    if not len(flat):
+        return np.empty(0, "int32"), np.empty(0, "int32"), pa.array([], pa.string())
+    _, offsets, chars = flat.buffers()
+    offsets = np.frombuffer(offsets, "int32", len(flat) + 1, flat.offset * 4)
+    chars = np.frombuffer(chars or b"", "uint8")[offsets[0] : offsets[-1]]
+    borders = offsets - offsets[0]
+    # A word goes from one of its bytes behind another byte, or first in its stretch, up to the next such or other byte.
+    inside = WORD_BYTES[chars]
+    first, last = inside.copy(), inside.copy()
+    first[1:] &= ~inside[:-1]
+    heads = borders[:-1][borders[:-1] < len(chars)]
+    first[heads] = inside[heads]
+    last[:-1] &= ~inside[1:] | first[1:]
+    starts = np.flatnonzero(first)
+    ends = np.cumsum(np.flatnonzero(last) + 1 - starts)
+    buffers = (pa.py_buffer(x) for x in (np.concatenate(([0], ends)).astype("int32"), chars[inside]))
+    encoded = pa.StringArray.from_buffers(len(starts), *buffers).dictionary_encode()
     rule = word_rule(rules)
     tokens = [rule(word) for word in encoded.dictionary.to_pylist()]
     if finish is not None:
@@ -117,7 +137,9 @@ def kept_words(
     code_of = pc.fill_null(merged.indices, -1).to_numpy(zero_copy_only=False)
     codes = code_of[encoded.indices.to_numpy(zero_copy_only=False)]
     kept = codes >= 0
-    rows = np.repeat(np.repeat(np.arange(len(runs), dtype="int32"), stretches), sizes)
+    stretches = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False)
+    words = np.diff(np.searchsorted(starts, borders[np.concatenate(([0], np.cumsum(stretches)))]))
+    rows = np.repeat(np.arange(len(runs), dtype="int32"), words)
     return rows[kept], codes[kept], merged.dictionary
 
 

@@ -19,7 +19,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlens.config import TokenRules
-from threadlens.functions.counts import BUCKET, LIMB_BITS, LIMB_MASK, WEIGHT_BITS, count_batches, spread
+from threadlens.functions.counts import (
+    BUCKET,
+    CHARS,
+    LENGTHS,
+    LIMB_BITS,
+    LIMB_MASK,
+    RUN_SIZES,
+    SIZES,
+    WEIGHT_BITS,
+    count_batches,
+    merge_batches,
+    packed_batches,
+    spread,
+)
 from threadlens.functions.stem import stem, stem_word
 from threadlens.functions.text import is_blank, ngram_size, word_runs, word_tokens
 
@@ -91,6 +104,42 @@ def feature_stats(
     return _summed_once(rows, keys, sums)
 
 
+def frequent_stats(
+    comments: DataFrame,
+    grain: Sequence[str],
+    rules: TokenRules,
+    lowest: int,
+    lowest_ngram: int,
+    text: str = "text_clean",
+) -> DataFrame:
+    """``feature_stats`` without features in fewer than ``lowest`` documents of their grain, or ``lowest_ngram`` for more than one word.
+
+    Counts leave a batch of comments as bytes, dealt by grain and token to buckets, and are summed in Arrow. What is left out
+    is seldom seen and most of all features, and is never a row of Spark's.
+    """
+    keys, names = list(grain), ["docs", "blank", "df", "n", "w2", "w1", "w0"]
+    rows = comments.select(
+        *keys,
+        (F.xxhash64(*keys) if keys else F.lit(0).cast("bigint")).alias("_hash"),
+        word_runs(F.col(text), rules).alias("_runs"),
+        is_blank(F.col(text)).alias("_blank"),
+    )
+    fields = comments.select(*keys).schema.fields
+    lists = [T.StructField(field.name, T.ArrayType(field.dataType)) for field in fields]
+    blobs = [T.StructField(name, T.BinaryType()) for name in (RUN_SIZES, CHARS, SIZES, LENGTHS, *names)]
+    packed = T.StructType([T.StructField(BUCKET, T.IntegerType()), *lists, *blobs])
+    sums = [T.StructField("token", T.StringType()), *[T.StructField(name, T.LongType()) for name in names]]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return packed_batches(batches, len(keys), rules, names, normalizer(rules))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return merge_batches(batches, keys, names, lowest, lowest_ngram)
+
+    dealt = rows.mapInArrow(pack, packed).repartition(BUCKET).sortWithinPartitions(BUCKET)
+    return dealt.mapInArrow(merge, T.StructType([*fields, *sums]))
+
+
 def feature_spread(
     comments: DataFrame, grain: Sequence[str], rules: TokenRules, text: str = "text_clean"
 ) -> DataFrame:
@@ -247,10 +296,12 @@ def _summed_once(rows: DataFrame, keys: list[str], sums: dict[str, Column]) -> D
     return grouped.select(F.inline_outer("_row"))
 
 
-def dealt_once(stats: DataFrame, grain: Sequence[str]) -> DataFrame:
-    """Counts that are shuffled once more, so that all consumers read what is left of them instead of each summing them."""
-    row = F.array(F.struct(*stats.columns))
-    return stats.repartition(*grain, "token").select(F.inline_outer(row))
+def dealt_once(stats: DataFrame, grain: Sequence[str], **salt: Column) -> DataFrame:
+    """Counts that are shuffled once more, so that all consumers read what is left of them instead of each summing them. They are
+    dealt by grain and ``salt``, a column more, and stay so for a join on both."""
+    row = F.array(F.struct(*[c for c in stats.columns if c not in grain]))
+    dealt = stats.withColumns(salt).repartition(*grain, *salt)
+    return dealt.select(*grain, *salt, F.inline_outer(row))
 
 
 def _sorted_with_marker(features: str, with_position: bool) -> Column:

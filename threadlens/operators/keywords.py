@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from threadlens.operators.corpus import Corpus
 from threadlens.operators.features import (
     dealt_once,
     feature_stats,
+    frequent_stats,
     grain_totals,
     term_frequency_sum,
     token_rows,
@@ -23,7 +25,7 @@ from threadlens.wordlists import SENTIMENT_EN
 # Scores are compared at this many decimals, so equal scores tie whatever the last bit says.
 RANK_DECIMALS = 12
 
-# Parts that the features of a grain are dealt to where its totals join them.
+# Parts that the features of a grain are dealt to where its totals join them; a power of two.
 SALTS = 32
 
 
@@ -62,8 +64,9 @@ def smooth_idf(documents: Column, df: Column) -> Column:
 
 def has_sentiment(token: Column) -> Column:
     """True if any word of a keyword is general praise. Checked on final features,
-    so a stem such as "amaz" is not caught."""
-    return F.arrays_overlap(F.split(token, " "), F.array(*[F.lit(w) for w in SENTIMENT_EN]))
+    so a stem such as "amaz" is not caught. Few keywords hold such a word even as a part of one, which is cheap to see."""
+    part = reduce(Column.__or__, [F.contains(token, F.lit(w)) for w in SENTIMENT_EN])
+    return part & F.arrays_overlap(F.split(token, " "), F.array(*[F.lit(w) for w in SENTIMENT_EN]))
 
 
 def _fits_ngram_df(df: Column, config: KeywordConfig) -> Column:
@@ -79,9 +82,13 @@ def keyword_stats(
     totals leave at once, so the counts serve no other grain and no corpus. One pass: leaving out n-grams without support
     before they are counted (``supported_stats``) takes a second one, which costs more than it saves."""
     lowest = config.min_df if isinstance(config.min_df, int) else 1
-    df = F.col("df")
-    kept = (F.col("docs") > 0) | ((df >= lowest) & _fits_ngram_df(df, config))
-    return dealt_once(feature_stats(comments, grain, config, text).where(kept), grain)
+    lowest_ngram = config.min_ngram_df if config.ngram_range[1] > 1 else lowest
+    return dealt_once(frequent_stats(comments, grain, config, lowest, lowest_ngram, text), grain, _salt=_salt())
+
+
+def _salt() -> Column:
+    # Never NULL to the optimiser: a filter for that would be put below the shuffle of one side of the join only.
+    return F.xxhash64("token").bitwiseAND(F.lit(SALTS - 1)).cast("int")
 
 
 def scored_features(
@@ -93,22 +100,24 @@ def scored_features(
         *keys, "doc_count_non_empty", "idf_documents", "min_df_abs", "max_df_abs"
     )
     rows = token_rows(stats)
+    dealt = ["_salt"] if "_salt" in stats.columns else []
     if corpus is None:
         # A fixed lower bound is known before the totals are: the long tail of rare tokens
         # leaves here and never reaches the join.
         if isinstance(config.min_df, int):
             rows = rows.where(F.col("df") >= config.min_df)
-        rows = rows.select(*keys, "token", "df", _tf_sum())
+        rows = rows.select(*keys, *dealt, "token", "df", _tf_sum())
     else:
-        rows = _with_corpus_df(rows.select(*keys, "token", _tf_sum()), config, corpus)
+        rows = _with_corpus_df(rows.select(*keys, *dealt, "token", _tf_sum()), config, corpus)
     rows = rows.where(_fits_ngram_df(F.col("df"), config))
     # Totals are one row per grain and grow with the data, so the join is not forced to
-    # broadcast: Spark decides by measured size. Shuffled, a grain's rows would all meet in one task and be
-    # sorted there, and the ranking behind the join keeps Spark from splitting them: so they are dealt by token.
-    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("token"), F.lit(SALTS)).cast("int"))
+    # broadcast: Spark decides by measured size. Shuffled, a grain's rows would all meet in one task, and the ranking
+    # behind the join keeps Spark from splitting them: so they are dealt by token. A task holds its share of the totals in a
+    # table, which saves sorting the features.
+    rows = rows if dealt else rows.withColumn("_salt", _salt())
     salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
     return (
-        rows.join(totals.withColumn("_salt", F.explode(salts)), [*keys, "_salt"])
+        rows.join(totals.withColumn("_salt", F.explode(salts)).hint("shuffle_hash"), [*keys, "_salt"])
         .where(F.col("df").between(F.col("min_df_abs"), F.col("max_df_abs")))
         .withColumn("avg_tf", F.col("_tf_sum") / F.col("doc_count_non_empty"))
         .withColumn("idf", smooth_idf(F.col("idf_documents"), F.col("df")))
@@ -146,8 +155,17 @@ def corpus_band(video_count: int, config: KeywordConfig) -> tuple[int, int]:
     return max(low, 0), min(high, video_count)
 
 
+def rounded_score(score: Column) -> Column:
+    """``round(score, RANK_DECIMALS)``, which Spark takes by way of decimal text. Where the digits to drop are not close to a half, the
+    quotient of whole numbers is the same number."""
+    scale = 10.0**RANK_DECIMALS
+    scaled = score * scale
+    plain = (scaled >= 0) & (scaled < 2.0**45) & (F.abs(scaled - F.floor(scaled) - 0.5) > 0.05)
+    return F.when(plain, F.floor(scaled + 0.5) / scale).otherwise(F.round(score, RANK_DECIMALS))
+
+
 def keyword_order() -> list[Column]:
-    return [F.round("score", RANK_DECIMALS).desc(), F.col("df").desc(), F.col("token").asc()]
+    return [rounded_score(F.col("score")).desc(), F.col("df").desc(), F.col("token").asc()]
 
 
 def top_keywords(
