@@ -527,3 +527,32 @@ def test_line_numbers_do_not_depend_on_splits(spark, tmp_path, split):
         for n, value in old.items():
             spark.conf.set(n, value)
     assert {r.arrival for r in store.read_raw_comments(spark, str(tmp_path), number_lines=False).collect()} == {None}
+
+
+@pytest.mark.parametrize("first", [False, True])
+def test_state_of_df_table_is_packed_by_video(spark, tmp_path, first):
+    """A value per bucket of videos, not a row per (video, token), whatever the names of the videos are; also behind another state."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    names = ["v\n1", 'v"2', "", "ü"]
+
+    def land(name, *rows):
+        fields = ("video_id", "comment_id", "text")
+        (raw / name).write_text("".join(json.dumps(dict(zip(fields, row))) + "\n" for row in rows))
+
+    def drain():
+        comments = incremental.stream_deliveries(spark, str(raw))
+        comments = clean_comments(incremental.first_deliveries(comments) if first else comments)
+        config = KeywordConfig(ngram_range=(1, 2))
+        table = incremental.write_df_table(comments, config, str(tmp_path / "df"), str(tmp_path / "progress"))
+        query = table.trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"]
+
+    land("a.json", *[(name, "c1", "red cat cat") for name in names], (None, "c1", "red"), (None, "c2", "red dog"))
+    drain()
+    land("b.json", *[(name, "c2", "red cat bird") for name in names[:2]], ("v5", "c1", "..."), (names[2], "c1", "red cat cat"))
+    states = drain()
+    assert [x["numRowsTotal"] <= 6 for x in states if x["operatorName"] == "applyInPandasWithState"] == [True]
+    expected = {"red": 5, "cat": 4, "dog": 1, "bird": 2, "red cat": 4, "cat cat": 4, "red dog": 1, "cat bird": 2}
+    assert {r.token: r.df_videos for r in incremental.read_df_table(spark, str(tmp_path / "df")).collect()} == expected

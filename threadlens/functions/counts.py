@@ -32,6 +32,9 @@ BUCKET = "_bucket"
 RUN_SIZES, CHARS, SIZES, LENGTHS = "_run_sizes", "_chars", "_sizes", "_lengths"
 MERGE_BYTES = 1 << 24
 
+# Between the tokens of a list that is one string: no token holds it.
+SEPARATOR = "\n"
+
 
 def count_batches(
     batches: Iterator[pa.RecordBatch],
@@ -237,6 +240,33 @@ def _limbs(units: np.ndarray) -> dict[str, np.ndarray]:
     return {"w0": units & LIMB_MASK, "w1": units >> LIMB_BITS & LIMB_MASK, "w2": units >> 2 * LIMB_BITS}
 
 
+def listed_batches(
+    batches: Iterator[pa.RecordBatch],
+    keys: int,
+    rules: TokenRules,
+    finish: Callable[[str], str] | None = None,
+    slice_chars: int = SLICE_CHARS,
+) -> Iterator[pa.RecordBatch]:
+    """(keys, the tokens as one string), a row per slice, grain and size of n-grams; no token twice in a row."""
+    for batch in batches:
+        for part in _slices(batch, keys, slice_chars):
+            grains, counted = _count(part, keys, rules, [], finish, False)
+            for x in counted:
+                order, run, _ = _runs(np.zeros(len(x.grain), "int64"), x.grain)
+                borders = pa.array(np.append(run, len(order)).astype("int32"))
+                held = pa.array(x.grain[order[run]])
+                columns = {field: values.take(held) for field, values in zip(batch.schema.names[:keys], grains)}
+                lists = pa.ListArray.from_arrays(borders, x.token.take(pa.array(order)))
+                yield pa.RecordBatch.from_pydict(columns | {"tokens": pc.binary_join(lists, SEPARATOR)})
+
+
+def list_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(token, lists of the batch that hold it) of lists that are strings."""
+    for batch in batches:
+        tokens = pc.value_counts(pc.split_pattern(batch.column(0), SEPARATOR).flatten())
+        yield pa.RecordBatch.from_arrays([tokens.field(0), tokens.field(1)], ["token", "df_videos"])
+
+
 def _dealt(counted: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per bucket: its number and a list of each column of its rows."""
     if not counted:

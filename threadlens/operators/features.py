@@ -29,6 +29,7 @@ from threadlens.functions.counts import (
     SIZES,
     WEIGHT_BITS,
     count_batches,
+    listed_batches,
     merge_batches,
     packed_batches,
     spread,
@@ -149,9 +150,16 @@ def feature_spread(
     return rows.groupBy(BUCKET).applyInArrow(lambda dealt: spread(dealt, keys), "token STRING, df BIGINT")
 
 
-def feature_pairs(comments: DataFrame, grain: Sequence[str], rules: TokenRules, text: str = "text_clean") -> DataFrame:
-    """(grain, token), no pair twice from one batch of comments, but again from others. Also for streams."""
-    return _counted_batches(comments, list(grain), rules, text, [], None)
+def feature_lists(comments: DataFrame, grain: Sequence[str], rules: TokenRules, text: str = "text_clean") -> DataFrame:
+    """(grain, ``tokens``): the features of a batch of comments as one string, some rows per grain. Also for streams."""
+    keys = list(grain)
+    rows = comments.select(*keys, word_runs(F.col(text), rules).alias("_runs"), is_blank(F.col(text)).alias("_blank"))
+    schema = T.StructType([*comments.select(*keys).schema.fields, T.StructField("tokens", T.StringType())])
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return listed_batches(batches, len(keys), rules, normalizer(rules))
+
+    return rows.mapInArrow(lists, schema)
 
 
 def _counted_batches(

@@ -12,17 +12,24 @@ for good, so that state has no time limit; it is spread over the state store's p
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+import zlib
+from collections import defaultdict
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from threadlens.config import KeywordConfig, TokenRules
+from threadlens.functions.counts import SEPARATOR, list_counts
 from threadlens.operators.cleaning import clean_comments
 from threadlens.operators.corpus import corpus_df_of
-from threadlens.operators.features import feature_pairs, feature_stats, roll_up
+from threadlens.operators.features import feature_lists, feature_stats, roll_up
 from threadlens.schemas import CHANNEL_RUN, CLEAN_COMMENT, RAW_COMMENT
 from threadlens.sources import parts
 from threadlens.sources.comments import parse_raw_lines
@@ -146,6 +153,30 @@ def corpus_df_of_parts(spark: SparkSession, path: str, video: str = "video_id")
 DF_DELTA = "token STRING, df_videos BIGINT"
 
 
+# Values of the state that ``write_df_table`` keeps; each holds some videos. Fixed for a checkpoint.
+STATE_BUCKETS = 1 << 11
+
+
+def _unseen(key: Any, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Per video of a bucket the features that no earlier micro-batch has brought, as one string. The state is all features of the
+    bucket's videos, packed; only videos that come in are taken apart."""
+    seen = dict(json.loads(zlib.decompress(state.get[0]))) if state.exists else {}
+    brought = defaultdict(set)
+    for frame in frames:
+        for video, tokens in zip(frame["video_id"], frame["tokens"]):
+            brought[video if isinstance(video, str) else None].update(tokens.split(SEPARATOR))
+    new = []
+    for video, tokens in brought.items():
+        before = [seen[video]] if video in seen else []
+        fresh = tokens.difference(*[text.split(SEPARATOR) for text in before])
+        if fresh:
+            new.append(SEPARATOR.join(fresh))
+            seen[video] = SEPARATOR.join([*before, new[-1]])
+    if new:
+        state.update((zlib.compress(json.dumps([*seen.items()]).encode(), 1),))
+        yield pd.DataFrame({"tokens": new})
+
+
 def write_df_table(
     comments: DataFrame,
     config: KeywordConfig,
@@ -157,19 +188,22 @@ def write_df_table(
 ) -> DataStreamWriter:
     """Keeps the corpus document frequencies at ``path`` up to date: (token, in how many videos it occurs).
 
-    The state store remembers every (video, token) pair, so a micro-batch sees only the pairs that are new and costs what its own
-    comments cost, however large the table is. It writes one part of increments; a replay finds the state of
-    before and overwrites its part. Comments that are delivered again change nothing. ``after`` is called with the number of every
-    part once it is written.
+    The state store remembers every (video, token) pair, so a micro-batch adds only the pairs that are new, however large the table
+    is. It keeps them packed, ``STATE_BUCKETS`` values of some videos each, a few bytes a pair: a micro-batch costs what its own
+    comments cost and packing the values of their videos. It writes one part of increments; a replay finds the state of before and
+    overwrites its part. Comments that are delivered again change nothing. ``after`` is called with the number of every part once
+    it is written.
     """
-    pairs = feature_pairs(comments, [video], config, text).withColumnRenamed(video, "video_id")
+    lists = feature_lists(comments, [video], config, text).select(F.col(video).cast("string").alias("video_id"), "tokens")
+    lists = lists.withColumn("bucket", F.pmod(F.hash("video_id"), F.lit(STATE_BUCKETS)))
+    fresh = lists.groupBy("bucket").applyInPandasWithState(_unseen, "tokens STRING", "tokens BINARY", "append", GroupStateTimeout.NoTimeout)
 
     def add_part(batch: DataFrame, batch_id: int) -> None:
-        parts.write_part(batch.groupBy("token").agg(F.count("*").alias("df_videos")), path, batch_id)
+        parts.write_part(_summed_df(batch.mapInArrow(list_counts, DF_DELTA)), path, batch_id)
         if after is not None:
             after(batch_id)
 
-    return pairs.dropDuplicates(["video_id", "token"]).writeStream.foreachBatch(add_part).option("checkpointLocation", checkpoint)
+    return fresh.writeStream.foreachBatch(add_part).option("checkpointLocation", checkpoint)
 
 
 def _summed_df(rows: DataFrame) -> DataFrame:
