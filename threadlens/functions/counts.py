@@ -28,9 +28,11 @@ SLICE_ROWS = 1 << 17
 BUCKETS = 1 << 11
 BUCKET = "_bucket"
 
-# Columns of packed rows (see ``packed_batches``), and the bytes of them that are summed at a time; a bucket stays whole.
+# Columns of packed rows (see ``packed_batches``), characters whose counts are packed at a time, and bytes of tokens that are
+# summed at a time; a bucket stays whole.
 RUN_SIZES, CHARS, SIZES, LENGTHS = "_run_sizes", "_chars", "_sizes", "_lengths"
-MERGE_BYTES = 1 << 24
+PACK_CHARS = 1 << 22
+MERGE_BYTES = 1 << 23
 
 # Between the tokens of a list that is one string: no token holds it.
 SEPARATOR = "\n"
@@ -66,7 +68,7 @@ def packed_batches(
     rules: TokenRules,
     names: list[str],
     finish: Callable[[str], str] | None = None,
-    slice_chars: int = SLICE_CHARS,
+    slice_chars: int = PACK_CHARS,
 ) -> Iterator[pa.RecordBatch]:
     """The counts of ``count_batches`` as some thousand rows of bytes per slice, which Spark moves without opening them.
 
@@ -245,7 +247,7 @@ def listed_batches(
     keys: int,
     rules: TokenRules,
     finish: Callable[[str], str] | None = None,
-    slice_chars: int = SLICE_CHARS,
+    slice_chars: int = PACK_CHARS,
 ) -> Iterator[pa.RecordBatch]:
     """(keys, the tokens as one string), a row per slice, grain and size of n-grams; no token twice in a row."""
     for batch in batches:

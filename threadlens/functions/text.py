@@ -34,7 +34,7 @@ URL_MARK = "<URL>"
 # Texts that are Python strings at a time while they are cleaned.
 COMPOSED_ROWS = 64
 # Words whose token a Python worker remembers from one batch to the next.
-KNOWN_WORDS = 1 << 18
+KNOWN_WORDS = 1 << 17
 
 
 def _clean(text: str, mark: str) -> str:
