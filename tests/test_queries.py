@@ -84,3 +84,32 @@ def test_pairs_of_the_corpus_leave_a_batch_once(spark):
     assert sorted(map(tuple, corpus.collect())) == [(t, 1) for t in ("blue", "blue red", "fox", "fox red", "red", "red fox")]
     plan = corpus._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan and "Generate" not in plan
+
+
+def test_a_bucket_of_the_corpus_names_a_video_once(spark):
+    """What is shuffled holds the id of a video once per slice and bucket, not once per feature; null ids are a video."""
+    import pyarrow as pa
+
+    from threadlens.functions.counts import BUCKET, dealt_batches
+
+    texts = [("v", "red fox blue fox"), (None, "red fox"), ("v", "red fox"), ("w", ""), ("w", None), ("w", "blue"), (None, "red fox")]
+    batch = pa.RecordBatch.from_pydict({
+        "video_id": pa.array([v for v, _ in texts], pa.string()),
+        "_runs": pa.array([[t] if t else [] for _, t in texts], pa.list_(pa.string())),
+        "_blank": pa.array([not t for _, t in texts]),
+    })
+    for slice_chars in (1 << 20, 8):
+        pairs = set()
+        for dealt in dealt_batches([batch], 1, BIGRAMS, slice_chars=slice_chars):
+            rows = dealt.to_pylist()
+            assert len({r[BUCKET] for r in rows}) == len(rows)
+            for row in rows:
+                assert len(set(row["video_id"])) == len(row["video_id"]) == len(row["token"])
+                pairs |= {(v, t) for v, tokens in zip(row["video_id"], row["token"]) for t in tokens.split("\n")}
+        held = {"v": ["red", "fox", "blue", "red fox", "fox blue", "blue fox"], None: ["red", "fox", "red fox"], "w": ["blue"]}
+        assert pairs == {(v, t) for v, tokens in held.items() for t in tokens}
+    rows = spark.createDataFrame(texts * 3, "video_id STRING, text_clean STRING")
+    df = {"red": 2, "fox": 2, "red fox": 2, "blue": 2, "fox blue": 1, "blue fox": 1}
+    for parts in (1, 4):
+        assert dict(map(tuple, corpus_df(rows.repartition(parts), BIGRAMS).collect())) == df
+    assert corpus_df(rows.where("false"), BIGRAMS).collect() == []

corpus_df: name a video once per bucket of features

Symptom: corpus_df shuffles about five times what it reads, because every (video, token) pair of a batch travels with its own copy of the video id and as two array elements.
Evidence: the profiler, small input of 0.10 GB (): 504 MB written and read by the one exchange; on a slice of 8 million characters the pairs fell into 154,806 (bucket, video) runs of 8.5 tokens each, so the id was repeated 8.5 times per bucket.
Fix: a bucket's row holds each video id once and beside it that video's tokens as one string, as the streaming lists already do; buckets, rows shuffled (49,152) and the count per bucket stay, and pairs are told apart by a number for the video instead of its id. No row per pair, so many small videos cost no more than before.
Effect: at 1 GB of input CPU 602 -> 509 s, shuffle 4.79 -> 2.19 GB, spill 0.00 -> 0.00 GB, read 0.97 -> 0.97 GB, longest task 43 -> 33 s, most memory of a task 134 -> 135 MB; at 6 GB of input CPU 2936 -> 2517 s, shuffle 28.92 -> 13.21 GB, spill 0.00 -> 0.00 GB, read 5.87 -> 5.87 GB, longest task 61 -> 50 s, most memory of a task 571 -> 236 MB; with hot keys, at 1 GB of input CPU 209 -> 214 s, shuffle 0.81 -> 0.41 GB, spill 0.00 -> 0.00 GB, read 0.18 -> 0.18 GB, longest task 11 -> 11 s, most memory of a task 135 -> 68 MB.

@@ -45,19 +45,15 @@ def count_batches(
     names: list[str],
     finish: Callable[[str], str] | None = None,
     slice_chars: int = SLICE_CHARS,
-    dealt: bool = False,
 ) -> Iterator[pa.RecordBatch]:
     """Per batch the counts of ``operators.features.feature_stats`` by the first ``keys`` columns and token.
 
     After the keys come ``_runs`` (see ``word_runs``), ``_blank`` and, if wanted, ``_arrival``. Without ``names`` the rows
     are the distinct (keys, token).
-
-    Dealt, the rows of a slice leave as lists, one row for each of ``BUCKETS`` that its tokens fall into.
     """
     for batch in batches:
         for part in _slices(batch, keys, slice_chars):
-            counted = _rows(part, keys, rules, names, finish, dealt)
-            for rows in _dealt(list(counted)) if dealt else counted:
+            for rows in _rows(part, keys, rules, names, finish):
                 for start in range(0, len(rows), SLICE_ROWS):
                     yield rows.slice(start, SLICE_ROWS)
 
@@ -269,27 +265,37 @@ def list_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([tokens.field(0), tokens.field(1)], ["token", "df_videos"])
 
 
-def _dealt(counted: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per bucket: its number and a list of each column of its rows."""
-    if not counted:
-        return
-    rows = pa.Table.from_batches(counted).combine_chunks()
-    number = rows.column(BUCKET).to_numpy()
-    order = np.argsort(number, kind="stable")
-    buckets, starts = np.unique(number[order], return_index=True)
-    borders, order = pa.array(np.append(starts, len(order)).astype("int32")), pa.array(order)
-    lists = {
-        name: pa.ListArray.from_arrays(borders, pa.concat_arrays(rows.column(name).take(order).chunks))
-        for name in rows.column_names
-        if name != BUCKET
-    }
-    yield pa.RecordBatch.from_pydict({BUCKET: pa.array(buckets, pa.int32())} | lists)
+def dealt_batches(
+    batches: Iterator[pa.RecordBatch],
+    keys: int,
+    rules: TokenRules,
+    finish: Callable[[str], str] | None = None,
+    slice_chars: int = SLICE_CHARS,
+) -> Iterator[pa.RecordBatch]:
+    """One row for each of ``BUCKETS`` that the tokens of a slice fall into: lists of the keys of its grains and, beside them, of
+    their tokens, those of a grain as one string. So a key is named once per bucket and not with each token."""
+    for batch in batches:
+        for part in _slices(batch, keys, slice_chars):
+            grains, counted = _count(part, keys, rules, [], finish, True)
+            if found := list(counted):
+                grain = np.concatenate([x.grain for x in found])
+                token = pa.concat_arrays([x.token for x in found])
+                bucket = _bucket(np.concatenate([x.mixed for x in found])).astype("int64")
+                order, run, head = _runs(bucket, grain)
+                tokens = pa.ListArray.from_arrays(pa.array(np.append(run, len(order)).astype("int32")), token.take(pa.array(order)))
+                borders, held = pa.array(np.append(head, len(run)).astype("int32")), pa.array(grain[order[run]])
+                lists = {field: values.take(held) for field, values in zip(batch.schema.names[:keys], grains)}
+                lists["token"] = pc.binary_join(tokens, SEPARATOR)
+                numbers = pa.array(bucket[order[run[head]]].astype("int32"))
+                yield pa.RecordBatch.from_pydict({BUCKET: numbers} | {n: pa.ListArray.from_arrays(borders, x) for n, x in lists.items()})
 
 
 def spread(dealt: pa.Table, keys: Sequence[str]) -> pa.Table:
     """(token, number of the grains it is in) of a bucket's rows."""
-    opened = pa.table({name: pc.list_flatten(dealt.column(name)) for name in (*keys, "token")})
-    pairs = opened.group_by([*keys, "token"], use_threads=False).aggregate([])
+    tokens = pc.split_pattern(pc.list_flatten(dealt.column("token")), SEPARATOR)
+    grain, _ = _grains([pa.concat_arrays(pc.list_flatten(dealt.column(key)).chunks) for key in keys], len(tokens))
+    opened = pa.table({"grain": np.repeat(grain.astype("int32"), pc.list_value_length(tokens)), "token": pc.list_flatten(tokens)})
+    pairs = opened.group_by(["grain", "token"], use_threads=False).aggregate([])
     counted = pairs.group_by("token", use_threads=False).aggregate([([], "count_all")])
     return pa.table({"token": counted.column("token"), "df": counted.column("count_all")})
 
@@ -326,17 +332,15 @@ class Counted(NamedTuple):
 
 
 def _rows(
-    batch: pa.RecordBatch, keys: int, rules: TokenRules, names: list[str], finish: Callable[[str], str] | None, dealt: bool
+    batch: pa.RecordBatch, keys: int, rules: TokenRules, names: list[str], finish: Callable[[str], str] | None
 ) -> Iterator[pa.RecordBatch]:
-    grains, counted = _count(batch, keys, rules, names, finish, dealt)
+    grains, counted = _count(batch, keys, rules, names, finish, False)
     for x in counted:
         columns = {field: values.take(pa.array(x.grain)) for field, values in zip(batch.schema.names[:keys], grains)}
         columns["token"] = x.token
         columns |= {n: pa.array(np.broadcast_to(x.counts.get(n, 0), len(x.grain)).astype("int64")) for n in names}
         if x.first is not None:
             columns |= dict(zip(("first_arrival", "first_position"), x.first))
-        if dealt:
-            columns[BUCKET] = pa.array(_bucket(x.mixed).astype("int32"))
         yield pa.RecordBatch.from_pydict(columns)
 
 

@@ -29,6 +29,7 @@ from threadlens.functions.counts import (
     SIZES,
     WEIGHT_BITS,
     count_batches,
+    dealt_batches,
     listed_batches,
     merge_batches,
     packed_batches,
@@ -144,10 +145,18 @@ def frequent_stats(
 def feature_spread(
     comments: DataFrame, grain: Sequence[str], rules: TokenRules, text: str = "text_clean"
 ) -> DataFrame:
-    """(token, df): in how many grains a feature occurs."""
+    """(token, df): in how many grains a feature occurs. The features of a batch are lists, one row per bucket: Spark shuffles some
+    thousand rows of a batch instead of millions."""
     keys = list(grain)
-    rows = _counted_batches(comments, keys, rules, text, [], None, dealt=True)
-    return rows.groupBy(BUCKET).applyInArrow(lambda dealt: spread(dealt, keys), "token STRING, df BIGINT")
+    rows = comments.select(*keys, word_runs(F.col(text), rules).alias("_runs"), is_blank(F.col(text)).alias("_blank"))
+    fields = [*comments.select(*keys).schema.fields, T.StructField("token", T.StringType())]
+    lists = [T.StructField(field.name, T.ArrayType(field.dataType)) for field in fields]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return dealt_batches(batches, len(keys), rules, normalizer(rules))
+
+    dealt = rows.mapInArrow(deal, T.StructType([T.StructField(BUCKET, T.IntegerType()), *lists]))
+    return dealt.groupBy(BUCKET).applyInArrow(lambda bucket: spread(bucket, keys), "token STRING, df BIGINT")
 
 
 def feature_lists(comments: DataFrame, grain: Sequence[str], rules: TokenRules, text: str = "text_clean") -> DataFrame:
@@ -169,12 +178,10 @@ def _counted_batches(
     text: str,
     names: list[str],
     arrival: str | None,
-    dealt: bool = False,
 ) -> DataFrame:
-    """The counts ``names`` of ``feature_stats``, summed within each Arrow batch; without names the (grain, token) pairs.
+    """The counts ``names`` of ``feature_stats``, summed within each Arrow batch.
 
-    An occurrence is a few bytes of an array there, and a string only once per batch, grain and feature. Dealt, the features
-    of a batch are lists, one row per bucket: Spark shuffles some thousand rows of a batch instead of millions.
+    An occurrence is a few bytes of an array there, and a string only once per batch, grain and feature.
     """
     rows = comments.select(
         *keys,
@@ -185,12 +192,9 @@ def _counted_batches(
     counts = names + (["first_arrival", "first_position"] if arrival else [])
     fields = [T.StructField("token", T.StringType()), *[T.StructField(name, T.LongType()) for name in counts]]
     schema = T.StructType([*comments.select(*keys).schema.fields, *fields])
-    if dealt:
-        lists = [T.StructField(field.name, T.ArrayType(field.dataType)) for field in schema.fields]
-        schema = T.StructType([T.StructField(BUCKET, T.IntegerType()), *lists])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return count_batches(batches, len(keys), rules, names, normalizer(rules), dealt=dealt)
+        return count_batches(batches, len(keys), rules, names, normalizer(rules))
 
     return rows.mapInArrow(count, schema)
 
