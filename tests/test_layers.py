@@ -337,6 +337,68 @@ def test_unreadable_records_fail_their_video(spark, tmp_path):
     assert {r.line for r in spark.read.parquet(jobs.rejected_path(root)).collect()} == {"garbage", '{"video_id":"v1","comment_id":"cut o'}
 
 
+def plan_of(rows):
+    return rows._jdf.queryExecution().executedPlan().toString()
+
+
+def kept_rows(spark):
+    return len(spark.sparkContext._jsc.getPersistentRDDs())
+
+
+def test_channel_ingest_discovers_and_judges_once(spark, tmp_path, monkeypatch):
+    """The run record comes out of the kept members and comments; both are released."""
+    root, before, status = str(tmp_path), kept_rows(spark), []
+    comment_pages = page_rows(spark, "video_id", [
+        ("v1", 0, {"items": [comment_item(f"a{i}", "one", i) for i in range(3)]}),
+        ("v1", 0, {"items": [comment_item(f"a{i}", "one", i) for i in range(3)]}),
+        ("v2", 0, {"items": [comment_item("b0", "two"), comment_item("", "no id")]}),
+        ("v3", 0, {"items": [comment_item("c0", "three")]}),
+        ("stranger", 0, {"items": [comment_item("d0", "four")]}),
+        (None, 0, {"items": [comment_item("e0", "five")]}),
+    ])
+    listed = ("v1", "v2", "v3", "v3", "silent")
+    video_pages = page_rows(spark, "channel_id", [(CHANNEL, 0, {"items": [video_item(v, channel=CHANNEL) for v in listed]})])
+
+    def seen(rows, *rest):
+        status.append(plan_of(rows).split("InMemoryRelation")[0])
+        return channels.summarize_run(rows, *rest)
+
+    monkeypatch.setattr(jobs, "summarize_run", seen)
+    run = jobs.ingest_channels(spark, video_pages, comment_pages, root, comment_limit=4).first()
+    assert (run.video_count, run.comment_count, run.error_count) == (5, 4 + 1 + 1, 1)
+    assert run.video_ids == ["silent", "v1", "v3", "v3"]
+    assert "InMemoryTableScan [channel_id" in status[0] and kept_rows(spark) == before
+
+
+def test_raw_layer_is_parsed_once_for_valid_and_rejected_lines(spark, tmp_path, monkeypatch):
+    """The valid lines come out of the kept records, which hold the text of rejected lines only."""
+    root, before, plans = str(tmp_path), kept_rows(spark), []
+    at = when(2026, 1, 1)
+    run = [("c", at, at, ["v1", "v2", "v2"], 3, 3, 0, None, None, None, None)]
+    from threadlens.schemas import CHANNEL_RUN
+
+    artifacts.append_runs(spark.createDataFrame(run, CHANNEL_RUN), root)
+    good = '{"video_id":"v1","comment_id":"a","text":"one"}'
+    lines = [good, good, '{"video_id":"v2","comment_id":"b"}', "garbage", " ", '{"video_id":"v3","comment_id":"c","text":"x"}']
+    spark.createDataFrame([(x,) for x in lines], "value STRING").coalesce(1).write.text(jobs.raw_path(root))
+
+    def written(rows, *rest):
+        plans.append(plan_of(rows))
+        return store.write_clean_comments(rows, *rest)
+
+    monkeypatch.setattr(jobs, "write_clean_comments", written)
+    done = {r.channel_id: (r.video_count, r.error_count) for r in jobs.preprocess_channels(spark, root).collect()}
+    assert done == {"c": (2, 1), None: (0, 1)}
+    kept = store.read_clean_comments(spark, jobs.clean_path(root)).orderBy("arrival").collect()
+    assert [(r.video_id, r.comment_id, r.arrival) for r in kept] == [("v1", "a", 0), ("v1", "a", 1)]
+    rejected = spark.read.parquet(jobs.rejected_path(root)).collect()
+    assert {(r.line, r.reason) for r in rejected} == {(lines[2], "missing: text"), ("garbage", "not a JSON comment record")}
+    assert all(r.origin.endswith(".txt") for r in rejected)
+    assert "InMemoryTableScan" in plans[0] and kept_rows(spark) == before
+    held = store.parsed_files(spark, jobs.raw_path(root)).where("(value is null) != (_reason is null)")
+    assert held.count() == 0
+
+
 def test_equal_times_have_one_latest_run(spark):
     at = when(2026, 1, 1)
     rows = [("c", at, at, n) for n in (3, 9, 5)]

@@ -54,6 +54,7 @@ from threadlens.sources.artifacts import (
     write_corpus,
 )
 from threadlens.sources.comments import (
+    parsed_files,
     read_clean_comments,
     read_raw_comments,
     read_raw_comments_leniently,
@@ -189,7 +190,8 @@ def ingest_channels(
     """
     started = datetime.now(timezone.utc)
     videos = list_channel_videos(video_pages, video_limit, published_after, published_before)
-    members = videos.select("channel_id", "video_id")
+    # Discovered once: the ids choose the comments and are the rows of the run record.
+    members = videos.select("channel_id", "video_id").persist(StorageLevel.DISK_ONLY)
     found = flatten_comment_pages(comment_pages).join(
         members.select("video_id").distinct(), "video_id", "left_semi"
     )
@@ -204,12 +206,10 @@ def ingest_channels(
         size = F.count("*")
         if comment_limit is not None:
             size = F.least(size, F.lit(max(comment_limit, 1)))
-        counts = fine.groupBy("video_id").agg(size.alias("comment_count"))
-        status = (
-            members.join(failed, "video_id", "left")
-            .join(counts, "video_id", "left")
-            .withColumn("comment_count", F.coalesce("comment_count", F.lit(0)))
-        )
+        # A video has an error if one of its rows has a reason; otherwise all of its rows are fine.
+        outcome = found.groupBy("video_id").agg(F.min("_reason").alias("error"), size.alias("comment_count"))
+        counted = F.when(F.col("error").isNull(), F.col("comment_count"))
+        status = members.join(outcome, "video_id", "left").withColumn("comment_count", F.coalesce(counted, F.lit(0)))
         settings = {
             "started_at_utc": F.lit(started).cast("timestamp"),
             "finished_at_utc": F.lit(datetime.now(timezone.utc)).cast("timestamp"),
@@ -221,6 +221,7 @@ def ingest_channels(
         append_runs(summarize_run(status).withColumns(settings), root)
     finally:
         found.unpersist()
+        members.unpersist()
     if refs is not None:
         save_channel_refs(refs, spark, root)
     return read_latest_runs(spark, root)
@@ -265,18 +266,23 @@ def preprocess_channels(
     exit code 1. All unreadable records of the run are set aside under ``rejected`` with file and reason."""
     runs = read_latest_runs(spark, root, resolve_channels(spark, root, refs))
     members = channel_members(runs)
-    good, bad = read_raw_comments_leniently(spark, raw_path(root))
-    by_text = F.nullif(F.regexp_extract("line", r'"video_id"\s*:\s*"([^"]+)"', 1), F.lit(""))
-    bad = bad.withColumn("video_id", F.coalesce(F.get_json_object("line", "$.video_id"), by_text))
-    bad.write.mode("overwrite").parquet(rejected_path(root))
-    # Rejected records are few; from here on they are read from their own table.
-    bad = spark.read.schema("origin STRING, line STRING, reason STRING, video_id STRING").parquet(rejected_path(root))
-    broken = bad.where("video_id is not null").select("video_id").distinct()
-    failed = broken.join(members.select("video_id").distinct(), "video_id", "left_semi")
-    wanted = good.join(members.select("video_id").distinct(), "video_id", "left_semi").join(
-        failed, "video_id", "left_anti"
-    )
-    write_clean_comments(clean_comments(wanted), clean_path(root), "overwrite" if overwrite else "refuse")
+    # Parsed once: all lines are judged before the valid ones of unbroken videos are written.
+    parsed = parsed_files(spark, raw_path(root)).persist(StorageLevel.DISK_ONLY)
+    try:
+        good, bad = read_raw_comments_leniently(spark, raw_path(root), parsed=parsed)
+        by_text = F.nullif(F.regexp_extract("line", r'"video_id"\s*:\s*"([^"]+)"', 1), F.lit(""))
+        bad = bad.withColumn("video_id", F.coalesce(F.get_json_object("line", "$.video_id"), by_text))
+        bad.write.mode("overwrite").parquet(rejected_path(root))
+        # Rejected records are few; from here on they are read from their own table.
+        bad = spark.read.schema("origin STRING, line STRING, reason STRING, video_id STRING").parquet(rejected_path(root))
+        broken = bad.where("video_id is not null").select("video_id").distinct()
+        failed = broken.join(members.select("video_id").distinct(), "video_id", "left_semi")
+        wanted = good.join(members.select("video_id").distinct(), "video_id", "left_semi").join(
+            failed, "video_id", "left_anti"
+        )
+        write_clean_comments(clean_comments(wanted), clean_path(root), "overwrite" if overwrite else "refuse")
+    finally:
+        parsed.unpersist()
     status = members.join(failed.withColumn("error", F.lit("unreadable record")), "video_id", "left")
     totals = preprocess_totals(status.withColumn("comment_count", F.lit(0)))
     nothing = F.lit(0).cast("bigint")

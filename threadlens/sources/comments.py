@@ -94,7 +94,7 @@ def read_raw_comments(spark: SparkSession, paths: str | list[str], number_lines:
     The check is a filter of the same scan, so strictness costs no second pass. ``arrival`` is the record's own, or
     else its line number (see ``line_numbers``); without ``number_lines`` it is left null and the files are read once.
     """
-    parsed = _parsed_files(spark, paths, number_lines)
+    parsed = parsed_files(spark, paths, number_lines)
     complaint = F.concat_ws(" ", F.lit("invalid comment record:"), "_reason", F.lit("in"), "origin", "value")
     valid = F.when(F.col("_reason").isNull(), F.lit(True)).otherwise(
         F.raise_error(complaint).cast("boolean")
@@ -103,10 +103,13 @@ def read_raw_comments(spark: SparkSession, paths: str | list[str], number_lines:
 
 
 def read_raw_comments_leniently(
-    spark: SparkSession, paths: str | list[str], number_lines: bool = True
+    spark: SparkSession, paths: str | list[str], number_lines: bool = True, parsed: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid comments, rejected lines with file and reason)."""
-    parsed = _parsed_files(spark, paths, number_lines)
+    """(valid comments, rejected lines with file and reason).
+
+    ``parsed`` may pass in the ``parsed_files`` of the paths if the caller keeps them, so that both results share one pass.
+    """
+    parsed = parsed_files(spark, paths, number_lines) if parsed is None else parsed
     good = parsed.where(F.col("_reason").isNull()).drop("origin", "value", "_reason")
     bad = parsed.where(F.col("_reason").isNotNull()).select(
         "origin", F.col("value").alias("line"), F.col("_reason").alias("reason")
@@ -114,13 +117,19 @@ def read_raw_comments_leniently(
     return good, bad
 
 
-def _parsed_files(spark: SparkSession, paths: str | list[str], number_lines: bool) -> DataFrame:
+def parsed_files(spark: SparkSession, paths: str | list[str], number_lines: bool = True) -> DataFrame:
+    """``parse_raw_lines`` of files with ``arrival``. Only rejected lines keep ``origin`` and ``value``: a valid one is whole in
+    its fields, so rows that are stored do not hold it twice."""
     lines = _raw_lines(spark, paths)
     lines = line_numbers(lines) if number_lines else lines.withColumn("_order", F.lit(None).cast("bigint"))
     lines = lines.withColumn("origin", F.struct("origin", "_order")).select("origin", "value")
-    parsed = parse_raw_lines(lines)
-    return parsed.withColumn("arrival", F.coalesce("arrival", F.col("origin._order"))).withColumn(
-        "origin", F.col("origin.origin")
+    rejected = F.col("_reason").isNotNull()
+    return parse_raw_lines(lines).withColumns(
+        {
+            "arrival": F.coalesce("arrival", F.col("origin._order")),
+            "origin": F.when(rejected, F.col("origin.origin")),
+            "value": F.when(rejected, F.col("value")),
+        }
     )
 
 
