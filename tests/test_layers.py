@@ -430,6 +430,41 @@ def test_missing_member_videos_stop_a_channel_job(spark, tmp_path):
         jobs.stats_by_channel(spark, root)
 
 
+def test_channel_checks_share_one_pass_over_the_layer(spark, tmp_path, monkeypatch):
+    """Missing videos and versions come out of the kept (video, version) pairs; videos no run lists may have any version."""
+    root, before, plans = str(tmp_path), kept_rows(spark), []
+    at = when(2026, 1, 1)
+    from threadlens.schemas import CHANNEL_RUN
+
+    runs = [(c, at, at, videos, len(videos), 2, 0, None, None, None, None) for c, videos in (("c", ["v1", "v1"]), ("d", ["v2"]))]
+    artifacts.append_runs(spark.createDataFrame(runs, CHANNEL_RUN), root)
+    raw = [(v, f"{v}{n}", text, None, None, None, None, n) for n in range(2) for v, text in (("v1", "cat"), ("v2", ""), ("v3", "cat"))]
+    clean = clean_comments(spark.createDataFrame(raw, RAW_COMMENT))
+    other = F.when(F.col("video_id") == "v3", "v0").otherwise(F.col("preprocess_version"))
+    store.write_clean_comments(clean.withColumn("preprocess_version", other), jobs.clean_path(root))
+
+    def seen(name):
+        made = getattr(jobs, name)
+
+        def run(*given):
+            plans.append((name, plan_of(given[-1])))
+            return made(*given)
+
+        monkeypatch.setattr(jobs, name, run)
+
+    seen("missing_videos")
+    seen("single_version")
+    comments, members, _, version = jobs._channel_input(spark, root, None)
+    assert [name for name, plan in plans if "InMemoryTableScan" in plan] == ["missing_videos", "single_version"]
+    assert (comments.count(), members.count(), version) == (6, 2, "v1") and kept_rows(spark) == before
+    assert jobs._channel_input(spark, root, ["d"])[0].count() == 2
+    mixed = F.when(F.col("comment_id") == "v21", F.lit("v0")).otherwise(F.col("preprocess_version"))
+    store.write_clean_comments(clean.where("video_id = 'v2'").withColumn("preprocess_version", mixed), jobs.clean_path(root))
+    with pytest.raises(ValueError, match="mixed: 'v0' to 'v1'"):
+        jobs._channel_input(spark, root, None)
+    assert jobs._channel_input(spark, root, ["c"])[3] == "v1" and kept_rows(spark) == before
+
+
 def test_streams_equal_batch(spark, tmp_path):
     raw_dir = tmp_path / "raw"
     raw_dir.mkdir()

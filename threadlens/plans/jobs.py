@@ -250,9 +250,15 @@ def _channel_input(
     runs = read_latest_runs(spark, root, resolve_channels(spark, root, refs))
     members = channel_members(runs)
     layer = read_clean_comments(spark, clean_path(root))
-    assert_no_missing_videos(missing_videos(members, layer))
-    wanted = layer.join(members.select("video_id").distinct(), "video_id", "left_semi")
-    return (layer if refs is None else wanted), members, runs, single_version(wanted)
+    listed = members.select("video_id").distinct()
+    # One pass over the layer serves both checks: they need no more than its videos and the versions of each.
+    seen = layer.select("video_id", "preprocess_version").distinct().persist(StorageLevel.DISK_ONLY)
+    try:
+        assert_no_missing_videos(missing_videos(members, seen))
+        version = single_version(seen.join(listed, "video_id", "left_semi"))
+    finally:
+        seen.unpersist()
+    return (layer if refs is None else layer.join(listed, "video_id", "left_semi")), members, runs, version
 
 
 def preprocess_channels(
